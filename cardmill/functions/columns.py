@@ -92,9 +92,11 @@ def with_on_demand_features(df: DataFrame) -> DataFrame:
 
     return df.withColumns(
         {
-            "amount_ratio_24h": amount / (filled("avg_amount_24h") + 1.0),
+            "amount_ratio_24h": amount_ratio(amount, filled("avg_amount_24h")),
             "amount_ratio_30d": amount_ratio(amount, filled("avg_amount_30d")),
-            "amount_zscore_24h": (amount - filled("avg_amount_24h")) / (filled("stddev_amount_24h") + 0.01),
+            "amount_zscore_24h": F.try_divide(
+                amount - filled("avg_amount_24h"), filled("stddev_amount_24h") + 0.01
+            ),
             "is_amount_gt_30d_max": exceeds(amount, filled("max_amount_30d")),
             "is_high_velocity_5m": F.when(filled("trans_count_5m") >= 3, 1.0).otherwise(0.0),
         }
@@ -102,8 +104,8 @@ def with_on_demand_features(df: DataFrame) -> DataFrame:
 
 
 def amount_ratio(amount: Column, average: Column) -> Column:
-    """E4."""
-    return amount / (average + 1.0)
+    """E3/E4."""
+    return F.try_divide(amount, average + 1.0)
 
 
 def exceeds(amount: Column, bound: Column) -> Column:

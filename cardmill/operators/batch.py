@@ -81,7 +81,7 @@ def label_summary(labelled: DataFrame, label: str = "is_fraud") -> DataFrame:
     return labelled.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.sum(F.col(label).cast("bigint")).alias("fraud_rows"),
-        (F.sum(F.col(label).cast("bigint")) * 100.0 / F.count(F.lit(1))).alias("fraud_percent"),
+        F.try_divide(F.sum(F.col(label).cast("bigint")) * 100.0, F.count(F.lit(1))).alias("fraud_percent"),
     )
 
 

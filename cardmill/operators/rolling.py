@@ -1,7 +1,7 @@
 """Per-event rolling features over a card's history.
 
 Each event sees the events of its card in ``[t - W, t]`` that arrived no later than
-itself: earlier event time, or the same time and a smaller ``transaction_id``. The lower
+itself: earlier event time, or the same time and an earlier place in the arrival order. The lower
 bound is inclusive.
 
 Ordinary cards use window functions on one shuffle by card. Counts and sums are the running
@@ -59,10 +59,16 @@ _VALUES = {"one": "bigint", "amt": "decimal(28,4)", "amt_sq": "decimal(34,8)", "
 
 
 def rolling_features(
-    events: DataFrame, hot_rows: int = HOT_ROWS, carry: tuple[str, ...] = (), rounded: bool = False
+    events: DataFrame,
+    hot_rows: int = HOT_ROWS,
+    carry: tuple[str, ...] = (),
+    rounded: bool = False,
+    arrival: tuple[str, ...] = ("transaction_id",),
 ) -> DataFrame:
     """One feature vector per event; ``carry`` names input columns to keep.
 
+    ``arrival`` orders events of the same card and time.
+
     ``events`` needs ``transaction_id, card_id, amount, c2, event_time`` and rows that
     passed the event checks. ``rounded`` applies the two decimal places of the online vector.
     """
@@ -71,6 +77,7 @@ def rolling_features(
         "card_id",
         "event_time",
         *carry,
+        F.struct(*arrival).alias("seq") if len(arrival) > 1 else F.col(arrival[0]).alias("seq"),
         epoch_micros(F.col("event_time")).alias("t"),
         F.lit(1).cast("bigint").alias("one"),
         money(F.col("amount")).alias("amt"),
@@ -92,9 +99,9 @@ def _total(value: str, frame, where: Column | None = None) -> Column:
 
 def _ordinary(rows: DataFrame) -> DataFrame:
     card = Window.partitionBy("card_id")
-    arrived = card.orderBy("t", "transaction_id").rowsBetween(Window.unboundedPreceding, 0)
+    arrived = card.orderBy("t", "seq").rowsBetween(Window.unboundedPreceding, 0)
     same_time = (
-        Window.partitionBy("card_id", "t").orderBy("transaction_id").rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy("card_id", "t").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     )
     day = card.orderBy("t").rangeBetween(-WINDOWS["24h"] * MICROS, -1)
 
@@ -145,7 +152,7 @@ def _divided(rows: DataFrame, carry: tuple[str, ...]) -> DataFrame:
     )
     own = F.col("lag") == 0
     in_cell = Window.partitionBy("card_id", "cell")
-    arrived = in_cell.orderBy("t", "transaction_id").rowsBetween(Window.unboundedPreceding, 0)
+    arrived = in_cell.orderBy("t", "seq").rowsBetween(Window.unboundedPreceding, 0)
     expired = in_cell.orderBy("t").rangeBetween(Window.unboundedPreceding, -1)
     not_expired = in_cell.orderBy(F.desc("t")).rangeBetween(Window.unboundedPreceding, 0)
 
