@@ -70,7 +70,7 @@ def normalize_raw_event(raw: DataFrame, base_seconds: float) -> DataFrame:
         F.col("TransactionID").cast("bigint").alias("transaction_id"),
         F.coalesce(F.col("isFraud").cast("int"), F.lit(0)).alias("is_fraud"),
         number("TransactionDT").alias("transaction_dt"),
-        F.date_format(event_time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"),
+        F.date_format(event_time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("timestamp"),
         F.coalesce(F.col("card1").cast("bigint").cast("string"), F.lit("unknown_card")).alias("card_id"),
         number("TransactionAmt").alias("amount"),
         text("ProductCD", "W").alias("product_cd"),

@@ -166,6 +166,11 @@ class GateResult:
     null_ratio: float | None
     clean: DataFrame
     quarantined: DataFrame
+    checked: DataFrame
+
+    def release(self) -> None:
+        """Free the checked rows once both halves are written."""
+        self.checked.unpersist()
 
 
 class GateFailed(RuntimeError):
@@ -191,4 +196,4 @@ def gate(df: DataFrame, checks: list[Check] = BATCH_CHECKS, on_fail: str = "quar
         checked.unpersist()
         raise GateFailed(f"{summary.bad} of {summary.n} rows fail the checks")
     clean = coerced(clean_rows(checked), checks)
-    return GateResult(is_valid, summary.n, summary.bad, summary.nulls, clean, failing_rows(checked))
+    return GateResult(is_valid, summary.n, summary.bad, summary.nulls, clean, failing_rows(checked), checked)

@@ -40,6 +40,15 @@ class FeatureView:
     def features(self) -> list[str]:
         return self.schema.fieldNames()
 
+    def select_schema(self) -> T.StructType:
+        return T.StructType(
+            [
+                T.StructField(self.entity, T.StringType()),
+                T.StructField(self.timestamp, T.TimestampType()),
+                *self.schema.fields,
+            ]
+        )
+
     def select(self, df: DataFrame) -> DataFrame:
         """The view's columns with their declared types."""
         return df.select(

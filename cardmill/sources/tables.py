@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,14 +61,22 @@ def replay_order(raw: DataFrame) -> DataFrame:
     return raw.orderBy("TransactionDT", "TransactionID")
 
 
+def _day() -> Column:
+    return F.concat_ws("-", F.col("year"), F.lpad("month", 2, "0"), F.lpad("day", 2, "0"))
+
+
 def latest_partition(lake: DataFrame) -> DataFrame:
     """Rows of the newest ``year/month/day`` partition only.
 
-    The newest day comes from a scalar subquery over the partition columns; the scan is
-    pruned to it.
+    The newest day is a scalar subquery over the partition columns; the scan is pruned to it.
     """
-    day = F.concat_ws("-", F.col("year"), F.lpad("month", 2, "0"), F.lpad("day", 2, "0"))
-    return lake.where(day == lake.agg(F.max(day)).scalar())
+    return lake.where(_day() == lake.agg(F.max(_day())).scalar())
+
+
+def previous_partition(lake: DataFrame) -> DataFrame:
+    """Rows of the partition before the newest; empty when there is only one."""
+    newest = lake.agg(F.max(_day())).scalar()
+    return lake.where(_day() == lake.where(_day() < newest).agg(F.max(_day())).scalar())
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -98,6 +98,9 @@ class FeatureBatch:
 
     def __call__(self, parsed: DataFrame, batch_id: int) -> None:
         spark, tables = parsed.sparkSession, self.tables
+        # A stream's own session starts with adaptive execution off. The work below is plain
+        # batch work on finished data and needs it to split skewed joins.
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         placed = self._placed(parsed, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
         try:

@@ -129,6 +129,24 @@ def test_repeating_a_batch_changes_nothing(spark, tmp_path):
     assert tables.quarantine.read(spark).count() == 0
 
 
+def test_batch_work_is_planned_adaptively(spark, tmp_path):
+    write(tmp_path / "in", 1, SAMPLES)
+    seen = []
+
+    class Spy(FeatureBatch):
+        def _vectors(self, on_time, days, batch_id):
+            vectors = super()._vectors(on_time, days, batch_id)
+            seen.append(vectors._jdf.queryExecution().executedPlan().toString().splitlines()[0])
+            return vectors
+
+    raw = file_events(spark, str(tmp_path / "in"))
+    tables = StreamTables(str(tmp_path / "out"))
+    parsed_events(raw).writeStream.foreachBatch(Spy(tables)).option("checkpointLocation", tables.checkpoint).trigger(
+        availableNow=True
+    ).start().awaitTermination(120)
+    assert seen and seen[0].startswith("AdaptiveSparkPlan")
+
+
 def test_online_table_compacts(spark, tmp_path):
     table = OnlineTable(str(tmp_path / "t"), VECTOR_SCHEMA, "card_id", ("last_updated", "transaction_id"), compact_every=2)
 
