@@ -22,10 +22,10 @@ roll-up has one row per card and active minute whatever the traffic.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardmill.functions.columns import MICROS, epoch_micros, money
+from cardmill.functions.columns import MICROS, MONEY
 from cardmill.operators.skew import HOT_ROWS, hot_keys
 
 WINDOWS = {"1m": 60, "5m": 300, "1h": 3600, "24h": 86_400}
@@ -55,7 +55,16 @@ _TOTALS = {
     "c2_1h": ("c2x", "1h"),
 }
 # value -> type of its totals; fixed so that sums and differences keep every decimal place
-_VALUES = {"one": "bigint", "amt": "decimal(28,4)", "amt_sq": "decimal(34,8)", "c2x": "decimal(28,4)"}
+_VALUES = {"one": "BIGINT", "amt": "DECIMAL(28,4)", "amt_sq": "DECIMAL(34,8)", "c2x": "DECIMAL(28,4)"}
+
+# Frames are written as SQL text: one call builds a whole projection, which matters to a
+# stream that plans this for every micro-batch.
+_SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+
+
+def _up_to(distance: int) -> str:
+    """Everything at least ``distance`` before the current value of the ordering column."""
+    return f"RANGE BETWEEN UNBOUNDED PRECEDING AND {distance}L PRECEDING"
 
 
 def rolling_features(
@@ -72,146 +81,138 @@ def rolling_features(
     ``events`` needs ``transaction_id, card_id, amount, c2, event_time`` and rows that
     passed the event checks. ``rounded`` applies the two decimal places of the online vector.
     """
-    rows = events.select(
+    rows = events.select("transaction_id", "card_id", "event_time", "amount", "c2", *_extra_columns(carry, arrival))
+    rows = rows.selectExpr(
         "transaction_id",
         "card_id",
         "event_time",
         *carry,
-        F.struct(*arrival).alias("seq") if len(arrival) > 1 else F.col(arrival[0]).alias("seq"),
-        epoch_micros(F.col("event_time")).alias("t"),
-        F.lit(1).cast("bigint").alias("one"),
-        money(F.col("amount")).alias("amt"),
-        (money(F.col("amount")) * money(F.col("amount"))).cast("decimal(24,8)").alias("amt_sq"),
-        F.coalesce(money(F.col("c2")), F.lit(0).cast("decimal(18,4)")).alias("c2x"),
-    )
+        f"struct({', '.join(arrival)}) AS seq" if len(arrival) > 1 else f"{arrival[0]} AS seq",
+        "unix_micros(CAST(event_time AS TIMESTAMP)) AS t",
+        "CAST(1 AS BIGINT) AS one",
+        f"TRY_CAST(amount AS {MONEY}) AS amt",
+        f"COALESCE(TRY_CAST(c2 AS {MONEY}), 0) AS c2x",
+    ).selectExpr("*", "CAST(amt * amt AS DECIMAL(24,8)) AS amt_sq")
     hot = F.broadcast(hot_keys(events, "card_id", hot_rows))
-    totals = [F.col(name).cast(_VALUES[value]).alias(name) for name, (value, _) in _TOTALS.items()]
-    kept = ["transaction_id", "card_id", "event_time", *carry, *totals, "max_24h"]
-    ordinary = _ordinary(rows.join(hot, "card_id", "left_anti")).select(kept)
-    divided = _divided(rows.join(hot, "card_id", "left_semi"), carry).select(kept)
+    kept = ["transaction_id", "card_id", "event_time", *carry]
+    kept += [f"CAST({name} AS {_VALUES[value]}) AS {name}" for name, (value, _) in _TOTALS.items()]
+    kept += ["max_24h"]
+    ordinary = _ordinary(rows.join(hot, "card_id", "left_anti")).selectExpr(kept)
+    divided = _divided(rows.join(hot, "card_id", "left_semi")).selectExpr(kept)
     return _vectors(ordinary.unionByName(divided), carry, rounded)
 
 
-def _total(value: str, frame, where: Column | None = None) -> Column:
-    summed = F.sum(F.col(value) if where is None else F.when(where, F.col(value)))
-    return F.coalesce(summed.over(frame).cast(_VALUES[value]), F.lit(0).cast(_VALUES[value]))
+def _extra_columns(carry: tuple[str, ...], arrival: tuple[str, ...]) -> list[str]:
+    """Columns needed beyond the five of an event, each once."""
+    return [name for name in dict.fromkeys((*carry, *arrival)) if name != "transaction_id"]
+
+
+def _total(value: str, over: str, where: str | None = None) -> str:
+    summed = value if where is None else f"CASE WHEN {where} THEN {value} END"
+    return f"CAST(COALESCE(SUM({summed}) OVER ({over}), 0) AS {_VALUES[value]})"
 
 
 def _ordinary(rows: DataFrame) -> DataFrame:
-    card = Window.partitionBy("card_id")
-    arrived = card.orderBy("t", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    same_time = (
-        Window.partitionBy("card_id", "t").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    day = card.orderBy("t").rangeBetween(-WINDOWS["24h"] * MICROS, -1)
+    arrived = f"PARTITION BY card_id ORDER BY t, seq {_SO_FAR}"
+    same_time = f"PARTITION BY card_id, t ORDER BY seq {_SO_FAR}"
+    in_time = "PARTITION BY card_id ORDER BY t"
+    day = f"{in_time} RANGE BETWEEN {WINDOWS['24h'] * MICROS}L PRECEDING AND 1L PRECEDING"
 
-    def gone(window: str):
-        return card.orderBy("t").rangeBetween(Window.unboundedPreceding, -WINDOWS[window] * MICROS - 1)
+    def gone(window: str) -> str:
+        return f"{in_time} {_up_to(WINDOWS[window] * MICROS + 1)}"
 
-    running = rows.withColumns({f"run_{v}": _total(v, arrived) for v in _VALUES})
-    running = running.withColumn("tie_max", F.max("amt").over(same_time))
-    totals = {
-        name: F.col(f"run_{value}") - _total(value, gone(window))
-        for name, (value, window) in _TOTALS.items()
-    }
-    return running.withColumns(totals | {"max_24h": F.greatest("tie_max", F.max("amt").over(day))})
+    running = rows.selectExpr("*", *[f"{_total(v, arrived)} AS run_{v}" for v in _VALUES])
+    running = running.selectExpr("*", f"MAX(amt) OVER ({same_time}) AS tie_max")
+    totals = [f"run_{value} - {_total(value, gone(window))} AS {name}" for name, (value, window) in _TOTALS.items()]
+    return running.selectExpr("*", *totals, f"GREATEST(tie_max, MAX(amt) OVER ({day})) AS max_24h")
 
 
-def _divided(rows: DataFrame, carry: tuple[str, ...]) -> DataFrame:
-    cell_micros = CELL_SECONDS * MICROS
-    cell = F.floor(F.col("t") / F.lit(cell_micros)).cast("bigint")
+def _divided(rows: DataFrame) -> DataFrame:
+    cell = f"CAST(FLOOR(t / {CELL_SECONDS * MICROS}) AS BIGINT) AS cell"
 
     # Whole minutes: one row per card and active minute.
-    per_minute = (
-        rows.groupBy("card_id", cell.alias("cell"))
-        .agg(*[F.sum(v).alias(v) for v in _VALUES], F.max("amt").alias("amt_max"))
+    per_minute = rows.selectExpr("*", cell).groupBy("card_id", "cell").agg(
+        *[F.sum(v).alias(v) for v in _VALUES], F.max("amt").alias("amt_max")
     )
-    by_minute = Window.partitionBy("card_id").orderBy("cell")
-    before = by_minute.rangeBetween(Window.unboundedPreceding, -1)
+    by_minute = "PARTITION BY card_id ORDER BY cell"
+    day_cells = WINDOWS["24h"] // CELL_SECONDS
 
-    def whole(value: str, window: str) -> Column:
-        cells = WINDOWS[window] // CELL_SECONDS
-        older = by_minute.rangeBetween(Window.unboundedPreceding, -cells - 1)
-        return (_total(value, before) - _total(value, older)).cast(_VALUES[value])
+    def whole(value: str, window: str) -> str:
+        older = _up_to(WINDOWS[window] // CELL_SECONDS + 1)
+        difference = f"{_total(value, f'{by_minute} {_up_to(1)}')} - {_total(value, f'{by_minute} {older}')}"
+        return f"CAST({difference} AS {_VALUES[value]})"
 
-    inner_day = by_minute.rangeBetween(-(WINDOWS["24h"] // CELL_SECONDS) + 1, -1)
-    middle = per_minute.select(
+    middle = per_minute.selectExpr(
         "card_id",
         "cell",
-        *[whole(value, window).alias(f"mid_{name}") for name, (value, window) in _TOTALS.items()],
-        F.max("amt_max").over(inner_day).alias("mid_max"),
+        *[f"{whole(value, window)} AS mid_{name}" for name, (value, window) in _TOTALS.items()],
+        f"MAX(amt_max) OVER ({by_minute} RANGE BETWEEN {day_cells - 1}L PRECEDING AND 1L PRECEDING) AS mid_max",
     )
 
     # Own rows (lag 0) and, for every window, the same rows at the time they expire.
-    lags = F.array(*[F.lit(seconds) for seconds in (0, *WINDOWS.values())])
+    lags = ", ".join(f"{seconds}L" for seconds in (0, *WINDOWS.values()))
     copies = (
-        rows.withColumn("lag", F.explode(lags))
-        .withColumn("t", F.col("t") + F.col("lag").cast("bigint") * MICROS)
-        .withColumn("cell", cell)
+        rows.selectExpr("*", f"EXPLODE(ARRAY({lags})) AS lag")
+        .withColumn("t", F.expr(f"t + lag * {MICROS}"))
+        .selectExpr("*", cell)
         .repartition("card_id", "cell")
     )
-    own = F.col("lag") == 0
-    in_cell = Window.partitionBy("card_id", "cell")
-    arrived = in_cell.orderBy("t", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    expired = in_cell.orderBy("t").rangeBetween(Window.unboundedPreceding, -1)
-    not_expired = in_cell.orderBy(F.desc("t")).rangeBetween(Window.unboundedPreceding, 0)
-
-    seen = copies.withColumns(
-        {f"run_{v}": _total(v, arrived, own) for v in _VALUES}
-        | {"own_max": F.max(F.when(own, F.col("amt"))).over(arrived)}
+    in_cell = "PARTITION BY card_id, cell"
+    arrived = f"{in_cell} ORDER BY t, seq {_SO_FAR}"
+    expired = f"{in_cell} ORDER BY t {_up_to(1)}"
+    not_expired = f"{in_cell} ORDER BY t DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+
+    seen = copies.selectExpr(
+        "*",
+        *[f"{_total(v, arrived, 'lag = 0')} AS run_{v}" for v in _VALUES],
+        f"MAX(CASE WHEN lag = 0 THEN amt END) OVER ({arrived}) AS own_max",
     )
-    seen = seen.withColumns(
-        {
-            f"gone_{name}": _total(value, expired, F.col("lag") == WINDOWS[window])
+    seen = seen.selectExpr(
+        "*",
+        *[
+            f"{_total(value, expired, f'lag = {WINDOWS[window]}')} AS gone_{name}"
             for name, (value, window) in _TOTALS.items()
-        }
+        ],
     )
-    seen = seen.withColumn(
-        "edge_max", F.max(F.when(F.col("lag") == WINDOWS["24h"], F.col("amt"))).over(not_expired)
+    seen = seen.selectExpr(
+        "*", f"MAX(CASE WHEN lag = {WINDOWS['24h']} THEN amt END) OVER ({not_expired}) AS edge_max"
     )
-    joined = seen.where(own).join(middle, ["card_id", "cell"])
-    totals = {
-        name: F.col(f"run_{value}") + F.col(f"mid_{name}") - F.col(f"gone_{name}")
-        for name, (value, _) in _TOTALS.items()
-    }
-    return joined.withColumns(totals | {"max_24h": F.greatest("own_max", "mid_max", "edge_max")})
+    joined = seen.where("lag = 0").join(middle, ["card_id", "cell"])
+    totals = [f"run_{value} + mid_{name} - gone_{name} AS {name}" for name, (value, _) in _TOTALS.items()]
+    return joined.selectExpr("*", *totals, "GREATEST(own_max, mid_max, edge_max) AS max_24h")
 
 
 def _vectors(rows: DataFrame, carry: tuple[str, ...], rounded: bool) -> DataFrame:
-    def real(name: str) -> Column:
-        return F.col(name).cast("double")
-
     # n * sum(x^2) - sum(x)^2 in decimals, so that equal amounts give exactly zero. Up to
     # 100,000 rows a day it is exact; beyond, two places fewer leave room for the digits
     # and the error in the variance is below 1e-11.
-    def spread(total_type: str, square_type: str) -> Column:
-        total = F.col("sum_24h").cast(total_type)
-        return (F.col("n_24h").cast("decimal(12,0)") * F.col("sq_24h").cast(square_type) - total * total).cast("double")
-
-    few = F.col("n_24h") < 100_000
-    variance_n2 = F.when(few, spread("decimal(18,4)", "decimal(25,8)")).otherwise(
-        spread("decimal(20,4)", "decimal(26,6)")
+    def spread(total: str, square: str) -> str:
+        return (
+            f"CAST(CAST(n_24h AS DECIMAL(12,0)) * CAST(sq_24h AS {square})"
+            f" - CAST(sum_24h AS {total}) * CAST(sum_24h AS {total}) AS DOUBLE)"
+        )
+
+    variance_n2 = (
+        f"CASE WHEN n_24h < 100000 THEN {spread('DECIMAL(18,4)', 'DECIMAL(25,8)')}"
+        f" ELSE {spread('DECIMAL(20,4)', 'DECIMAL(26,6)')} END"
     )
     features = {
-        "trans_count_1m": F.col("n_1m").cast("bigint"),
-        "trans_count_5m": F.col("n_5m").cast("bigint"),
-        "trans_count_1h": F.col("n_1h").cast("bigint"),
-        "total_amount_1h": real("sum_1h"),
-        "avg_amount_1h": real("sum_1h") / F.col("n_1h"),
-        "avg_amount_24h": real("sum_24h") / F.col("n_24h"),
-        "stddev_amount_24h": F.when(F.col("n_24h") > 1, F.sqrt(variance_n2) / F.col("n_24h")).otherwise(0.0),
-        "max_amount_24h": real("max_24h"),
-        "c2_count_sum_1h": real("c2_1h"),
+        "trans_count_1m": "n_1m",
+        "trans_count_5m": "n_5m",
+        "trans_count_1h": "n_1h",
+        "total_amount_1h": "CAST(sum_1h AS DOUBLE)",
+        "avg_amount_1h": "CAST(sum_1h AS DOUBLE) / n_1h",
+        "avg_amount_24h": "CAST(sum_24h AS DOUBLE) / n_24h",
+        "stddev_amount_24h": f"CASE WHEN n_24h > 1 THEN SQRT({variance_n2}) / n_24h ELSE CAST(0 AS DOUBLE) END",
+        "max_amount_24h": "CAST(max_24h AS DOUBLE)",
+        "c2_count_sum_1h": "CAST(c2_1h AS DOUBLE)",
     }
     if rounded:
-        features = {
-            name: F.round(value, 2) if not name.startswith("trans_count") else value
-            for name, value in features.items()
-        }
-    return rows.select(
+        features = {n: e if n.startswith("trans_count") else f"ROUND({e}, 2)" for n, e in features.items()}
+    return rows.selectExpr(
         "transaction_id",
         "card_id",
         *carry,
-        *[value.alias(name) for name, value in features.items()],
-        F.col("event_time").alias("last_updated"),
+        *[f"{expression} AS {name}" for name, expression in features.items()],
+        "event_time AS last_updated",
     )

@@ -11,10 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 200_000
-# Bounds the broadcast list of hot keys. Keys ranked below it hold less than
-# total / MAX_HOT_KEYS rows each and are handled, in full, as ordinary keys.
-MAX_HOT_KEYS = 100_000
+HOT_ROWS = 100_000
+# Bounds the broadcast list of hot keys to some tens of megabytes. Keys ranked below it
+# hold less than total / MAX_HOT_KEYS rows each and are handled, in full, as ordinary keys.
+MAX_HOT_KEYS = 1_000_000
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS) -> DataFrame:

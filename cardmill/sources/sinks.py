@@ -83,7 +83,9 @@ class BatchParts:
     def read(self, spark: SparkSession, after: int = -1, before: int | None = None) -> DataFrame:
         numbers = self.numbers(spark, after, before)
         if not numbers:
-            return spark.createDataFrame([], self.schema)
+            # A constant-false filter, unlike an empty frame, is removed from the plan.
+            nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields]
+            return spark.range(1).where(F.lit(False)).select(*nulls)
         paths = [f"{self.path}/{self.part}={n}" for n in numbers]
         read = spark.read.schema(self.schema).option("basePath", self.path)
         return read.parquet(*paths).select(self.schema.fieldNames())
@@ -105,14 +107,20 @@ class OnlineTable:
     def upsert(self, updates: DataFrame, batch_id: int) -> None:
         self.delta.write(latest_per_key(updates, self.key, *self.order), batch_id)
 
-    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+    def _rows(self, spark: SparkSession, before: int | None) -> DataFrame:
         versions = self.base.numbers(spark, before=before)
         if not versions:
-            rows = self.delta.read(spark, before=before)
-        else:
-            rows = self.base.read(spark, after=versions[-1] - 1, before=versions[-1] + 1)
-            rows = rows.unionByName(self.delta.read(spark, after=versions[-1], before=before))
-        return latest_per_key(rows, self.key, *self.order)
+            return self.delta.read(spark, before=before)
+        newest = versions[-1]
+        base = self.base.read(spark, after=newest - 1, before=newest + 1)
+        return base.unionByName(self.delta.read(spark, after=newest, before=before))
+
+    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        return latest_per_key(self._rows(spark, before), self.key, *self.order)
+
+    def newest(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """Only the key and its newest order value; reads two columns."""
+        return self._rows(spark, before).groupBy(self.key).agg(F.max(self.order[0]).alias("newest"))
 
     def compact(self, spark: SparkSession, batch_id: int) -> None:
         """Merge everything up to and including ``batch_id`` into a new base version."""

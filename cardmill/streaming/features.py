@@ -101,39 +101,35 @@ class FeatureBatch:
         # A stream's own session starts with adaptive execution off. The work below is plain
         # batch work on finished data and needs it to split skewed joins.
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-        parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         placed = self._placed(parsed, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
+        valid = placed.where(F.size(REASONS) == 0)
         try:
-            self._archive(placed, batch_id)
-            self._quarantine(parsed, placed, batch_id)
-            on_time = placed.where(~F.col("late"))
+            self._archive(valid, batch_id)
+            self._quarantine(placed, batch_id)
+            on_time = valid.where(~F.col("late"))
             # One value per calendar day in the batch.
             days = [row.day for row in on_time.select(F.to_date("event_time").alias("day")).distinct().collect()]
             if days:
-                vectors = self._vectors(on_time, days, batch_id)
-                tables.vectors.write(vectors, batch_id)
+                tables.vectors.write(self._vectors(on_time, days, batch_id), batch_id)
                 written = tables.vectors.read(spark, after=batch_id - 1, before=batch_id + 1)
                 tables.online.upsert(written, batch_id)
                 tables.online.compact_if_due(spark, batch_id)
         finally:
             placed.unpersist()
-            parsed.unpersist()
 
     def _placed(self, parsed: DataFrame, batch_id: int) -> DataFrame:
-        """Valid events, marked late when behind the newest event of their card.
+        """Every event, with ``late`` set on valid ones behind the newest of their card.
 
         The newest times are those before this batch; within a batch event time is the order.
         """
-        newest = self.tables.online.read(parsed.sparkSession, before=batch_id).select(
-            "card_id", F.col("last_updated").alias("newest")
-        )
+        newest = self.tables.online.newest(parsed.sparkSession, before=batch_id)
         behind = F.col("event_time") < F.col("newest") - F.expr(f"INTERVAL {LATENESS}")
-        valid = parsed.where(F.size(REASONS) == 0)
-        return valid.join(newest, "card_id", "left").withColumn("late", F.coalesce(behind, F.lit(False))).drop("newest")
+        late = (F.size(REASONS) == 0) & F.coalesce(behind, F.lit(False))
+        return parsed.join(newest, "card_id", "left").withColumn("late", late).drop("newest")
 
-    def _archive(self, placed: DataFrame, batch_id: int) -> None:
+    def _archive(self, valid: DataFrame, batch_id: int) -> None:
         """Every valid event, appended by day."""
-        rows = placed.select(
+        rows = valid.select(
             "transaction_id",
             "card_id",
             "amount",
@@ -147,11 +143,15 @@ class FeatureBatch:
         )
         self.tables.archive.write(rows, batch_id, ("event_date",))
 
-    def _quarantine(self, parsed: DataFrame, placed: DataFrame, batch_id: int) -> None:
+    def _quarantine(self, placed: DataFrame, batch_id: int) -> None:
         """Rejected and late events with their reasons."""
-        bad = parsed.where(F.size(REASONS) > 0)
-        late = placed.where("late").drop("late").withColumn(REASONS, F.array(F.lit(LATE)))
-        rows = bad.unionByName(late).withColumn("quarantine_timestamp", F.current_timestamp())
+        reasons = F.when(F.col("late"), F.array(F.lit(LATE))).otherwise(F.col(REASONS))
+        rows = (
+            placed.withColumn(REASONS, reasons)
+            .where(F.size(REASONS) > 0)
+            .drop("late")
+            .withColumn("quarantine_timestamp", F.current_timestamp())
+        )
         if self.quarantine_topic:
             quarantine_messages(rows).write.format("kafka").options(**self.quarantine_topic).save()
         dated = rows.withColumns(

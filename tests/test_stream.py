@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from cardmill.operators.quality import REASONS
 from cardmill.operators.rolling import STREAM_FEATURES, rolling_features
 from cardmill.sources.sinks import OnlineTable
-from cardmill.streaming.features import FeatureBatch, StreamTables, VECTOR_SCHEMA, start_features
+from cardmill.streaming.features import FeatureBatch, ProgressLog, StreamTables, VECTOR_SCHEMA, start_features
 from cardmill.streaming.source import file_events, parsed_events, quarantine_messages, to_messages
 
 UTC = dt.timezone.utc
@@ -34,6 +35,12 @@ def run(spark, folder, root, files_per_batch=1000, **options):
     return tables
 
 
+def wait_until(condition, seconds=20):
+    deadline = time.time() + seconds
+    while not condition() and time.time() < deadline:
+        time.sleep(0.1)
+
+
 SAMPLES = [
     event(9001, "11556", 120.0, 0, c1=1.0, c2=2.0),
     event(9002, "11556", 350.0, 1, c1=2.0, c2=4.0),
@@ -47,9 +54,15 @@ SAMPLES = [
 ]
 
 
-def test_good_and_bad_events(spark, tmp_path):
+def test_good_and_bad_events(spark, tmp_path, caplog):
     write(tmp_path / "in", 1, SAMPLES)
-    tables = run(spark, tmp_path / "in", tmp_path / "out", rounded=True)
+    progress = ProgressLog()
+    spark.streams.addListener(progress)
+    with caplog.at_level("INFO", logger="cardmill.stream"):
+        tables = run(spark, tmp_path / "in", tmp_path / "out", rounded=True)
+        wait_until(lambda: "ended" in caplog.text)
+    spark.streams.removeListener(progress)
+    assert "batch 0: 3 valid, 6 corrupt" in caplog.text
     vectors = {r.transaction_id: r for r in tables.vectors.read(spark).collect()}
     assert sorted(vectors) == [9001, 9002, 9003]
     second = vectors[9002]
