@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from cardmill.functions.columns import MICROS, epoch_micros, or_default, with_on_demand_features
 from cardmill.operators.batch import BATCH_FEATURES
 from cardmill.operators.rolling import STREAM_FEATURES
-from cardmill.operators.skew import HOT_ROWS, hot_keys
+from cardmill.operators.skew import HOT_ROWS, hot_keys, join_per_key
 
 DAY = 86_400
 
@@ -185,13 +185,9 @@ def historical_features(
 
 
 def with_lookup_defaults(requests: DataFrame, online_batch: DataFrame) -> DataFrame:
-    """The six stored features of each request's card, each with its own default.
-
-    The stored side has one row per card. When many requests share a card, adaptive
-    execution splits that partition of the requests.
-    """
+    """The six stored features of each request's card, each with its own default."""
     stored = online_batch.select("card_id", *LOOKUP_DEFAULTS)
-    joined = requests.join(stored, "card_id", "left")
+    joined = join_per_key(requests, stored, "card_id")
     return joined.withColumns({name: or_default(F.col(name), value) for name, value in LOOKUP_DEFAULTS.items()})
 
 
@@ -204,7 +200,7 @@ def online_features(requests: DataFrame, online: dict[str, DataFrame], names: li
     result = requests
     for view_name, stored in online.items():
         view = VIEWS[view_name]
-        result = result.join(stored.select(view.entity, *view.features), view.entity, "left")
+        result = join_per_key(result, stored.select(view.entity, *view.features), view.entity)
     result = with_on_demand_features(result)
     if names is None:
         return result

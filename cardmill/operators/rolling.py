@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardmill.functions.columns import MICROS, MONEY
+from cardmill.functions.columns import MICROS
 from cardmill.operators.skew import HOT_ROWS, hot_keys
 
 WINDOWS = {"1m": 60, "5m": 300, "1h": 3600, "24h": 86_400}
@@ -51,11 +51,24 @@ _TOTALS = {
     "n_24h": ("one", "24h"),
     "sum_1h": ("amt", "1h"),
     "sum_24h": ("amt", "24h"),
-    "sq_24h": ("amt_sq", "24h"),
+    "hh_24h": ("hh", "24h"),
+    "hl_24h": ("hl", "24h"),
+    "ll_24h": ("ll", "24h"),
     "c2_1h": ("c2x", "1h"),
 }
-# value -> type of its totals; fixed so that sums and differences keep every decimal place
-_VALUES = {"one": "BIGINT", "amt": "DECIMAL(28,4)", "amt_sq": "DECIMAL(34,8)", "c2x": "DECIMAL(28,4)"}
+
+# Amounts and c2 are summed as whole ten-thousandths, so totals are exact, do not depend on
+# the order of the rows and can be subtracted. The square of an amount does not fit 64 bits;
+# with amt = h * 65536 + l its parts h*h, h*l and l*l do.
+UNITS = 10_000
+_VALUES = {
+    "one": "1L",
+    "amt": "amt",
+    "hh": "SHIFTRIGHT(amt, 16) * SHIFTRIGHT(amt, 16)",
+    "hl": "SHIFTRIGHT(amt, 16) * (amt & 65535L)",
+    "ll": "(amt & 65535L) * (amt & 65535L)",
+    "c2x": "c2x",
+}
 
 # Frames are written as SQL text: one call builds a whole projection, which matters to a
 # stream that plans this for every micro-batch.
@@ -89,16 +102,14 @@ def rolling_features(
         *carry,
         f"struct({', '.join(arrival)}) AS seq" if len(arrival) > 1 else f"{arrival[0]} AS seq",
         "unix_micros(CAST(event_time AS TIMESTAMP)) AS t",
-        "CAST(1 AS BIGINT) AS one",
-        f"TRY_CAST(amount AS {MONEY}) AS amt",
-        f"COALESCE(TRY_CAST(c2 AS {MONEY}), 0) AS c2x",
-    ).selectExpr("*", "CAST(amt * amt AS DECIMAL(24,8)) AS amt_sq")
+        "amount",
+        f"TRY_CAST(RINT(amount * {UNITS}) AS BIGINT) AS amt",
+        f"COALESCE(TRY_CAST(RINT(c2 * {UNITS}) AS BIGINT), 0L) AS c2x",
+    )
     hot = F.broadcast(hot_keys(events, "card_id", hot_rows))
-    kept = ["transaction_id", "card_id", "event_time", *carry]
-    kept += [f"CAST({name} AS {_VALUES[value]}) AS {name}" for name, (value, _) in _TOTALS.items()]
-    kept += ["max_24h"]
-    ordinary = _ordinary(rows.join(hot, "card_id", "left_anti")).selectExpr(kept)
-    divided = _divided(rows.join(hot, "card_id", "left_semi")).selectExpr(kept)
+    kept = ["transaction_id", "card_id", "event_time", *carry, *_TOTALS, "max_24h"]
+    ordinary = _ordinary(rows.join(hot, "card_id", "left_anti")).select(kept)
+    divided = _divided(rows.join(hot, "card_id", "left_semi")).select(kept)
     return _vectors(ordinary.unionByName(divided), carry, rounded)
 
 
@@ -108,8 +119,8 @@ def _extra_columns(carry: tuple[str, ...], arrival: tuple[str, ...]) -> list[str
 
 
 def _total(value: str, over: str, where: str | None = None) -> str:
-    summed = value if where is None else f"CASE WHEN {where} THEN {value} END"
-    return f"CAST(COALESCE(SUM({summed}) OVER ({over}), 0) AS {_VALUES[value]})"
+    summed = _VALUES[value] if where is None else f"CASE WHEN {where} THEN {_VALUES[value]} END"
+    return f"COALESCE(SUM({summed}) OVER ({over}), 0L)"
 
 
 def _ordinary(rows: DataFrame) -> DataFrame:
@@ -122,9 +133,9 @@ def _ordinary(rows: DataFrame) -> DataFrame:
         return f"{in_time} {_up_to(WINDOWS[window] * MICROS + 1)}"
 
     running = rows.selectExpr("*", *[f"{_total(v, arrived)} AS run_{v}" for v in _VALUES])
-    running = running.selectExpr("*", f"MAX(amt) OVER ({same_time}) AS tie_max")
+    running = running.selectExpr("*", f"MAX(amount) OVER ({same_time}) AS tie_max")
     totals = [f"run_{value} - {_total(value, gone(window))} AS {name}" for name, (value, window) in _TOTALS.items()]
-    return running.selectExpr("*", *totals, f"GREATEST(tie_max, MAX(amt) OVER ({day})) AS max_24h")
+    return running.selectExpr("*", *totals, f"GREATEST(tie_max, MAX(amount) OVER ({day})) AS max_24h")
 
 
 def _divided(rows: DataFrame) -> DataFrame:
@@ -132,21 +143,24 @@ def _divided(rows: DataFrame) -> DataFrame:
 
     # Whole minutes: one row per card and active minute.
     per_minute = rows.selectExpr("*", cell).groupBy("card_id", "cell").agg(
-        *[F.sum(v).alias(v) for v in _VALUES], F.max("amt").alias("amt_max")
+        *[F.sum(F.expr(expression)).alias(f"sum_{v}") for v, expression in _VALUES.items()],
+        F.max("amount").alias("amount_max"),
     )
     by_minute = "PARTITION BY card_id ORDER BY cell"
     day_cells = WINDOWS["24h"] // CELL_SECONDS
 
     def whole(value: str, window: str) -> str:
-        older = _up_to(WINDOWS[window] // CELL_SECONDS + 1)
-        difference = f"{_total(value, f'{by_minute} {_up_to(1)}')} - {_total(value, f'{by_minute} {older}')}"
-        return f"CAST({difference} AS {_VALUES[value]})"
+        # Totals over a hot card's whole past may need more than 64 bits, those of a day do not.
+        def until(distance: int) -> str:
+            return f"COALESCE(SUM(CAST(sum_{value} AS DECIMAL(28,0))) OVER ({by_minute} {_up_to(distance)}), 0)"
+
+        return f"CAST({until(1)} - {until(WINDOWS[window] // CELL_SECONDS + 1)} AS BIGINT)"
 
     middle = per_minute.selectExpr(
         "card_id",
         "cell",
         *[f"{whole(value, window)} AS mid_{name}" for name, (value, window) in _TOTALS.items()],
-        f"MAX(amt_max) OVER ({by_minute} RANGE BETWEEN {day_cells - 1}L PRECEDING AND 1L PRECEDING) AS mid_max",
+        f"MAX(amount_max) OVER ({by_minute} RANGE BETWEEN {day_cells - 1}L PRECEDING AND 1L PRECEDING) AS mid_max",
     )
 
     # Own rows (lag 0) and, for every window, the same rows at the time they expire.
@@ -165,7 +179,7 @@ def _divided(rows: DataFrame) -> DataFrame:
     seen = copies.selectExpr(
         "*",
         *[f"{_total(v, arrived, 'lag = 0')} AS run_{v}" for v in _VALUES],
-        f"MAX(CASE WHEN lag = 0 THEN amt END) OVER ({arrived}) AS own_max",
+        f"MAX(CASE WHEN lag = 0 THEN amount END) OVER ({arrived}) AS own_max",
     )
     seen = seen.selectExpr(
         "*",
@@ -175,7 +189,7 @@ def _divided(rows: DataFrame) -> DataFrame:
         ],
     )
     seen = seen.selectExpr(
-        "*", f"MAX(CASE WHEN lag = {WINDOWS['24h']} THEN amt END) OVER ({not_expired}) AS edge_max"
+        "*", f"MAX(CASE WHEN lag = {WINDOWS['24h']} THEN amount END) OVER ({not_expired}) AS edge_max"
     )
     joined = seen.where("lag = 0").join(middle, ["card_id", "cell"])
     totals = [f"run_{value} + mid_{name} - gone_{name} AS {name}" for name, (value, _) in _TOTALS.items()]
@@ -183,29 +197,27 @@ def _divided(rows: DataFrame) -> DataFrame:
 
 
 def _vectors(rows: DataFrame, carry: tuple[str, ...], rounded: bool) -> DataFrame:
-    # n * sum(x^2) - sum(x)^2 in decimals, so that equal amounts give exactly zero. Up to
-    # 100,000 rows a day it is exact; beyond, two places fewer leave room for the digits
-    # and the error in the variance is below 1e-11.
-    def spread(total: str, square: str) -> str:
-        return (
-            f"CAST(CAST(n_24h AS DECIMAL(12,0)) * CAST(sq_24h AS {square})"
-            f" - CAST(sum_24h AS {total}) * CAST(sum_24h AS {total}) AS DOUBLE)"
-        )
-
-    variance_n2 = (
-        f"CASE WHEN n_24h < 100000 THEN {spread('DECIMAL(18,4)', 'DECIMAL(25,8)')}"
-        f" ELSE {spread('DECIMAL(20,4)', 'DECIMAL(26,6)')} END"
+    # n * sum(x^2) - sum(x)^2 as whole numbers of up to 38 digits: equal amounts give exactly
+    # zero, and only the square root is floating point.
+    wide = "DECIMAL(38,0)"
+    squares = (
+        f"CAST(hh_24h AS {wide}) * CAST(4294967296 AS DECIMAL(10,0))"
+        f" + CAST(hl_24h AS {wide}) * CAST(131072 AS DECIMAL(6,0)) + CAST(ll_24h AS {wide})"
+    )
+    spread = (
+        f"CAST(CAST(n_24h AS DECIMAL(19,0)) * CAST({squares} AS {wide})"
+        " - CAST(sum_24h AS DECIMAL(19,0)) * CAST(sum_24h AS DECIMAL(19,0)) AS DOUBLE)"
     )
     features = {
         "trans_count_1m": "n_1m",
         "trans_count_5m": "n_5m",
         "trans_count_1h": "n_1h",
-        "total_amount_1h": "CAST(sum_1h AS DOUBLE)",
-        "avg_amount_1h": "CAST(sum_1h AS DOUBLE) / n_1h",
-        "avg_amount_24h": "CAST(sum_24h AS DOUBLE) / n_24h",
-        "stddev_amount_24h": f"CASE WHEN n_24h > 1 THEN SQRT({variance_n2}) / n_24h ELSE CAST(0 AS DOUBLE) END",
-        "max_amount_24h": "CAST(max_24h AS DOUBLE)",
-        "c2_count_sum_1h": "CAST(c2_1h AS DOUBLE)",
+        "total_amount_1h": f"sum_1h / {UNITS}D",
+        "avg_amount_1h": f"sum_1h / {UNITS}D / n_1h",
+        "avg_amount_24h": f"sum_24h / {UNITS}D / n_24h",
+        "stddev_amount_24h": f"CASE WHEN n_24h > 1 THEN SQRT({spread}) / (n_24h * {UNITS}D) ELSE 0D END",
+        "max_amount_24h": "max_24h",
+        "c2_count_sum_1h": f"c2_1h / {UNITS}D",
     }
     if rounded:
         features = {n: e if n.startswith("trans_count") else f"ROUND({e}, 2)" for n, e in features.items()}

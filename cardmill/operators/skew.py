@@ -1,9 +1,10 @@
-"""Finding the keys that are too large for one task.
+"""Keys that are too large for one task.
 
-Most operators here need no help with a dominant key: grouped aggregates combine before
-the shuffle and joins against one row per key are split by adaptive execution. Ordered
-work per key (rolling windows, as-of lookups) does need it, because a window function puts
-every row of a key in one task. Those operators ask for the hot keys and divide them by time.
+Grouped aggregates need no help with a dominant key: they combine before the shuffle. Two
+other kinds of work do. A window function puts every row of a key in one task; operators
+that need one ask for the hot keys and divide them by time. A join against one row per key
+sends every row of a key to one task, and adaptive execution does not split it when the
+other side comes straight from an aggregate; ``join_per_key`` takes the hot keys out.
 """
 
 from __future__ import annotations
@@ -26,3 +27,32 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_keys: int =
         .limit(max_keys)
         .select(key)
     )
+
+
+JOIN_HOT_ROWS = 1_000_000
+JOIN_MAX_HOT_KEYS = 100_000
+
+
+def join_per_key(
+    rows: DataFrame,
+    per_key: DataFrame,
+    key: str,
+    how: str = "left",
+    hot_rows: int = JOIN_HOT_ROWS,
+    max_keys: int = JOIN_MAX_HOT_KEYS,
+) -> DataFrame:
+    """Join many rows with a table that has at most one row per key.
+
+    Rows of hot keys, of which there are at most ``max_keys``, are joined where they lie with
+    a broadcast of those keys' rows. All others take an ordinary shuffle join. ``how`` is
+    ``inner``, ``left`` or ``left_semi``; rows without a key match nothing and stay where they
+    are in a left join.
+    """
+    hot = F.broadcast(hot_keys(rows, key, hot_rows, max_keys))
+    few = F.broadcast(per_key.join(hot, key, "left_semi"))
+    heavy = rows.join(hot, key, "left_semi")
+    usual = rows.where(F.col(key).isNotNull())
+    if how == "left":
+        heavy = heavy.unionByName(rows.where(F.col(key).isNull()))
+    usual = usual.join(hot, key, "left_anti").join(per_key, key, how)
+    return usual.unionByName(heavy.join(few, key, how))

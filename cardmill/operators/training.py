@@ -29,6 +29,7 @@ from cardmill.operators.evaluation import (
 )
 from cardmill.operators.retrieval import CARD_BATCH, point_in_time_join, with_lookup_defaults
 from cardmill.operators.sampling import hash_order, seeded_sample, stratified_split
+from cardmill.operators.skew import join_per_key
 
 AMOUNT = "TransactionAmt"
 TRAINING_FEATURES = [*BATCH_FEATURES, AMOUNT, "amount_ratio_30d", "is_amount_gt_30d_max"]
@@ -63,7 +64,7 @@ def training_set(
             CARD_BATCH.ttl_seconds,
         ).where(F.col(BATCH_FEATURES[0]).isNotNull())
     else:
-        joined = rows.join(batch_features.select("card_id", *BATCH_FEATURES), "card_id", "inner")
+        joined = join_per_key(rows, batch_features.select("card_id", *BATCH_FEATURES), "card_id", "inner")
     amount = F.col("amount")
     derived = joined.withColumns(
         {
@@ -244,9 +245,10 @@ def report_row(spark: SparkSession, report: dict) -> DataFrame:
 
 
 def score_requests(requests: DataFrame, online_batch: DataFrame, ensemble: FraudEnsemble) -> DataFrame:
-    """M5: look up, derive, score and decide, for a table or a stream of requests.
+    """M5: look up, derive, score and decide for every request.
 
     ``requests`` has ``card_id`` and a positive ``current_amount``; other columns are kept.
+    A stream of requests is scored batch by batch, see ``cardmill.streaming.scoring``.
     """
     amount = F.col("current_amount").cast("double")
     looked_up = with_lookup_defaults(requests.withColumn("card_id", F.col("card_id").cast("string")), online_batch)

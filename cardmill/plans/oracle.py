@@ -38,15 +38,15 @@ def rolling(rows: str = "tx") -> str:
             f"RANGE BETWEEN INTERVAL {seconds} SECOND PRECEDING AND CURRENT ROW)"
         )
 
-    cents = "CAST(ROUND(amount * 100) AS HUGEINT)"
+    units = "CAST(ROUND(amount * 10000) AS HUGEINT)"
     return f"""SELECT transaction_id, card_id,
       COUNT(*) OVER m1 AS trans_count_1m, COUNT(*) OVER m5 AS trans_count_5m, COUNT(*) OVER h1 AS trans_count_1h,
       CAST(SUM(money) OVER h1 AS DOUBLE) AS total_amount_1h,
       CAST(SUM(money) OVER h1 AS DOUBLE) / COUNT(*) OVER h1 AS avg_amount_1h,
       CAST(SUM(money) OVER h24 AS DOUBLE) / COUNT(*) OVER h24 AS avg_amount_24h,
       CASE WHEN COUNT(*) OVER h24 > 1 THEN
-        SQRT(CAST(COUNT(*) OVER h24 * SUM({cents} * {cents}) OVER h24
-                  - SUM({cents}) OVER h24 * SUM({cents}) OVER h24 AS DOUBLE) / 1e4) / COUNT(*) OVER h24
+        SQRT(CAST(COUNT(*) OVER h24 * SUM({units} * {units}) OVER h24
+                  - SUM({units}) OVER h24 * SUM({units}) OVER h24 AS DOUBLE)) / (COUNT(*) OVER h24 * CAST(10000 AS DOUBLE))
       ELSE 0.0 END AS stddev_amount_24h,
       MAX(amount) OVER h24 AS max_amount_24h, SUM(c2) OVER h1 AS c2_count_sum_1h, event_time AS last_updated
     FROM {rows}
@@ -316,7 +316,8 @@ ORACLE: dict[str, str] = {
     "m15_report": f"WITH {SCORED}, {confusion('CAST(0.5 AS DOUBLE)')}, {CLASS_REPORT}",
     "m16_comparison": f"""WITH {STEPS}, {confusion("CASE WHEN model = 'b' THEN CAST(0.37 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END")}
       SELECT areas.*, conf.* EXCLUDE (model), {F1} AS f1_score FROM areas JOIN conf USING (model)""",
-    "t2_stream": f"{_W} SELECT {_STREAM_COUNTS} FROM w",
+    "t2_stream": f"""WITH {TX}, good AS (SELECT * FROM tx WHERE NOT ({BAD_EVENT})), w AS ({rolling('good')})
+      SELECT {_STREAM_COUNTS} FROM w""",
     "t3_stream_quarantine": f"WITH {DIRTY} SELECT transaction_id, card_id, amount, {REASONS} AS reasons FROM dirty WHERE {BAD_EVENT}",
     "t4_archive": f"""WITH {DIRTY} SELECT transaction_id, card_id, amount, c2, product_cd, event_time AS event_timestamp,
       FALSE AS late FROM dirty WHERE NOT ({BAD_EVENT})""",

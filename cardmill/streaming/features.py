@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from cardmill.operators.quality import REASONS
 from cardmill.operators.retrieval import CARD_STREAM
 from cardmill.operators.rolling import rolling_features
-from cardmill.operators.skew import HOT_ROWS
+from cardmill.operators.skew import HOT_ROWS, join_per_key
 from cardmill.sources.sinks import BatchParts, OnlineTable
 from cardmill.streaming.source import CORRUPT, EVENT_SCHEMA, LATE, parsed_events, quarantine_messages
 
@@ -101,6 +101,7 @@ class FeatureBatch:
         # A stream's own session starts with adaptive execution off. The work below is plain
         # batch work on finished data and needs it to split skewed joins.
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+        parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         placed = self._placed(parsed, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
         valid = placed.where(F.size(REASONS) == 0)
         try:
@@ -116,6 +117,7 @@ class FeatureBatch:
                 tables.online.compact_if_due(spark, batch_id)
         finally:
             placed.unpersist()
+            parsed.unpersist()
 
     def _placed(self, parsed: DataFrame, batch_id: int) -> DataFrame:
         """Every event, with ``late`` set on valid ones behind the newest of their card.
@@ -125,7 +127,7 @@ class FeatureBatch:
         newest = self.tables.online.newest(parsed.sparkSession, before=batch_id)
         behind = F.col("event_time") < F.col("newest") - F.expr(f"INTERVAL {LATENESS}")
         late = (F.size(REASONS) == 0) & F.coalesce(behind, F.lit(False))
-        return parsed.join(newest, "card_id", "left").withColumn("late", late).drop("newest")
+        return join_per_key(parsed, newest, "card_id").withColumn("late", late).drop("newest")
 
     def _archive(self, valid: DataFrame, batch_id: int) -> None:
         """Every valid event, appended by day."""
@@ -171,8 +173,8 @@ class FeatureBatch:
             .where(F.col("event_date").isin(needed) & ~F.col("late"))
             .withColumnRenamed("event_timestamp", "event_time")
             .select(columns)
-            .join(on_time.select("card_id").distinct(), "card_id", "left_semi")
         )
+        history = join_per_key(history, on_time.select("card_id").distinct(), "card_id", "left_semi")
         new = on_time.withColumn("batch_id", F.lit(batch_id).cast("bigint")).select(columns)
         vectors = rolling_features(
             history.unionByName(new),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cardmill.operators import training as M
 from cardmill.operators.batch import batch_features, class_balance, first_per_key, label_summary
 from cardmill.sources.tables import transactions
+from cardmill.streaming.scoring import scored_table, start_scoring
 from conftest import SF_SMALL
 
 
@@ -92,15 +93,9 @@ def test_scoring_a_stream(spark, fitted, tmp_path):
     online = batch_features(transactions(spark, SF_SMALL), F.lit(dt.datetime(2024, 2, 1)))
     spark.createDataFrame([("8", 250.0), ("nobody", 2.0)], "card_id string, current_amount double").write.json(str(tmp_path / "in"))
     stream = spark.readStream.schema("card_id string, current_amount double").json(str(tmp_path / "in"))
-    query = (
-        M.score_requests(stream, online, ensemble)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", str(tmp_path / "cp"))
-        .trigger(availableNow=True)
-        .start(str(tmp_path / "out"))
-    )
-    query.awaitTermination(120)
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+    start_scoring(stream, lambda _: online, ensemble, str(tmp_path / "out")).awaitTermination(120)
+    rows = scored_table(spark, stream.schema, str(tmp_path / "out")).collect()
+    assert {r.card_id for r in rows} == {"8", "nobody"} and {r.decision for r in rows} <= {M.ALERT, M.APPROVED}
 
 
 def test_importance(fitted, dataset):
