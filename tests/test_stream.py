@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 import random
 import time
 
@@ -26,7 +27,9 @@ def event(tid, card, amount, seconds=0, **extra):
 def write(folder, number, events):
     folder.mkdir(exist_ok=True)
     lines = [e if isinstance(e, str) else json.dumps(e) for e in events]
-    (folder / f"part-{number:03d}.json").write_text("\n".join(lines) + "\n")
+    path = folder / f"part-{number:03d}.json"
+    path.write_text("\n".join(lines) + "\n")
+    os.utime(path, (1_700_000_000 + number, 1_700_000_000 + number))  # files are read in time order
 
 
 def run(spark, folder, root, files_per_batch=1000, **options):
