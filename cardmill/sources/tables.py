@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,7 +53,25 @@ def first_transactions(transactions: DataFrame, limit: int = 50_000) -> DataFram
     File order has no meaning on a cluster, so the id gives the order.
     """
     pruned = transactions.select("transaction_id", "is_fraud", "amount", "card_id")
-    return pruned.orderBy("transaction_id").limit(limit)
+    return smallest(pruned, "transaction_id", limit)
+
+
+def smallest(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The ``n`` rows with the smallest integer key, in order, for an ``n`` of many thousands.
+
+    A plain ordered limit sends up to ``n`` rows of every partition to one task. Counts of
+    key ranges first show which ranges can hold the result; the first ``n`` occupied ranges
+    always suffice. Only rows in those are sorted.
+    """
+    key_range = F.shiftright(F.col(key).cast("bigint"), 16)
+    counts = df.where(F.col(key).isNotNull()).groupBy(key_range.alias("key_range")).agg(F.count(F.lit(1)).alias("n"))
+    first = counts.orderBy("key_range").limit(n)  # at most n short rows
+    up_to = Window.orderBy("key_range").rowsBetween(Window.unboundedPreceding, 0)
+    totals = first.withColumn("upto", F.sum("n").over(up_to))
+    # The range in which the n-th row lies, or the last one when there are fewer rows.
+    enough = F.min(F.when(F.col("upto") >= n, F.col("key_range")))
+    last = totals.agg(F.coalesce(enough, F.max("key_range"))).scalar()
+    return df.where(key_range <= last).orderBy(key).limit(n)
 
 
 def replay_order(raw: DataFrame) -> DataFrame:

@@ -13,7 +13,6 @@ tables and the checkpoint live under one root and belong together.
 
 from __future__ import annotations
 
-import datetime as dt
 import logging
 
 from pyspark import StorageLevel
@@ -30,6 +29,7 @@ from cardmill.sources.sinks import BatchParts, OnlineTable
 from cardmill.streaming.source import CORRUPT, EVENT_SCHEMA, LATE, parsed_events, quarantine_messages
 
 LATENESS = "5 seconds"
+MAX_PRUNED_DAYS = 500
 
 ARCHIVE_SCHEMA = T.StructType(
     [
@@ -108,10 +108,8 @@ class FeatureBatch:
             self._archive(valid, batch_id)
             self._quarantine(placed, batch_id)
             on_time = valid.where(~F.col("late"))
-            # One value per calendar day in the batch.
-            days = [row.day for row in on_time.select(F.to_date("event_time").alias("day")).distinct().collect()]
-            if days:
-                tables.vectors.write(self._vectors(on_time, days, batch_id), batch_id)
+            if not on_time.isEmpty():
+                tables.vectors.write(self._vectors(on_time, batch_id), batch_id)
                 written = tables.vectors.read(spark, after=batch_id - 1, before=batch_id + 1)
                 tables.online.upsert(written, batch_id)
                 tables.online.compact_if_due(spark, batch_id)
@@ -164,16 +162,21 @@ class FeatureBatch:
         )
         self.tables.quarantine.write(dated, batch_id, ("year", "month"))
 
-    def _vectors(self, on_time: DataFrame, days: list[dt.date], batch_id: int) -> DataFrame:
+    def _history(self, on_time: DataFrame, batch_id: int) -> DataFrame:
+        """Archived events of the batch's days and the days before them."""
+        day = F.to_date("event_time")
+        days = on_time.select(F.explode(F.array(day, F.date_sub(day, 1))).alias("event_date")).distinct()
+        archived = self.tables.archive.read(on_time.sparkSession, before=batch_id).where(~F.col("late"))
+        needed = [row.event_date for row in days.take(MAX_PRUNED_DAYS + 1)]
+        if len(needed) <= MAX_PRUNED_DAYS:
+            return archived.where(F.col("event_date").isin(needed))
+        # Stray times on very many days: no list of partitions, but the same rows.
+        return archived.join(days, "event_date", "left_semi")
+
+    def _vectors(self, on_time: DataFrame, batch_id: int) -> DataFrame:
         """Vectors of the batch's events over the archive and the batch."""
-        needed = sorted(set(days) | {day - dt.timedelta(days=1) for day in days})
         columns = ["transaction_id", "card_id", "amount", "c2", "event_time", "batch_id"]
-        history = (
-            self.tables.archive.read(on_time.sparkSession, before=batch_id)
-            .where(F.col("event_date").isin(needed) & ~F.col("late"))
-            .withColumnRenamed("event_timestamp", "event_time")
-            .select(columns)
-        )
+        history = self._history(on_time, batch_id).withColumnRenamed("event_timestamp", "event_time").select(columns)
         history = join_per_key(history, on_time.select("card_id").distinct(), "card_id", "left_semi")
         new = on_time.withColumn("batch_id", F.lit(batch_id).cast("bigint")).select(columns)
         vectors = rolling_features(

@@ -65,10 +65,7 @@ def parsed_events(raw: DataFrame) -> DataFrame:
     events = raw.select(F.from_json("value", schema, options).alias("e")).select("e.*")
     events = events.withColumn("event_time", parse_event_time(F.col("timestamp")))
     malformed = F.col(CORRUPT).isNotNull()
-    reasons = F.concat(
-        failed_checks(EVENT_CHECKS),
-        F.array_compact(F.array(F.when(F.col("event_time").isNull(), F.lit(BAD_TIME)))),
-    )
+    reasons = failed_checks(EVENT_CHECKS, (F.col("event_time").isNull(), BAD_TIME))
     return events.withColumn(REASONS, F.when(malformed, F.array(F.lit(MALFORMED))).otherwise(reasons))
 
 

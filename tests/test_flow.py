@@ -49,6 +49,15 @@ def test_csv_scan(spark, raw):
     assert [r.transaction_id for r in S.first_transactions(typed, 2).collect()] == [1, 2]
 
 
+def test_smallest(spark):
+    ids = [i * 70_001 % 1_000_003 for i in range(500)]
+    df = spark.createDataFrame([(i,) for i in ids + [None]], "id bigint")
+    for n in (1, 7, 100, 500, 900):
+        assert [r.id for r in S.smallest(df, "id", n).collect()] == sorted(ids)[:n]
+    copies = df.unionAll(df)
+    assert [r.id for r in S.smallest(copies, "id", 5).collect()] == sorted(ids + ids)[:5]
+
+
 def test_batch_features_reference_quirks(raw):
     rows = {r.card_id: r for r in batch_features(S.typed_transactions(raw), F.lit(RUN)).collect()}
     card = rows["13926"]

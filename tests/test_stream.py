@@ -116,6 +116,16 @@ def test_restart_continues_with_history(spark, tmp_path):
     assert (latest.transaction_id, latest.trans_count_1m, latest.avg_amount_24h) == (2, 2, 20.0)
 
 
+def test_many_days_need_no_partition_list(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("cardmill.streaming.features.MAX_PRUNED_DAYS", 1)
+    write(tmp_path / "in", 1, [event(1, "a", 10.0, 0)])
+    run(spark, tmp_path / "in", tmp_path / "out")
+    write(tmp_path / "in", 2, [event(2, "a", 30.0, 86_400), event(3, "a", 50.0, 200_000)])
+    tables = run(spark, tmp_path / "in", tmp_path / "out")
+    means = {r.transaction_id: r.avg_amount_24h for r in tables.vectors.read(spark).collect()}
+    assert means == {1: 10.0, 2: 20.0, 3: 50.0}
+
+
 def test_late_events_are_quarantined_and_do_not_count(spark, tmp_path):
     write(tmp_path / "in", 1, [event(1, "a", 10.0, 100), event(2, "b", 10.0, 0)])
     run(spark, tmp_path / "in", tmp_path / "out")
@@ -150,8 +160,8 @@ def test_batch_work_is_planned_adaptively(spark, tmp_path):
     seen = []
 
     class Spy(FeatureBatch):
-        def _vectors(self, on_time, days, batch_id):
-            vectors = super()._vectors(on_time, days, batch_id)
+        def _vectors(self, on_time, batch_id):
+            vectors = super()._vectors(on_time, batch_id)
             seen.append(vectors._jdf.queryExecution().executedPlan().toString().splitlines()[0])
             return vectors
 
