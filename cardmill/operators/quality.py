@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cardmill.functions.columns import all_of
 
 REASONS = "error_reasons"
+# Fixed values of the checks.
 UNKNOWN_CARD = "unknown_card"
 MAX_AMOUNT = 500_000.0
 NULL_RATIO_WARNING = 0.001

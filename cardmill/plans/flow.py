@@ -23,6 +23,7 @@ from cardmill.sources.sinks import (
 from cardmill.sources.tables import latest_partition, previous_partition
 from cardmill.streaming.features import StreamTables, start_features
 
+# The reasons a run reports.
 SCHEDULED = "SCHEDULED_TIME_BASED_CRON"
 DRIFT = "EVENT_DRIVEN_DATA_DRIFT_DETECTED"
 BASELINE = "BASELINE_PIPELINE_VERIFICATION"
@@ -127,7 +128,7 @@ def run_flow(
     current = spark.read.parquet(tables.current)
     tables.online_batch.upsert(materialize(current, CARD_BATCH, start, run_time), run_number)
     tables.online_batch.compact_if_due(spark, run_number)
-    report["step3_feast_materialize"] = "SUCCESS"
+    report["step3_materialize"] = "SUCCESS"
 
     quarantined = tables.stream.quarantine
     checked = audit(

@@ -224,6 +224,14 @@ ORACLE: dict[str, str] = {
         amount AS "TransactionAmt", amount / (avg_amount_30d + 1.0) AS amount_ratio_30d,
         CASE WHEN amount > max_amount_30d THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS is_amount_gt_30d_max
       FROM tx JOIN b USING (card_id)""",
+    "m1_point_in_time": f"""WITH {TX}, early AS (SELECT * FROM tx WHERE event_time < TIMESTAMP '2024-01-16 00:00:00'),
+      b AS ({batch('early', '2024-01-16')})
+      SELECT tx.card_id, transaction_id AS "TransactionID", is_fraud,
+        CAST(trans_count_7d AS DOUBLE) AS trans_count_7d, CAST(trans_count_30d AS DOUBLE) AS trans_count_30d,
+        avg_amount_30d, max_amount_30d, CAST(distinct_addr_7d AS DOUBLE) AS distinct_addr_7d, days_since_last_trans,
+        amount AS "TransactionAmt", amount / (avg_amount_30d + 1.0) AS amount_ratio_30d,
+        CASE WHEN amount > max_amount_30d THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS is_amount_gt_30d_max
+      FROM tx JOIN b ON tx.card_id = b.card_id AND b.event_timestamp <= tx.event_time""",
     "j3_point_in_time": f"""WITH {TX}, {DAILY}
       SELECT transaction_id, tx.card_id, event_time,
         CASE WHEN fresh THEN day_count END AS day_count, CASE WHEN fresh THEN day_avg_amount END AS day_avg_amount,
@@ -330,4 +338,10 @@ ORACLE: dict[str, str] = {
         CASE WHEN s OR f THEN 'SCHEDULED_TIME_BASED_CRON' WHEN dataset_drift THEN 'EVENT_DRIVEN_DATA_DRIFT_DETECTED'
              ELSE 'BASELINE_PIPELINE_VERIFICATION' END AS trigger_reason
       FROM verdict, (VALUES (FALSE), (TRUE)) a(s), (VALUES (FALSE), (TRUE)) b(f)""",
+    "o3_flow": f"""WITH {DIRTY}, b AS ({batch('dirty')})
+      SELECT (SELECT COUNT(*) FROM b WHERE NOT ({BAD_BATCH})) AS online_cards,
+      CASE WHEN COUNT(*) FILTER (card_id = '8' AND NOT ({BAD_EVENT})) > 0 THEN 'PASSED' ELSE 'READY' END AS online_store,
+      'PASSED' AS lakehouse_partition,
+      'PASSED (' || COUNT(*) FILTER ({BAD_EVENT}) || ' isolated records)' AS quarantine_store,
+      'SKIPPED' AS drift_status, 'BASELINE_PIPELINE_VERIFICATION' AS trigger_reason FROM dirty""",
 }

@@ -194,6 +194,19 @@ def j2_training(spark, sf_dir):
     return training.training_set(rows, _batch(rows))
 
 
+def _two_runs(rows: DataFrame) -> DataFrame:
+    """Batch features of a run in mid-month and of one after it."""
+    early = rows.where(F.col("event_time") < F.lit(DRIFT_SPLIT))
+    return batch.batch_features(early, F.lit(DRIFT_SPLIT).cast("timestamp")).unionByName(_batch(rows))
+
+
+@query
+def m1_point_in_time(spark, sf_dir):
+    """The training set without features from after the transaction."""
+    rows = _tx(spark, sf_dir)
+    return training.training_set(rows, _two_runs(rows), point_in_time=True)
+
+
 def _daily(rows: DataFrame) -> DataFrame:
     """A feature history: each card's day, known from the next midnight on."""
     known = (F.date_trunc("day", "event_time") + F.expr("INTERVAL 1 DAY")).alias("known_at")
@@ -242,8 +255,7 @@ def _online(rows: DataFrame) -> dict[str, DataFrame]:
 def e8_historical(spark, sf_dir):
     """Named batch features at the time of every transaction, from two runs."""
     rows = _tx(spark, sf_dir)
-    early = rows.where(F.col("event_time") < F.lit(DRIFT_SPLIT))
-    history = batch.batch_features(early, F.lit(DRIFT_SPLIT).cast("timestamp")).unionByName(_batch(rows))
+    history = _two_runs(rows)
     entities = rows.select("transaction_id", "card_id", F.col("event_time").alias("event_timestamp"))
     names = ["card_batch_features:trans_count_7d", "card_batch_features:max_amount_30d"]
     return retrieval.historical_features(entities, names, {"card_batch_features": history})
@@ -539,16 +551,19 @@ def m6_importance(spark, sf_dir):
 # Streaming
 
 
-def _streamed(spark: SparkSession, sf_dir: str, dirty: bool) -> stream_features.StreamTables:
-    """The events table as a stream of JSON messages, through the streaming job."""
+def _messages(spark: SparkSession, sf_dir: str, dirty: bool) -> DataFrame:
+    """The events table as a stream of JSON messages."""
     events = tables.table(spark, sf_dir, "events")
     stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events*.parquet")
     rows = tables.as_transactions(stream)
     rows = tables.dirtied(rows) if dirty else rows
     timestamp = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("timestamp")
-    messages = source.to_messages(rows.select("transaction_id", "card_id", "amount", "c2", "product_cd", timestamp))
+    return source.to_messages(rows.select("transaction_id", "card_id", "amount", "c2", "product_cd", timestamp))
+
+
+def _streamed(spark: SparkSession, sf_dir: str, dirty: bool) -> stream_features.StreamTables:
     stores = stream_features.StreamTables(_scratch(spark, "stream"))
-    stream_features.start_features(messages, stores).awaitTermination()
+    stream_features.start_features(_messages(spark, sf_dir, dirty), stores).awaitTermination()
     return stores
 
 
@@ -598,3 +613,19 @@ def o2_retrain(spark, sf_dir):
         ]
     )
     return flow.retrain_decision(verdict.select("dataset_drift", F.inline(starts)))
+
+
+@query
+def o3_flow(spark, sf_dir):
+    """O3: batch, gate, stream, materialize, audit, drift and training in one run (5 trees)."""
+    stores = flow.FlowTables(_scratch(spark, "flow"))
+    report = flow.run_flow(
+        _dirty(spark, sf_dir), _messages(spark, sf_dir, dirty=True), stores, RUN_TIME, audit_card="8", trees=5
+    )
+    outcome = {
+        **report["step4_verification_audit"],
+        "drift_status": report["step5_drift_monitoring"],
+        "trigger_reason": report["ct_trigger_reason"],
+    }
+    cards = stores.online_batch.read(spark).agg(F.count(F.lit(1)).alias("online_cards"))
+    return cards.select("online_cards", *[F.lit(value).alias(name) for name, value in outcome.items()])

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from cardmill.functions.columns import parse_event_time
 from cardmill.operators.quality import EVENT_CHECKS, REASONS, failed_checks
 
+# Fixed format of an event in the topic.
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("transaction_id", T.LongType()),
