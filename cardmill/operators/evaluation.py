@@ -56,10 +56,18 @@ def threshold_curve(
             F.sum(F.when(F.col("positive"), F.col("loss"))).alias("pos_loss"),
         )
     )
-    # Threshold i (1-based) flags the classes >= i. Every model gets all 91 classes.
-    grid = classes.select("model").distinct().withColumn("reached", F.explode(F.sequence(F.lit(0), F.lit(90))))
-    filled = grid.join(classes, ["model", "reached"], "left").na.fill(0, ["pos", "neg"])
-    filled = filled.withColumn("pos_loss", F.coalesce("pos_loss", F.lit(0).cast("decimal(28,4)")))
+    # Threshold i (1-based) flags the classes >= i. Every model gets all 91 classes; its own,
+    # at most 91 rows, are gathered in a map so that the table is read once.
+    entry = F.struct("reached", F.struct("pos", "neg", "pos_loss"))
+    gathered = classes.groupBy("model").agg(F.map_from_entries(F.collect_list(entry)).alias("known"))
+    known = F.try_element_at("known", F.col("reached"))
+    filled = gathered.withColumn("reached", F.explode(F.sequence(F.lit(0), F.lit(90)))).select(
+        "model",
+        "reached",
+        F.coalesce(known["pos"], F.lit(0)).alias("pos"),
+        F.coalesce(known["neg"], F.lit(0)).alias("neg"),
+        F.coalesce(known["pos_loss"], F.lit(0).cast("decimal(28,4)")).alias("pos_loss"),
+    )
     at_or_above = Window.partitionBy("model").orderBy(F.desc("reached")).rowsBetween(Window.unboundedPreceding, 0)
     below = Window.partitionBy("model").orderBy("reached").rowsBetween(Window.unboundedPreceding, -1)
     counted = filled.select(

@@ -42,9 +42,10 @@ def running_totals(
 
     ``df`` has one row per ``(group, key)`` with a numeric ``key``. ``splits`` affect only
     the balance of the tasks. Quantiles of the pooled groups suffice: a group then has cut
-    points in proportion to its rows.
+    points in proportion to its rows. A row without a key has no place in the order and is
+    left out, on both sides of the join alike, so that ``df`` is computed once.
     """
-    bucketed = with_range_bucket(df, key, splits)
+    bucketed = with_range_bucket(df.where(F.col(key).isNotNull()), key, splits)
     per_bucket = bucketed.groupBy(group, "range_bucket").agg(*[F.sum(c).alias(c) for c in columns])
     before = Window.partitionBy(group).orderBy("range_bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(group)
