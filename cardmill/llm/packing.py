@@ -70,23 +70,24 @@ def _best_pattern(values: np.ndarray, sizes: np.ndarray, room: int) -> tuple[flo
 
 
 def column_generation(
-    sizes: np.ndarray, demand: np.ndarray, room: int, tolerance: float = 5e-4
+    sizes: np.ndarray, demand: np.ndarray, room: int, tolerance: float = 1e-3
 ) -> list[tuple[np.ndarray, float]]:
     """Patterns and how often to use each: the linear program of cutting stock, by simplex steps.
 
     Starts with one pattern per size. The knapsack prices columns by the dual values; it ends
-    once no column can lower the number of sequences by more than ``tolerance`` of it.
+    once no column can lower the number of sequences by more than ``tolerance`` of it, or the
+    number is that close to what the sizes add up to.
     """
     m = len(sizes)
     basis = np.diag(room // sizes).astype(float)
     inverse = np.diag(1.0 / (room // sizes))
     cost = np.ones(m)
-    use = inverse @ demand.astype(float)
-    for step in range(60 * m):
-        if step % 200 == 199:
-            inverse = np.linalg.inv(basis)
-            use = inverse @ demand
-        duals = cost @ inverse
+    use = demand / (room // sizes)
+    bound = float((sizes * demand).sum()) / room
+    for step in range(12 * m):
+        if (cost * use).sum() <= bound * (1 + tolerance):
+            break
+        duals = (cost[:, None] * inverse).sum(axis=0)
         lowest = int(duals.argmin())
         if duals[lowest] < -1e-9:  # more of this size than asked for is allowed
             column, price = -np.eye(m)[lowest], 0.0
@@ -95,7 +96,7 @@ def column_generation(
             if value <= 1 + tolerance:
                 break
             column, price = pattern.astype(float), 1.0
-        direction = inverse @ column
+        direction = (inverse * column).sum(axis=1)
         ratios = np.where(direction > 1e-9, use / np.where(direction > 1e-9, direction, 1), np.inf)
         leave = int(ratios.argmin())
         if not np.isfinite(ratios[leave]):

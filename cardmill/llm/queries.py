@@ -59,3 +59,16 @@ def op8_exact_dedup(spark, sf_dir):
 def op9_mixing(spark, sf_dir):
     """Words that the mix takes of every document."""
     return mix(table(spark, sf_dir, "documents"))
+
+
+ORACLE: dict[str, str] = {
+    "op8_exact_dedup": r"""
+        WITH t AS (
+            SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+            FROM documents
+        )
+        SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+               doc_id = min(doc_id) OVER w AS kept, text_sha256
+        FROM t WINDOW w AS (PARTITION BY text_sha256)
+    """,
+}
