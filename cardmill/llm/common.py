@@ -71,6 +71,11 @@ def numbered(docs: DataFrame, *columns: Column) -> DataFrame:
     return docs.select(*columns, F.monotonically_increasing_id().alias("row"))
 
 
+def hash_share(rows: int, most: int) -> int:
+    """Bound on ``xxhash64`` below which about ``most`` of ``rows`` rows lie (all, if fewer)."""
+    return min(2**63 - 1, -(2**63) + int(min(1.0, most / max(1, rows)) * 2**64))
+
+
 def n_cells(rows: int, per_cell: int = 10_000) -> int:
     """Cells that a class is cut into, so that a cell stays small whatever the class holds."""
     return max(32, math.ceil(rows / per_cell))

@@ -21,8 +21,8 @@ def _places(hashes: np.ndarray, bits: int, probes: int) -> np.ndarray:
     return np.stack([((h + np.uint64(i) * step) % np.uint64(bits)).astype(np.int64) for i in range(probes)])
 
 
-def _filter(digests: DataFrame, bits: int, probes: int) -> np.ndarray:
-    """Packed bits that at least two rows set. All of it is ``bits / 8`` bytes."""
+def _filter(digests: DataFrame, bits: int, probes: int, least: int = 2) -> np.ndarray:
+    """Packed bits that at least ``least`` rows (1 or 2) set. All of it is ``bits / 8`` bytes."""
 
     def partial(frames):
         found = [_places(f["h"].to_numpy(), bits, probes).ravel() for f in frames if len(f)]
@@ -41,7 +41,7 @@ def _filter(digests: DataFrame, bits: int, probes: int) -> np.ndarray:
         for places, weights in zip(frame["places"], frame["weights"]):
             at = np.frombuffer(places, "<u4")
             times[at] = np.minimum(times[at] + np.frombuffer(weights, np.uint8), 2)
-        return pd.DataFrame({"segment": frame["segment"].iloc[:1], "bits": [np.packbits(times >= 2).tobytes()]})
+        return pd.DataFrame({"segment": frame["segment"].iloc[:1], "bits": [np.packbits(times >= least).tobytes()]})
 
     parts = digests.select("h").mapInPandas(partial, "segment long, places binary, weights binary")
     merged = parts.groupBy("segment").applyInPandas(merge, "segment long, bits binary").collect()
@@ -51,16 +51,23 @@ def _filter(digests: DataFrame, bits: int, probes: int) -> np.ndarray:
     return packed
 
 
-def _maybe_repeated(digests: DataFrame, bits: int, probes: int) -> DataFrame:
-    shared = digests.sparkSession.sparkContext.broadcast(_filter(digests, bits, probes))
+def in_filter(rows: DataFrame, packed: np.ndarray, probes: int = 3, bits: int | None = None) -> DataFrame:
+    """Adds ``hit``: whether all bits of the row's hash ``h`` are set. Never false for a member."""
+    shared = rows.sparkSession.sparkContext.broadcast(packed)
+    bits = bits or len(packed) * 8
 
     @F.pandas_udf("boolean")
-    def repeated(h: pd.Series) -> pd.Series:
+    def hit(h: pd.Series) -> pd.Series:
         at = _places(h.to_numpy(), bits, probes)
-        hit = (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
-        return pd.Series(hit.all(axis=0))
+        return pd.Series((((shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1) > 0).all(axis=0))
 
-    return digests.withColumn("repeated", repeated("h"))
+    return rows.withColumn("hit", hit("h"))
+
+
+def bit_filter(hashes: DataFrame, bits_per_row: int = 16, max_bytes: int = 64 << 20, probes: int = 3) -> np.ndarray:
+    """A Bloom filter of the hashes ``h``, at most ``max_bytes`` large (then with more false hits)."""
+    bits = min(max_bytes * 8, hashes.count() * bits_per_row)
+    return _filter(hashes, max(1, math.ceil(bits / SEGMENT_BITS)) * SEGMENT_BITS, probes, 1)
 
 
 def exact_dedup(
@@ -94,7 +101,7 @@ def exact_dedup(
     parts = [digests] if slices == 1 else [digests.where(F.col("slice") == i).drop("slice") for i in range(slices)]
     tested = None
     for part in parts:
-        found = _maybe_repeated(part, bits, probes)
+        found = in_filter(part, _filter(part, bits, probes), probes, bits).withColumnRenamed("hit", "repeated")
         tested = found if tested is None else tested.unionByName(found)
     tested = written(tested.drop("h"), "exact-tested")
     alone = tested.where(~F.col("repeated")).select(

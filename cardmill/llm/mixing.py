@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,8 @@ from cardmill.llm.common import WORD, n_cells, numbered, ranked, text_of, writte
 
 #: Largest budget (words) that the knapsack table covers; larger rests are first filled greedily.
 TABLE_WORDS = 1 << 17
+#: Drawn documents that are released before the knapsack.
+RELEASED = 64
 
 
 def targets(sources: list[tuple[int, int]], weights: list[float], most: float = 3.0) -> list[float]:
@@ -35,9 +39,10 @@ def targets(sources: list[tuple[int, int]], weights: list[float], most: float =
 def fit(lengths: list[int], counts: list[int], budget: int) -> list[int]:
     """How many documents of each length to take so that their lengths add up to the budget.
 
-    An even draw over the ordered lengths comes within about one document of the budget. The
-    rest is a bounded knapsack over the documents left, solved exactly by dynamic programming
-    over sums (one bit per sum), so the result is short of the budget only if no choice fits.
+    An even draw over the ordered lengths comes within about one document of the budget. Some of
+    its documents are released again, so that there is a choice. What remains is a bounded
+    knapsack over the documents not taken, solved exactly by dynamic programming over sums (one
+    bit per sum, table by table until the budget is met).
     """
     total = sum(n * c for n, c in zip(lengths, counts))
     if budget <= 0 or total == 0:
@@ -59,9 +64,16 @@ def fit(lengths: list[int], counts: list[int], budget: int) -> list[int]:
         more = min(counts[i] - take[i], rest // lengths[i]) if lengths[i] else 0
         take[i] += more
         rest -= more * lengths[i]
+    chosen = [i for i, t in enumerate(take) for _ in range(min(t, RELEASED))]
+    for i in chosen[:: max(1, len(chosen) // RELEASED)]:
+        if rest + lengths[i] <= TABLE_WORDS and take[i] > 0:
+            take[i] -= 1
+            rest += lengths[i]
     full = (1 << (rest + 1)) - 1
     items, tables = [], [1]
-    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+    order = list(range(len(lengths)))
+    random.Random(budget).shuffle(order)
+    for i in order:
         free = min(counts[i] - take[i], rest // lengths[i]) if lengths[i] else 0
         size = 1
         while free > 0 and not tables[-1] >> rest & 1:

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cardmill.llm import pii, secret_scan
 from cardmill.llm.common import registry, table
 from cardmill.llm.exact import exact_dedup
+from cardmill.llm.lines import dedup_lines
 from cardmill.llm.mixing import mix
 from cardmill.llm.packing import pack, token_pieces
+from cardmill.llm.quality import quality_rules, train
 from cardmill.llm.sharding import minimax_shards
 from cardmill.llm.simhash import simhash_groups
 from cardmill.llm.tokenfile import read_tokens, write_tokens
@@ -34,6 +37,27 @@ def op2_simhash(spark, sf_dir):
     return simhash_groups(table(spark, sf_dir, "documents")).drop("first")
 
 
+@query
+def op3_pii(spark, sf_dir):
+    """Personal data in every document."""
+    return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
+
+
+@query
+def op4_line_dedup(spark, sf_dir):
+    """Lines of every document, those removed, and the hash of what remains."""
+    cleaned = dedup_lines(table(spark, sf_dir, "documents"))
+    clean = F.sha2(F.coalesce("text", F.lit("")), 256).alias("clean_sha256")
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("clean_chars"), clean)
+
+
+@query
+def op5_quality(spark, sf_dir):
+    """Verdict of the quality rules on every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op6_token_file(spark, sf_dir):
     """All documents written as token files and read back."""
@@ -60,6 +84,11 @@ def op9_mixing(spark, sf_dir):
     """Words that the mix takes of every document."""
     return mix(table(spark, sf_dir, "documents"))
 
+@query
+def op10_secret_scan(spark, sf_dir):
+    """Secrets in every document."""
+    return secret_scan.digest(secret_scan.secret_scan(table(spark, sf_dir, "documents")))
+
 
 ORACLE: dict[str, str] = {
     "op8_exact_dedup": r"""

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardmill.llm.common import attach, components, numbered, text_of, written
+from cardmill.llm.common import attach, components, hash_share, numbered, text_of, written
 
 #: Rows the upper tree is fitted on; every fingerprint is then indexed.
 TREE_SAMPLE = 16_384
@@ -152,9 +152,8 @@ def near_links(prints: DataFrame, n: int, radius: int) -> DataFrame:
     somewhere. A shard returns one link per point to its group there, not all pairs.
     """
     depth = max(0, math.ceil(math.log2(max(1, n) / SHARD_ROWS)))
-    share = min(1.0, TREE_SAMPLE / max(1, n))
-    low = -(2**63) + int(share * (2**64 - 1))
-    sample = prints.where(F.xxhash64("fp") <= F.lit(low)).limit(4 * TREE_SAMPLE).collect() if depth else []
+    sampled = prints.where(F.xxhash64("fp") <= F.lit(hash_share(n, TREE_SAMPLE)))
+    sample = sampled.collect() if depth else []
     points = np.sort(np.array([r[0] for r in sample], np.int64)).view(np.uint64)
     tree = upper_tree(points, depth, radius)
 
