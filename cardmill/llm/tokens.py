@@ -38,6 +38,8 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             kind = json.load(file)
         self.cut = self._cut(kind)
+        special = [re.escape(t["content"]) for t in kind.get("added_tokens", [])]
+        self.special = re.compile(f"({'|'.join(special)})") if special and self.cut is not _whole else None
         self.known: dict[str, bytes] = {}
 
     @staticmethod
@@ -56,9 +58,15 @@ class Encoder:
             return _ASCII_WORDS.findall
         return _whole
 
+    def _pieces(self, text: str) -> list[str]:
+        if self.special and self.special.search(text):  # special tokens are taken out before anything else
+            parts = self.special.split(text)
+            return [p for i, part in enumerate(parts) for p in ([part] if i % 2 else self.cut(part))]
+        return self.cut(text)
+
     def batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        pieces = [self.cut(text) for text in texts]
+        pieces = [self._pieces(text) for text in texts]
         known = self.known
         missing = list(set().union(*pieces).difference(known))
         encoded = self.tokenizer.encode_batch(missing, add_special_tokens=False)
