@@ -87,7 +87,7 @@ def votes(span: Column, stated: Column) -> dict[str, Column]:
     )
     plain = digits.rlike(r"^([0-9])\1*$") | F.lit("01234567890123456789").contains(digits)
     return {
-        "pattern": F.when(stated, 1).otherwise(F.when(kind == EMAIL, 1)),
+        "pattern": F.when(stated, 1),
         "context": F.when(near, 1),
         "other_context": F.when(span["left"].rlike(OTHER_WORDS), 0),
         "gazetteer": known,
@@ -95,37 +95,41 @@ def votes(span: Column, stated: Column) -> dict[str, Column]:
     }
 
 
-def reliabilities(counts: list[tuple[tuple, int]], rounds: int = 50) -> tuple[float, list[tuple[float, float]]]:
-    """Share of personal spans and each labeler's (right on personal, right on others).
+#: Votes that each labeler is taken to have cast before any data: right six, wrong one, none five.
+PRIOR = {1: (6.0, 1.0), 0: (1.0, 6.0), None: (5.0, 5.0)}
 
-    Expectation-maximisation over counted vote patterns, with a weak prior towards labelers that
-    are right three times in four.
+
+def reliabilities(counts: list[tuple[tuple, int]], rounds: int = 50) -> tuple[float, list[dict]]:
+    """Share of personal spans, and per labeler the chance of each vote on (personal, other) spans.
+
+    Expectation-maximisation over counted vote patterns. Spans of the stated patterns (first
+    labeler) are known to be personal and anchor it; no opinion counts as a vote of its own.
     """
-    share, rates = 0.5, [(0.75, 0.75)] * len(LABELERS)
+    share, rates = 0.5, [{v: (a / 12, b / 12) for v, (a, b) in PRIOR.items()} for _ in LABELERS]
     for _ in range(rounds):
-        sums, positive, total = [[3.0, 4.0, 3.0, 4.0] for _ in LABELERS], 1.0, 2.0
+        sums = [{v: list(p) for v, p in PRIOR.items()} for _ in LABELERS]
+        positive, total = 1.0, 2.0
         for pattern, n in counts:
             p = posterior(pattern, share, rates)
             positive, total = positive + n * p, total + n
             for vote, s in zip(pattern, sums):
-                if vote is not None:
-                    s[0] += n * p * (vote == 1)
-                    s[1] += n * p
-                    s[2] += n * (1 - p) * (vote == 0)
-                    s[3] += n * (1 - p)
+                s[vote][0] += n * p
+                s[vote][1] += n * (1 - p)
         share = positive / total
-        rates = [(s[0] / s[1], s[2] / s[3]) for s in sums]
+        rates = []
+        for s in sums:
+            own, other = (sum(p[k] for p in s.values()) for k in (0, 1))
+            rates.append({v: (p[0] / own, p[1] / other) for v, p in s.items()})
     return share, rates
 
 
-def posterior(pattern: tuple, share: float, rates: list[tuple[float, float]]) -> float:
+def posterior(pattern: tuple, share: float, rates: list[dict]) -> float:
     """Probability of a personal span given the votes."""
-    odds = math.log(share / (1 - share)) if 0 < share < 1 else 0.0
-    for vote, (hit, reject) in zip(pattern, rates):
-        if vote == 1:
-            odds += math.log(hit / (1 - reject)) if 0 < hit and reject < 1 else 0.0
-        elif vote == 0:
-            odds += math.log((1 - hit) / reject) if 0 < reject and hit < 1 else 0.0
+    if pattern[0] == 1:
+        return 1.0
+    odds = math.log(share / (1 - share))
+    for vote, rate in zip(pattern[1:], rates[1:]):
+        odds += math.log(rate[vote][0] / rate[vote][1])
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
 
 

@@ -22,13 +22,13 @@ _ASSIGNED = r"""^(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["
 _ACCESS = r"AKIA[A-Z0-9]{14,}+"
 _HEX = r"[0-9a-f]{16,}+"
 _RANDOM = r"(?:\G|(?<![A-Za-z0-9+/_=\-]))[A-Za-z0-9+/_=\-]{20,}+"
-_NAME = r"[A-Za-z0-9_]{4,}+"
+_NAME = r"(?<![A-Za-z0-9+/_=\-])[A-Za-z0-9_]{4,19}+(?![A-Za-z0-9+/_=\-])"
 
 #: Labelled samples of the two models: documents that ordinary names are taken from, and stated
 #: secrets. Both are chosen by a hash.
 NAME_DOCS, SECRETS = 3000, 20_000
 #: Least mean log-likelihood ratio per character pair of a reported string.
-LEAST = 0.5
+LEAST = 1.0
 
 
 def base_spans(text: Column) -> Column:
@@ -46,17 +46,20 @@ def pairs(value: Column) -> Column:
     return F.transform(steps, lambda p: p["a"] * (OTHER + 1) + p["b"])
 
 
-def ratios(random: dict[int, int], ordinary: dict[int, int], prior: float = 0.5) -> list[float]:
-    """Log-likelihood ratio per character pair of two first-order models with a flat prior.
+def ratios(random: dict[int, int], ordinary: dict[int, int], prior: float = 0.5, backing: float = 5.0) -> list[float]:
+    """Log-likelihood ratio per character pair of two first-order models.
 
-    Without samples of random strings their model is flat, as it should be.
+    Chances of a character after another lean on its chance anywhere (weight ``backing``), and
+    that on a flat one. Without samples of random strings their model is flat, as it should be.
     """
     size = OTHER + 1
 
     def model(counts: dict[int, int]) -> list[float]:
+        single = [prior + sum(counts.get(a * size + b, 0) for a in range(size)) for b in range(size)]
+        anywhere = [x / sum(single) for x in single]
         out = []
         for a in range(size):
-            row = [counts.get(a * size + b, 0) + prior for b in range(size)]
+            row = [counts.get(a * size + b, 0) + backing * anywhere[b] for b in range(size)]
             total = sum(row)
             out += [math.log(x / total) for x in row]
         return out
@@ -76,7 +79,7 @@ def train(texts: DataFrame, found: DataFrame, n_docs: int) -> list[float]:
     """The ratio table from labelled samples, as counts of at most 67 * 67 pairs per model.
 
     Random strings are the values of stated secrets (their keyword cut off); ordinary ones are
-    the names and words of documents without any.
+    the names and words of fewer than 20 characters in documents without any.
     """
 
     def sampled(rows: DataFrame, n: int, most: int, *key: str) -> DataFrame:
@@ -90,7 +93,8 @@ def train(texts: DataFrame, found: DataFrame, n_docs: int) -> list[float]:
     secrets = found.select(F.explode("base").alias("span")).select(F.when(F.col("span.kind") == ASSIGN, assigned).otherwise(F.col("span.value")).alias("value"))
     secrets = secrets.distinct()  # a copied secret is one sample
     random = sampled(secrets, secrets.count(), SECRETS, "value")
-    plain = sampled(texts.where(~F.col("text").rlike(_HEX)), n_docs, NAME_DOCS, "doc_id")
+    stated = F.col("text").rlike(_HEX) | F.col("text").rlike(_ASSIGN) | F.col("text").rlike(_ACCESS)
+    plain = sampled(texts, n_docs, NAME_DOCS, "doc_id").where(~stated)
     names = plain.select(F.explode(F.regexp_extract_all("text", F.lit(_NAME), F.lit(0))).alias("value"))
     return ratios(counted(random), counted(names))
 
@@ -100,7 +104,7 @@ def secret_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     Strings of 20 or more characters of ``[A-Za-z0-9+/_=-]`` that overlap no stated span are
     added (kind ``random``) when the Markov model of random strings explains them better than
-    that of ordinary names by at least 0.5 a character pair. Missing texts have no spans;
+    that of ordinary names by at least 1.0 a character pair. Missing texts have no spans;
     repeated rows are judged alike; without stated secrets the random model is flat.
     """
     texts = docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("text"))
