@@ -163,13 +163,10 @@ def write_tokens(
     def count(frames):
         total = np.zeros(0, np.int64)
         for frame in frames:
-            for data, n in zip(frame["ids"], frame["n"]):
-                own = np.bincount(inflate(data, n))
-                if len(own) > len(total):
-                    own[: len(total)] += total
-                    total = own
-                else:
-                    total[: len(own)] += own
+            ids = [inflate(data, n) for data, n in zip(frame["ids"], frame["n"])]
+            own = np.bincount(np.concatenate(ids)) if ids else total
+            size = max(len(own), len(total))
+            total = np.pad(total, (0, size - len(total))) + np.pad(own, (0, size - len(own)))
         there = np.flatnonzero(total)
         yield pd.DataFrame({"id": there, "n": total[there]})
 
@@ -181,12 +178,12 @@ def write_tokens(
     shared = spark.sparkContext.broadcast(freq)
 
     def encode(batches):
-        coder, ids, index, size, block = Coder(shared.value), [], [], 0, 0
+        coder, ids, index, size, first = Coder(shared.value), [], [], 0, 0
 
         def close():
             docs = zlib.compress(np.array(index, "<i8").tobytes(), 1)
-            row = [[block], [len(index)], [size], [docs], [coder.encode(np.concatenate(ids))]]
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in row], ["block", "n_docs", "n_ids", "docs", "data"])
+            row = [[first], [len(index)], [size], [docs], [coder.encode(np.concatenate(ids))]]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in row], ["first", "n_docs", "n_ids", "docs", "data"])
 
         for batch in batches:
             doc_ids, none = batch.column("doc_id").fill_null(0).to_pylist(), batch.column("doc_id").is_null().to_pylist()
@@ -196,12 +193,12 @@ def write_tokens(
                 size += n
                 if size >= BLOCK_IDS:
                     yield close()
-                    ids, index, size, block = [], [], 0, block + 1
+                    ids, index, size, first = [], [], 0, first + size
         if ids:
             yield close()
 
     ordered = tokens.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row").drop("row")
-    blocks = ordered.mapInArrow(encode, "block long, n_docs long, n_ids long, docs binary, data binary")
+    blocks = ordered.mapInArrow(encode, "first long, n_docs long, n_ids long, docs binary, data binary")
     blocks = blocks.withColumn("part", F.spark_partition_id())
     blocks.write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     return path
@@ -211,29 +208,28 @@ def read_tokens(spark, path: str) -> DataFrame:
     """Documents of a file set: doc_id, start, n_tokens, ids (little-endian 32-bit numbers)."""
     freq = np.array(spark.read.parquet(f"{path}/table").first()[0], np.int64)
     shared = spark.sparkContext.broadcast(freq)
-    blocks = spark.read.schema("block long, n_docs long, n_ids long, docs binary, data binary, part int").parquet(f"{path}/blocks")
+    blocks = spark.read.schema("first long, n_docs long, n_ids long, docs binary, data binary, part int").parquet(f"{path}/blocks")
 
     def decode(batches):
         coder = Coder(shared.value)
         for batch in batches:
-            for part, block, docs, data in zip(*[c.to_pylist() for c in batch.columns]):
+            for part, first, docs, data in zip(*[c.to_pylist() for c in batch.columns]):
                 index = np.frombuffer(zlib.decompress(docs), "<i8").reshape(-1, 3)
                 ids, ends = coder.decode(data).astype("<u4"), np.cumsum(index[:, 2])
                 columns = [
                     pa.array(np.full(len(index), part, np.int32)),
-                    pa.array(np.full(len(index), block, np.int64)),
                     pa.array(index[:, 0], mask=index[:, 1] != 0),
-                    pa.array(ends - index[:, 2]),
+                    pa.array(first + ends - index[:, 2]),
                     pa.array(index[:, 2]),
                     pa.array([ids[b - n : b].tobytes() for b, n in zip(ends, index[:, 2])], pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["part", "block", "doc_id", "inside", "n_tokens", "ids"])
-
-    schema = "part int, block long, doc_id long, inside long, n_tokens long, ids binary"
-    docs = blocks.select("part", "block", "docs", "data").mapInArrow(decode, schema)
-    sizes = blocks.select("part", "block", "n_ids")
-    in_part = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
-    parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("p"))
-    offsets = sizes.join(parts, "part").select("part", "block", (F.col("p") + F.coalesce(F.sum("n_ids").over(in_part), F.lit(0))).alias("before"))
-    return docs.join(offsets, ["part", "block"]).select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids")
+                yield pa.RecordBatch.from_arrays(columns, ["part", "doc_id", "inside", "n_tokens", "ids"])
+
+    schema = "part int, doc_id long, inside long, n_tokens long, ids binary"
+    docs = blocks.select("part", "first", "docs", "data").mapInArrow(decode, schema)
+    # A block knows how many ids its file has before it; what is left is one row per file.
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    joined = docs.join(F.broadcast(parts), "part")
+    return joined.select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids")

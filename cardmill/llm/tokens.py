@@ -15,6 +15,24 @@ _BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\
 _ASCII_WORDS = re.compile("[^\\t-\\r ]+")
 _SPACED_WORDS = re.compile(f" ?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
 
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+
+
+def _cut_words(text: str) -> list[str]:
+    """Words between white space, which is dropped."""
+    if any(c in text for c in _SEPARATORS):  # white space to Python only
+        return _ASCII_WORDS.findall(text)
+    return text.split()
+
+
+def _cut_spaced(text: str) -> list[str]:
+    """Words with the space before them, and other white space."""
+    if "\x00" not in text and text.replace("\n", " ").split(" ") == text.split():
+        # Only single spaces and line feeds between words.
+        return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
+    return _SPACED_WORDS.findall(text)
+
+
 _OPEN: dict[str, "Encoder"] = {}
 
 
@@ -51,11 +69,11 @@ class Encoder:
         )
         steps = [step.get("type") for step in normal.get("normalizers", [])]
         if plain and before.get("type") == "ByteLevel" and before.get("use_regex") and not normal and not before["add_prefix_space"]:
-            return _SPACED_WORDS.findall
+            return _cut_spaced
         split = (before.get("pretokenizers") or [{}])[0]
         drops = split.get("behavior") == "Removed" and split.get("invert") and "\\s" in str(split.get("pattern"))
         if plain and drops and steps == ["NFC", "Replace", "Lowercase"]:
-            return _ASCII_WORDS.findall
+            return _cut_words
         return _whole
 
     def _pieces(self, text: str) -> list[str]:
