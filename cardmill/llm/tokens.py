@@ -87,7 +87,7 @@ class Encoder:
         pieces = [self._pieces(text) for text in texts]
         known = self.known
         missing = list(set().union(*pieces).difference(known))
-        encoded = self.tokenizer.encode_batch(missing, add_special_tokens=False)
+        encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
         fresh = {piece: np.array(e.ids, "<u4").tobytes() for piece, e in zip(missing, encoded)}
         if self.cut is not _whole and len(known) + len(fresh) <= MEMORY_PIECES:
             known.update(fresh)
