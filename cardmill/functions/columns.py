@@ -8,23 +8,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Money is summed exactly: the sum then does not depend on the order in which
-# partitions are merged, and a variance does not suffer cancellation.
-MONEY = "decimal(18,4)"
+# Money is summed exactly where it can be: the sum then does not depend on the order in which
+# partitions are merged. Every amount counts: one that has no exact decimal of this type (more
+# than 18 places, or 1e20 and above) makes the sum of its group a sum of doubles.
+MONEY = "decimal(38,18)"
 
 MICROS = 1_000_000
 DAY_SECONDS = 86_400
 
 
 def money(value: Column) -> Column:
-    """Amount as an exact decimal; null when it is not a finite number of sane size."""
-    return value.try_cast(MONEY)
+    """Amount as a decimal of the same value, null when there is none."""
+    exact = value.try_cast(MONEY)
+    return F.when(exact.cast("double") == value, exact)
 
 
 def exact_avg(value: Column) -> Column:
-    """Aggregate: mean from an exact decimal sum, null for an empty group."""
+    """Aggregate: mean over all values, from an exact sum if every value has one; null for an
+    empty group."""
     amount = money(value)
-    return F.sum(amount).cast("double") / F.count(amount)
+    exact = F.when(F.count(amount) == F.count(value), F.try_sum(amount).cast("double"))
+    return F.try_divide(F.coalesce(exact, F.sum(value.cast("double"))), F.count(value))
 
 
 def or_default(value: Column, default) -> Column:

@@ -68,9 +68,9 @@ def dataset_drift(columns: DataFrame, share_bound: float = DATASET_SHARE) -> Dat
 def drift_report(reference: DataFrame | None, current: DataFrame | None) -> dict:
     """Q9: the verdict as a report; empty input is skipped, not an error."""
     if reference is None or current is None or reference.isEmpty() or current.isEmpty():
-        return {"status": "SKIPPED", "reason": "Empty input DataFrames"}
+        return {"status": "SKIPPED", "reason": "no_rows"}
     columns = drift_columns(current)
     if not columns or any(df.select(columns).na.drop().isEmpty() for df in (reference, current)):
-        return {"status": "SKIPPED", "reason": "No numeric feature columns available"}
+        return {"status": "SKIPPED", "reason": "no_usable_columns"}
     verdict = dataset_drift(column_drift(reference, current, columns)).first()
     return {"status": "SUCCESS", **verdict.asDict()}

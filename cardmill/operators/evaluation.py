@@ -10,7 +10,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardmill.functions.columns import money
+from cardmill.functions.columns import MONEY, money
 from cardmill.operators.running import bucket_count, quantile_splits, running_totals
 
 # Fixed values of the sweep: 90 thresholds, evenly spaced from 0.01 to 0.90.
@@ -18,6 +18,14 @@ THRESHOLDS = [0.01 + i * (0.89 / 89) for i in range(90)]
 FALSE_POSITIVE_COST = 2.0
 DEFAULT_AMOUNT = 100.0
 TINY = 1e-9
+# A missing or NaN score counts as lower than any other, in every metric.
+NO_SCORE = -1.0e300
+
+
+def score_value(score: Column) -> Column:
+    """The score as a number; see ``NO_SCORE``."""
+    none = F.lit(NO_SCORE)
+    return F.coalesce(F.nanvl(score.cast("double"), none), none)
 
 
 def labelled(score: Column, threshold) -> Column:
@@ -42,10 +50,11 @@ def threshold_curve(
     classes ("how many thresholds does the score reach"); the sweep itself runs over those.
     """
     edges = [float("-inf"), *THRESHOLDS, float("inf")]
-    value = F.coalesce(F.nanvl(F.col(score).cast("double"), F.lit(-1.0)), F.lit(-1.0))
-    loss = money(F.lit(DEFAULT_AMOUNT) if amount is None else F.col(amount))
+    value = score_value(F.col(score))
+    paid = (F.lit(DEFAULT_AMOUNT) if amount is None else F.col(amount)).cast("double")
     positive = F.col(label) == 1
-    rows = with_model(scored).select("model", positive.alias("positive"), loss.alias("loss"), value.alias("value"))
+    rows = with_model(scored).select("model", positive.alias("positive"), paid.alias("paid"), value.alias("value"))
+    loss = money(F.col("paid"))
     classes = (
         Bucketizer(splits=edges, inputCol="value", outputCol="reached")
         .transform(rows)
@@ -53,12 +62,13 @@ def threshold_curve(
         .agg(
             F.count_if("positive").alias("pos"),
             F.count_if(~F.col("positive")).alias("neg"),
-            F.sum(F.when(F.col("positive"), F.col("loss"))).alias("pos_loss"),
+            F.sum(F.when(F.col("positive"), loss)).alias("pos_loss"),
+            F.sum(F.when(F.col("positive") & loss.isNull(), F.col("paid"))).alias("pos_rest"),
         )
     )
     # Threshold i (1-based) flags the classes >= i. Every model gets all 91 classes; its own,
     # at most 91 rows, are gathered in a map so that the table is read once.
-    entry = F.struct("reached", F.struct("pos", "neg", "pos_loss"))
+    entry = F.struct("reached", F.struct("pos", "neg", "pos_loss", "pos_rest"))
     gathered = classes.groupBy("model").agg(F.map_from_entries(F.collect_list(entry)).alias("known"))
     known = F.try_element_at("known", F.col("reached"))
     filled = gathered.withColumn("reached", F.explode(F.sequence(F.lit(0), F.lit(90)))).select(
@@ -66,7 +76,8 @@ def threshold_curve(
         "reached",
         F.coalesce(known["pos"], F.lit(0)).alias("pos"),
         F.coalesce(known["neg"], F.lit(0)).alias("neg"),
-        F.coalesce(known["pos_loss"], F.lit(0).cast("decimal(28,4)")).alias("pos_loss"),
+        F.coalesce(known["pos_loss"], F.lit(0).cast(MONEY)).alias("pos_loss"),
+        F.coalesce(known["pos_rest"], F.lit(0.0)).alias("pos_rest"),
     )
     at_or_above = Window.partitionBy("model").orderBy(F.desc("reached")).rowsBetween(Window.unboundedPreceding, 0)
     below = Window.partitionBy("model").orderBy("reached").rowsBetween(Window.unboundedPreceding, -1)
@@ -77,7 +88,10 @@ def threshold_curve(
         F.sum("neg").over(at_or_above).alias("fp"),
         F.coalesce(F.sum("pos").over(below), F.lit(0)).alias("fn"),
         F.coalesce(F.sum("neg").over(below), F.lit(0)).alias("tn"),
-        F.coalesce(F.sum("pos_loss").over(below).cast("double"), F.lit(0.0)).alias("fn_cost"),
+        (
+            F.coalesce(F.sum("pos_loss").over(below).cast("double"), F.lit(0.0))
+            + F.coalesce(F.sum("pos_rest").over(below), F.lit(0.0))
+        ).alias("fn_cost"),
     ).where(F.col("reached") > 0)
     thresholds = F.array(*[F.lit(t) for t in THRESHOLDS])
     precision = F.col("tp") / (F.col("tp") + F.col("fp") + TINY)
@@ -157,7 +171,7 @@ def score_curve(scored: DataFrame, label: str = "is_fraud", score: str = "score"
     """Cumulative counts per distinct score from the highest down, per model."""
     rows = with_model(scored).select(
         "model",
-        (-F.col(score).cast("double")).alias("descending"),
+        (-score_value(F.col(score))).alias("descending"),
         (F.col(label) == 1).cast("bigint").alias("pos"),
         (F.col(label) != 1).cast("bigint").alias("neg"),
     )
@@ -177,15 +191,24 @@ def score_curve(scored: DataFrame, label: str = "is_fraud", score: str = "score"
 
 
 def curve_points(scored: DataFrame, label: str = "is_fraud", score: str = "score") -> DataFrame:
-    """ROC and precision-recall points at every distinct score."""
-    return score_curve(scored, label, score).select(
-        "model",
-        "threshold",
+    """ROC and precision-recall points at every distinct score, and where both curves start.
+
+    The start, above the highest score, has no threshold: rates and recall 0, precision 1.
+    """
+    point = F.struct(
+        F.col("threshold"),
         F.try_divide("fp", "negatives").alias("fpr"),
         F.try_divide("tp", "positives").alias("tpr"),
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
         F.try_divide("tp", "positives").alias("recall"),
     )
+    zero, one = F.lit(0.0), F.lit(1.0)
+    start = F.struct(
+        F.lit(None).cast("double").alias("threshold"), zero.alias("fpr"), zero.alias("tpr"), one.alias("precision"), zero.alias("recall")
+    )
+    is_highest = F.col("tp") + F.col("fp") == F.col("pos") + F.col("neg")
+    points = F.when(is_highest, F.array(start, point)).otherwise(F.array(point))
+    return score_curve(scored, label, score).select("model", F.inline(points))
 
 
 def areas(scored: DataFrame, label: str = "is_fraud", score: str = "score") -> DataFrame:
@@ -211,7 +234,7 @@ def areas(scored: DataFrame, label: str = "is_fraud", score: str = "score") -> D
 
 def confusion(scored: DataFrame, threshold: float = 0.5, label: str = "is_fraud", score: str = "score") -> DataFrame:
     """Confusion counts and F1 (0 when undefined) per model."""
-    flagged = F.col(score) >= threshold
+    flagged = score_value(F.col(score)) >= threshold
     positive = F.col(label) == 1
     counts = with_model(scored).groupBy("model").agg(
         F.count_if(~positive & ~flagged).alias("tn"),
@@ -278,6 +301,6 @@ def comparison(scored: DataFrame, thresholds: dict[str, float], label: str = "is
     cut = F.lit(0.5)
     for model, threshold in thresholds.items():
         cut = F.when(F.col("model") == model, F.lit(float(threshold))).otherwise(cut)
-    flagged = scored.withColumn("flag", F.when(F.col(score) >= cut, 1.0).otherwise(0.0))
+    flagged = scored.withColumn("flag", F.when(score_value(F.col(score)) >= cut, 1.0).otherwise(0.0))
     counts = confusion(flagged, 0.5, label, "flag").withColumn("threshold", cut)
     return areas(scored, label, score).join(counts, "model")

@@ -84,6 +84,19 @@ EVENT_CHECKS = [
 ]
 
 
+def _four_places(value: Column) -> Column:
+    return F.rint(value * 10_000) / 10_000 == value
+
+
+# Rolling totals are exact sums of ten-thousandths: an event that is finer, or has a c2 that
+# cannot be summed, is rejected with a reason and not rounded. A missing c2 counts as 0.
+ROLLING_CHECKS = [
+    *EVENT_CHECKS,
+    Check("amount", "at_most_4_places", "double", _four_places),
+    Check("c2", "usable", "double", lambda c: (F.abs(c) <= 1.0e9) & _four_places(c)),
+]
+
+
 def names_of(failures: list[tuple[Column, str]]) -> Column:
     """Array of the names whose condition holds; no lambda, so it compiles with its stage."""
     named = F.array(*[F.when(condition, F.lit(name)) for condition, name in failures])

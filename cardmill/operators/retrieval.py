@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from cardmill.functions.columns import MICROS, epoch_micros, or_default, with_on_demand_features
 from cardmill.operators.batch import BATCH_FEATURES
 from cardmill.operators.rolling import STREAM_FEATURES
-from cardmill.operators.skew import HOT_ROWS, hot_keys, join_per_key
+from cardmill.operators.skew import HOT_ROWS, JOIN_HOT_ROWS, hot_keys, join_per_key
 
 DAY = 86_400
 
@@ -97,6 +97,7 @@ def point_in_time_join(
     ttl_seconds: int,
     hot_rows: int = HOT_ROWS,
     cell_seconds: int = 60,
+    matched: str | None = None,
 ) -> DataFrame:
     """Each entity row with the newest feature row at or before it and within the TTL.
 
@@ -106,7 +107,8 @@ def point_in_time_join(
 
     A card with too many rows for one task is divided into cells of ``cell_seconds``. The
     newest feature before each cell comes from a roll-up with one row per card and cell.
-    Among feature rows of the same time the largest by value is taken.
+    Among feature rows of the same time the largest by value is taken. ``matched`` names a
+    column that says whether a feature row was found, whatever its values.
     """
     points = entities.select(
         F.col(key),
@@ -160,8 +162,9 @@ def point_in_time_join(
         .where(F.col("part") == 1)
     )
     fresh = F.col("found.at") >= F.col("pit_t") - F.lit(ttl_seconds * MICROS)
+    flag = [F.coalesce(fresh, F.lit(False)).alias(matched)] if matched else []
     return found.select(
-        "entity.*", *[F.when(fresh, F.col(f"found.{name}")).alias(name) for name in features]
+        "entity.*", *[F.when(fresh, F.col(f"found.{name}")).alias(name) for name in features], *flag
     )
 
 
@@ -184,24 +187,32 @@ def historical_features(
     return result
 
 
-def with_lookup_defaults(requests: DataFrame, online_batch: DataFrame) -> DataFrame:
+def with_lookup_defaults(requests: DataFrame, online_batch: DataFrame, hot_rows: int = JOIN_HOT_ROWS) -> DataFrame:
     """The six stored features of each request's card, each with its own default."""
     stored = online_batch.select("card_id", *LOOKUP_DEFAULTS)
-    joined = join_per_key(requests, stored, "card_id")
+    joined = join_per_key(requests, stored, "card_id", hot_rows=hot_rows)
     return joined.withColumns({name: or_default(F.col(name), value) for name, value in LOOKUP_DEFAULTS.items()})
 
 
-def online_features(requests: DataFrame, online: dict[str, DataFrame], names: list[str] | None = None) -> DataFrame:
+def online_features(
+    requests: DataFrame,
+    online: dict[str, DataFrame],
+    names: list[str] | None = None,
+    hot_rows: int = JOIN_HOT_ROWS,
+) -> DataFrame:
     """Batch and stream vectors of each request's card, and the on-demand features.
 
     ``requests`` has ``card_id`` and ``current_amount``; a card without a vector gets nulls,
     which the on-demand features read as zero. ``names`` selects ``view:feature`` columns.
+    The views, one row per card each, are joined first, so the requests take part in one join.
     """
-    result = requests
-    for view_name, stored in online.items():
+    stored = None
+    for view_name, rows in online.items():
         view = VIEWS[view_name]
-        result = join_per_key(result, stored.select(view.entity, *view.features), view.entity)
-    result = with_on_demand_features(result)
+        rows = rows.select(view.entity, *view.features)
+        stored = rows if stored is None else stored.join(rows, view.entity, "full")
+    entity = VIEWS[next(iter(online))].entity
+    result = with_on_demand_features(join_per_key(requests, stored, entity, hot_rows=hot_rows))
     if names is None:
         return result
     return result.select(*requests.columns, *[name.split(":")[1] for name in names])

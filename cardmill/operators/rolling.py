@@ -5,8 +5,10 @@ itself: earlier event time, or the same time and an earlier place in the arrival
 bound is inclusive.
 
 Ordinary cards use window functions on one shuffle by card. Counts and sums are the running
-total minus the running total of what has left the window, so they cost one step per row
-however long the window is.
+total minus the running total of what has left the window. The day's maximum cuts a card's
+time into days: an event's window is the part of its own day up to it, a running maximum, and
+the end of the day before, a running maximum from the other side, taken at the instant one day
+before the event. All of them cost one step per row however many rows a window holds.
 
 A card with more rows than a task should hold is divided into one-minute cells instead.
 Every window is a whole number of minutes, so the window of an event in minute ``m`` is
@@ -58,7 +60,8 @@ _TOTALS = {
 }
 
 # Amounts and c2 are summed as whole ten-thousandths, so totals are exact, do not depend on
-# the order of the rows and can be subtracted. The square of an amount does not fit 64 bits;
+# the order of the rows and can be subtracted. Events with finer values are quarantined by
+# their checks (``quality.ROLLING_CHECKS``); values that do not fit stop the job. The square of an amount does not fit 64 bits;
 # with amt = h * 65536 + l its parts h*h, h*l and l*l do.
 UNITS = 10_000
 _VALUES = {
@@ -103,8 +106,8 @@ def rolling_features(
         f"struct({', '.join(arrival)}) AS seq" if len(arrival) > 1 else f"{arrival[0]} AS seq",
         "unix_micros(CAST(event_time AS TIMESTAMP)) AS t",
         "amount",
-        f"TRY_CAST(RINT(amount * {UNITS}) AS BIGINT) AS amt",
-        f"COALESCE(TRY_CAST(RINT(c2 * {UNITS}) AS BIGINT), 0L) AS c2x",
+        f"CAST(RINT(amount * {UNITS}) AS BIGINT) AS amt",
+        f"COALESCE(CAST(RINT(c2 * {UNITS}) AS BIGINT), 0L) AS c2x",
     )
     hot = F.broadcast(hot_keys(events, "card_id", hot_rows))
     kept = ["transaction_id", "card_id", "event_time", *carry, *_TOTALS, "max_24h"]
@@ -125,17 +128,23 @@ def _total(value: str, over: str, where: str | None = None) -> str:
 
 def _ordinary(rows: DataFrame) -> DataFrame:
     arrived = f"PARTITION BY card_id ORDER BY t, seq {_SO_FAR}"
-    same_time = f"PARTITION BY card_id, t ORDER BY seq {_SO_FAR}"
     in_time = "PARTITION BY card_id ORDER BY t"
-    day = f"{in_time} RANGE BETWEEN {WINDOWS['24h'] * MICROS}L PRECEDING AND 1L PRECEDING"
+    day = WINDOWS["24h"] * MICROS
+    this_day = f"PARTITION BY card_id, day_no ORDER BY t, seq {_SO_FAR}"
 
     def gone(window: str) -> str:
         return f"{in_time} {_up_to(WINDOWS[window] * MICROS + 1)}"
 
     running = rows.selectExpr("*", *[f"{_total(v, arrived)} AS run_{v}" for v in _VALUES])
-    running = running.selectExpr("*", f"MAX(amount) OVER ({same_time}) AS tie_max")
     totals = [f"run_{value} - {_total(value, gone(window))} AS {name}" for name, (value, window) in _TOTALS.items()]
-    return running.selectExpr("*", *totals, f"GREATEST(tie_max, MAX(amount) OVER ({day})) AS max_24h")
+    running = running.selectExpr("*", *totals, f"CAST(FLOOR(t / {day}) AS BIGINT) AS day_no")
+    running = running.selectExpr("*", f"MAX(amount) OVER ({this_day}) AS own_max")
+    # Every row twice: where it is, and as a question one day earlier.
+    twice = running.selectExpr("*", "EXPLODE(ARRAY(0L, 1L)) AS lag")
+    twice = twice.withColumns({"t": F.expr(f"t - lag * {day}"), "day_no": F.col("day_no") - F.col("lag")})
+    from_here = "PARTITION BY card_id, day_no ORDER BY t DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    asked = twice.selectExpr("*", f"MAX(CASE WHEN lag = 0 THEN amount END) OVER ({from_here}) AS edge_max")
+    return asked.where("lag = 1").selectExpr("*", "GREATEST(own_max, edge_max) AS max_24h")
 
 
 def _divided(rows: DataFrame) -> DataFrame:

@@ -8,14 +8,30 @@ from pyspark.sql import functions as F
 HASH_BUCKETS = 65_536
 
 
+HASH_BITS = 60
+
+
 def hash_order(key: str, seed: int) -> Column:
-    """A fixed pseudo-random order of the keys; non-negative."""
-    return F.xxhash64(F.col(key), F.lit(seed)).bitwiseAND(F.lit(2**63 - 1))
+    """A fixed pseudo-random order of the keys, the same in any SQL engine: the first 60 bits of
+    the MD5 of ``seed:key``."""
+    text = F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 
 def seeded_sample(df: DataFrame, key: str, n: int = 2000, seed: int = 42) -> DataFrame:
-    """L3: ``n`` rows picked by hash, the same rows however the table is partitioned."""
-    return df.orderBy(hash_order(key, seed), key).limit(n)
+    """L3: the ``n`` rows with the smallest hashes, however the table is partitioned.
+
+    An ordered limit alone would bring ``n`` rows of every partition to one task. Counts per
+    hash range (at most 65,536) first give the hash below which the ``n`` rows lie; only those
+    few are ordered.
+    """
+    order = hash_order(key, seed)
+    hash_range = F.shiftright(order, HASH_BITS - 16)
+    counts = df.groupBy(hash_range.alias("hash_range")).agg(F.count(F.lit(1)).alias("rows"))
+    so_far = Window.orderBy("hash_range").rowsBetween(Window.unboundedPreceding, 0)
+    totals = counts.withColumn("upto", F.sum("rows").over(so_far))
+    last = totals.agg(F.coalesce(F.min(F.when(F.col("upto") >= n, F.col("hash_range"))), F.max("hash_range"))).scalar()
+    return df.where(hash_range <= last).orderBy(order, key).limit(n)
 
 
 def stratified_split(
@@ -30,7 +46,7 @@ def stratified_split(
     every row is compared with the cutoff of its label.
     """
     order = hash_order(key, seed)
-    bucket = F.shiftright(order, 63 - 16)
+    bucket = F.shiftright(order, HASH_BITS - 16)
     keyed = df.select(F.col(label), F.col(key), order.alias("hash"), bucket.alias("bucket"))
 
     per_bucket = keyed.groupBy(label, "bucket").agg(F.count(F.lit(1)).alias("n"))

@@ -27,8 +27,9 @@ from cardmill.operators.evaluation import (
     rounded_thresholds,
     threshold_curve,
 )
+from cardmill.operators.quality import names_of
 from cardmill.operators.retrieval import CARD_BATCH, point_in_time_join, with_lookup_defaults
-from cardmill.operators.sampling import hash_order, seeded_sample, stratified_split
+from cardmill.operators.sampling import HASH_BITS, hash_order, seeded_sample, stratified_split
 from cardmill.operators.skew import join_per_key
 
 AMOUNT = "TransactionAmt"
@@ -36,6 +37,10 @@ TRAINING_FEATURES = [*BATCH_FEATURES, AMOUNT, "amount_ratio_30d", "is_amount_gt_
 ID_COLUMNS = ("card_id", "TransactionID")
 TARGET = "is_fraud"
 
+# Labelled rows that the members are fitted on. A hundred trees of depth six pass over them some
+# six hundred times.
+FIT_ROWS = 500_000
+
 ALERT = "ALERT: FRAUD DETECTED"
 APPROVED = "APPROVED"
 
@@ -62,7 +67,8 @@ def training_set(
             entity_time,
             CARD_BATCH.timestamp,
             CARD_BATCH.ttl_seconds,
-        ).where(F.col(BATCH_FEATURES[0]).isNotNull())
+            matched="has_features",
+        ).where("has_features")
     else:
         joined = join_per_key(rows, batch_features.select("card_id", *BATCH_FEATURES), "card_id", "inner")
     amount = F.col("amount")
@@ -192,12 +198,23 @@ def train_ensemble(
     depth: int = 6,
     rate: float = 0.05,
     false_positive_cost: float = FALSE_POSITIVE_COST,
+    fit_rows: int = FIT_ROWS,
 ) -> tuple[FraudEnsemble, DataFrame]:
-    """Split, fit, blend, tune the threshold and report; the report is one nested row."""
+    """Split, fit, blend, tune the threshold and report; the report is one nested row.
+
+    The members are fitted on at most about ``fit_rows`` labelled rows, picked by a hash of the
+    id; the split, the threshold and every figure of the report use all rows.
+    """
     features = columns_except(dataset, (*ID_COLUMNS, TARGET))
     split = stratified_split(dataset, "TransactionID", TARGET).persist(StorageLevel.MEMORY_AND_DISK)
     train, validation = split.where(~F.col("is_test")), split.where("is_test")
-    ensemble = fit_ensemble(train, features, trees, depth, rate)
+    n_train = train.count()
+    if n_train > fit_rows:
+        # The split has taken the smallest hashes of this seed; another one is independent of it.
+        bound = int(2**HASH_BITS * fit_rows / n_train)
+        ensemble = fit_ensemble(train.where(hash_order("TransactionID", 43) < bound), features, trees, depth, rate)
+    else:
+        ensemble = fit_ensemble(train, features, trees, depth, rate)
 
     members = member_scores(ensemble.score(validation)).persist(StorageLevel.MEMORY_AND_DISK)
     blend = members.where(F.col("model") == "ensemble_optimal")
@@ -245,46 +262,65 @@ def report_row(spark: SparkSession, report: dict) -> DataFrame:
 
 
 def score_requests(requests: DataFrame, online_batch: DataFrame, ensemble: FraudEnsemble) -> DataFrame:
-    """M5: look up, derive, score and decide for every request.
+    """M5: look up, derive, score and decide for every valid request.
 
-    ``requests`` has ``card_id`` and a positive ``current_amount``; other columns are kept.
-    A stream of requests is scored batch by batch, see ``cardmill.streaming.scoring``.
+    ``requests`` has ``card_id`` and ``current_amount``; other columns are kept. Those that
+    ``request_errors`` names are not scored. A stream of requests is scored batch by batch, see
+    ``cardmill.streaming.scoring``.
     """
+    valid = requests.where(F.size(request_errors()) == 0)
+    scored = ensemble.predict(request_features(valid, online_batch).na.fill(0.0, ensemble.feature_names))
+    return decisions(scored, requests.columns, ensemble.threshold)
+
+
+def request_errors() -> Column:
+    """What is wrong with a request: no card, or an amount that is no number above 0."""
+    amount = F.nanvl(F.col("current_amount").cast("double"), F.lit(0.0))
+    failures = [
+        (F.col("card_id").isNull() | (F.length(F.trim(F.col("card_id").cast("string"))) == 0), "card_id:required"),
+        (~F.coalesce(amount > 0.0, F.lit(False)), "current_amount:positive"),
+    ]
+    return names_of(failures)
+
+
+def request_features(requests: DataFrame, online_batch: DataFrame) -> DataFrame:
+    """The member inputs of every request: stored features or defaults, and the derived ones."""
     amount = F.col("current_amount").cast("double")
     looked_up = with_lookup_defaults(requests.withColumn("card_id", F.col("card_id").cast("string")), online_batch)
-    derived = looked_up.withColumns(
+    return looked_up.withColumns(
         {
             AMOUNT: amount,
             "amount_ratio_30d": amount_ratio(amount, F.col("avg_amount_30d")),
             "is_amount_gt_30d_max": exceeds(amount, F.col("max_amount_30d")),
         }
-    ).na.fill(0.0, ensemble.feature_names)
-    scored = ensemble.predict(derived)
+    )
+
+
+def decisions(scored: DataFrame, kept: list[str], threshold: float) -> DataFrame:
+    """The answer to every scored request; needs the member scores, ``fraud_score``, ``prediction``."""
     used = F.map_from_arrays(
         F.array(*[F.lit(n) for n in TRAINING_FEATURES]),
         F.array(*[F.round(F.col(n).cast("double"), 2) for n in TRAINING_FEATURES]),
     )
     return scored.select(
-        *requests.columns,
+        *kept,
         F.col("prediction").alias("is_fraud"),
         F.round("fraud_score", 4).alias("fraud_score"),
         F.when(F.col("prediction") == 1, ALERT).otherwise(APPROVED).alias("decision"),
-        F.lit(round(ensemble.threshold, 4)).alias("decision_threshold"),
+        F.lit(round(threshold, 4)).alias("decision_threshold"),
         F.round("boosted_score", 4).alias("boosted_score"),
         F.round("forest_score", 4).alias("forest_score"),
         used.alias("features_used"),
     )
 
 
-def feature_importance(
-    dataset: DataFrame, ensemble: FraudEnsemble, key: str = "TransactionID", sample_size: int = 2000, seed: int = 42
+def permuted_inputs(
+    dataset: DataFrame, names: list[str], key: str = "TransactionID", sample_size: int = 2000, seed: int = 42
 ) -> DataFrame:
-    """M6: features ranked by how far the blended score moves when their values are permuted.
+    """The sample as it is (``permuted`` empty) and once per feature with that one permuted.
 
-    The sample is put in a hash order and each row takes the feature's value of the next
-    row. One copy of the sample per feature is scored in a single pass.
+    The sample is put in a hash order and each row takes the feature's value of the next row.
     """
-    names = ensemble.feature_names
     sample = seeded_sample(dataset.select(key, *names), key, sample_size, seed)
     place = Window.partitionBy(F.lit(0)).orderBy(hash_order(key, seed + 1), key)  # at most sample_size rows
     partners = F.struct(*names)
@@ -292,10 +328,21 @@ def feature_importance(
         "partner", F.coalesce(F.lead(partners).over(place), F.first(partners).over(place))
     )
     copies = paired.withColumn("permuted", F.explode(F.array(F.lit(""), *[F.lit(n) for n in names])))
-    swapped = copies.withColumns(
+    return copies.withColumns(
         {n: F.when(F.col("permuted") == n, F.col(f"partner.{n}")).otherwise(F.col(n)) for n in names}
-    )
-    scored = ensemble.score(swapped.drop("partner")).select(key, "permuted", "fraud_score")
+    ).drop("partner")
+
+
+def feature_importance(
+    dataset: DataFrame, ensemble: FraudEnsemble, key: str = "TransactionID", sample_size: int = 2000, seed: int = 42
+) -> DataFrame:
+    """M6: features ranked by how far the blended score moves when their values are permuted.
+
+    One copy of the sample per feature is scored in a single pass.
+    """
+    names = ensemble.feature_names
+    swapped = permuted_inputs(dataset, names, key, sample_size, seed)
+    scored = ensemble.score(swapped).select(key, "permuted", "fraud_score")
     original = F.max(F.when(F.col("permuted") == "", F.col("fraud_score")))
     moved = scored.groupBy(key).agg(
         original.alias("original"),

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
+from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +23,7 @@ from cardmill.sources.sinks import (
     write_lakehouse,
     write_report,
 )
-from cardmill.sources.tables import latest_partition, previous_partition
+from cardmill.sources.tables import latest_partition
 from cardmill.streaming.features import StreamTables, start_features
 
 # The reasons a run reports.
@@ -63,6 +66,17 @@ def retrain_decision(state: DataFrame) -> DataFrame:
     )
 
 
+def _retried(step: Callable[[], dict], retries: int = 2, wait_seconds: float = 5.0) -> dict:
+    for attempt in range(retries + 1):
+        try:
+            return step()
+        except PySparkException:
+            if attempt == retries:
+                raise
+            time.sleep(wait_seconds)
+    raise AssertionError
+
+
 class FlowTables:
     """Where a run keeps its tables."""
 
@@ -85,21 +99,23 @@ def refresh_batch(
     """Step 1: features, gate, lakehouse partition, current table and quarantine."""
     features = batch_features(transactions, F.lit(run_time).cast("timestamp"), mode)
     result = gate(features, BATCH_CHECKS, on_fail)
-    write_lakehouse(result.clean, tables.lake, run_time)
-    write_current(result.clean, tables.current)
-    if result.quarantined_rows:
-        write_batch_quarantine(result.quarantined, tables.quarantine, run_time.date())
-    result.release()
+    try:
+        write_lakehouse(result.clean, tables.lake, run_time)
+        write_current(result.clean, tables.current)
+        if result.quarantined_rows:
+            write_batch_quarantine(result.quarantined, tables.quarantine, run_time.date())
+    finally:
+        result.release()
     return {"status": "SUCCESS", "is_valid": result.is_valid, "quarantined_rows": result.quarantined_rows}
 
 
 def lake_drift(spark: SparkSession, tables: FlowTables) -> dict:
     """Step 5: the newest partition against the one before it."""
     if not exists(spark, tables.lake):
-        return {"status": "SKIPPED", "reason": "No Lakehouse parquet files found"}
-    lake = spark.read.parquet(tables.lake)
+        return {"status": "SKIPPED", "reason": "no_lakehouse"}
     days = ("year", "month", "day")
-    return drift_report(previous_partition(lake).drop(*days), latest_partition(lake).drop(*days))
+    before, newest = (latest_partition(spark, tables.lake, back).drop(*days) for back in (1, 0))
+    return drift_report(before, newest)
 
 
 def run_flow(
@@ -107,7 +123,7 @@ def run_flow(
     event_stream: DataFrame,
     tables: FlowTables,
     run_time: dt.datetime,
-    run_number: int = 0,
+    run_number: int | None = None,
     audit_card: str = "11556",
     force_retrain: bool = False,
     scheduled_run: bool = False,
@@ -116,16 +132,20 @@ def run_flow(
 ) -> dict:
     """O3: batch, stream, materialize, audit, drift, decide and train.
 
-    ``transactions`` are typed raw rows, ``event_stream`` a stream of JSON ``value`` rows.
+    ``transactions`` are typed raw rows, ``event_stream`` a stream of JSON ``value`` rows. A run
+    without a number takes the one after the last that was stored. The batch step is tried three
+    times; a failure of the drift or training step is reported and does not end the run.
     """
     spark = transactions.sparkSession
-    report: dict = {"step1_batch_lakehouse": refresh_batch(transactions, tables, run_time)["status"]}
+    report: dict = {"step1_batch_lakehouse": _retried(lambda: refresh_batch(transactions, tables, run_time))["status"]}
 
     start_features(event_stream, tables.stream).awaitTermination()
     report["step2_stream_dlq"] = "SUCCESS"
 
     start = dt.datetime(2020, 1, 1, tzinfo=dt.timezone.utc)
     current = spark.read.parquet(tables.current)
+    if run_number is None:
+        run_number = tables.online_batch.next_number(spark)
     tables.online_batch.upsert(materialize(current, CARD_BATCH, start, run_time), run_number)
     tables.online_batch.compact_if_due(spark, run_number)
     report["step3_materialize"] = "SUCCESS"
@@ -139,7 +159,10 @@ def run_flow(
     )
     report["step4_verification_audit"] = checked.first().asDict()
 
-    drift = lake_drift(spark, tables)
+    try:
+        drift = lake_drift(spark, tables)
+    except PySparkException as error:
+        drift = {"status": "FAILED", "reason": str(error)[:500]}
     report["step5_drift_monitoring"] = drift["status"]
     report["dataset_drift_detected"] = bool(drift.get("dataset_drift", False))
 
@@ -151,9 +174,13 @@ def run_flow(
     decision = retrain_decision(state).first()
     report["ct_trigger_reason"] = decision.trigger_reason
 
-    write_current(training_set(transactions, current), tables.dataset)
-    ensemble, evaluation = train_ensemble(spark.read.parquet(tables.dataset), trees, depth)
-    ensemble.save(spark, tables.model)
-    write_report(evaluation, tables.report)
-    report["step6_model_training"] = "SUCCESS"
+    try:
+        write_current(training_set(transactions, current), tables.dataset)
+        ensemble, evaluation = train_ensemble(spark.read.parquet(tables.dataset), trees, depth)
+        ensemble.save(spark, tables.model)
+        write_report(evaluation, tables.report)
+        report["step6_model_training"] = "SUCCESS"
+    except PySparkException as error:
+        report["step6_model_training"] = "FAILED"
+        report["training_error"] = str(error)[:500]
     return report

@@ -186,6 +186,28 @@ UNION ALL SELECT model, 'accuracy', (ar * an + br * bn) / (an + bn), (ar * an +
 UNION ALL SELECT model, 'macro avg', (ap + bp) / 2.0, (ar + br) / 2.0, (af + bf) / 2.0, an + bn FROM pairs
 UNION ALL SELECT model, 'weighted avg', (ap * an + bp * bn) / (an + bn), (ar * an + br * bn) / (an + bn), (af * an + bf * bn) / (an + bn), an + bn FROM pairs"""
 
+_HASH = "substr(md5('{seed}:' || transaction_id), 1, 15)"
+_GAPPY = SCORED.replace("scored AS (", "all_scores AS (") + """, scored AS (
+  SELECT * REPLACE (CASE WHEN CAST(FLOOR(score * 1000) AS BIGINT) % 20 IN (3, 4) THEN -1e300::DOUBLE ELSE score END AS score)
+  FROM all_scores)"""
+
+
+def equal_times() -> str:
+    """Events of a card at one time count in the order of their ids; as a join of pairs."""
+
+    def over(seconds: int, value: str) -> str:
+        return f"{value} FILTER (b.event_time >= a.event_time - INTERVAL {seconds} SECOND)"
+
+    return f"""days AS (SELECT * REPLACE (date_trunc('day', event_time) AS event_time) FROM tx)
+      SELECT a.transaction_id, {over(3600, 'COUNT(*)')} AS trans_count_1h,
+        CAST({over(3600, 'SUM(b.money)')} AS DOUBLE) AS total_amount_1h,
+        CAST({over(86400, 'SUM(b.money)')} AS DOUBLE) / {over(86400, 'COUNT(*)')} AS avg_amount_24h,
+        {over(86400, 'MAX(b.amount)')} AS max_amount_24h
+      FROM days a JOIN days b ON a.card_id = b.card_id AND b.event_time >= a.event_time - INTERVAL 1 DAY
+        AND (b.event_time < a.event_time OR (b.event_time = a.event_time AND b.transaction_id <= a.transaction_id))
+      GROUP BY a.transaction_id"""
+
+
 _W = f"WITH {TX}, w AS ({rolling()})"
 _STREAM_COUNTS = "transaction_id, card_id, trans_count_1m, trans_count_5m, trans_count_1h"
 _REPLAYED = "make_timestamp(CAST(ROUND((1704067200.0::DOUBLE + transaction_dt % 86400.0::DOUBLE) * 1000000.0::DOUBLE) AS BIGINT))"
@@ -195,6 +217,13 @@ ORACLE: dict[str, str] = {
       FROM dirty WHERE TRY_CAST(card_id AS BIGINT) IS NOT NULL""",
     "s2_first_rows": f"""WITH {TX} SELECT transaction_id, is_fraud, amount, card_id FROM tx
       ORDER BY transaction_id LIMIT 50000""",
+    "s2_binding_limit": f"""WITH {TX} SELECT transaction_id, is_fraud, amount, card_id FROM tx
+      ORDER BY transaction_id LIMIT 1000""",
+    "p2_sanitized": f"""WITH {DIRTY} SELECT transaction_id, card_id, amount, d4 AS c1, c2, product_cd,
+        product_cd AS p_emaildomain, strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp, event_time
+      FROM dirty WHERE NOT ({BAD_EVENT})""",
+    "s12_messages": f"""WITH {DIRTY} SELECT COALESCE(card_id, 'bad_event') AS message_key, transaction_id, card_id, amount,
+        {REASONS} AS reasons FROM dirty WHERE {BAD_EVENT}""",
     "s3_replay": f"""WITH {TX} SELECT transaction_id AS "TransactionID", transaction_dt AS "TransactionDT",
       CAST(card_id AS BIGINT) AS card1 FROM tx ORDER BY 2, 1""",
     "s7_lakehouse": f"""WITH {TX}, b AS ({batch('tx')})
@@ -262,6 +291,11 @@ ORACLE: dict[str, str] = {
         arg_max(day_max_amount, known_at) AS day_max_amount
       FROM daily WHERE known_at BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-16 00:00:00' GROUP BY 1""",
     "a1_batch_features": f"WITH {TX} {batch('tx')}",
+    "a1_wide_amounts": f"""WITH {TX}, wide AS (
+        SELECT * REPLACE (CASE CAST(card_id AS BIGINT) % 3 WHEN 0 THEN amount * 1e12::DOUBLE WHEN 1 THEN amount / 1e5::DOUBLE
+                          ELSE amount END AS amount) FROM tx)
+      SELECT card_id, COUNT(*) AS trans_count_30d, MAX(amount) AS max_amount_30d,
+        ROUND(AVG(amount) / MAX(amount), 9) AS mean_share FROM wide GROUP BY 1""",
     "a1_windowed": f"""WITH {TX}, top AS (SELECT MAX(transaction_dt) AS t FROM tx)
       SELECT card_id, TIMESTAMP '2024-02-01 00:00:00' AS event_timestamp,
         COUNT(*) FILTER (transaction_dt >= t - 604800) AS trans_count_7d,
@@ -285,7 +319,19 @@ ORACLE: dict[str, str] = {
     "w2_hour": f"{_W} SELECT transaction_id, total_amount_1h, avg_amount_1h, c2_count_sum_1h FROM w",
     "w4_day": f"{_W} SELECT transaction_id, avg_amount_24h, max_amount_24h, stddev_amount_24h FROM w",
     "w4_day_divided": f"{_W} SELECT * FROM w",
+    "w6_equal_times": f"WITH {TX}, {equal_times()}",
+    "w7_rounded": f"""{_W} SELECT transaction_id, ROUND(total_amount_1h, 2) AS total_amount_1h,
+        ROUND(max_amount_24h, 2) AS max_amount_24h, ROUND(c2_count_sum_1h, 2) AS c2_count_sum_1h FROM w""",
     "w8_latest": f"{_W} {latest('w', 'card_id', 'last_updated DESC')}",
+    "l3_sample": f"""WITH {TX} SELECT transaction_id, card_id, amount FROM tx
+      ORDER BY {_HASH.format(seed=42)}, transaction_id LIMIT 2000""",
+    "l4_split": f"""WITH {TX}, c AS (SELECT is_fraud, COUNT(*) AS n, SUM(COUNT(*)) OVER () AS total FROM tx GROUP BY 1),
+      e AS (SELECT *, CEIL(total * 0.2) AS quota, CEIL(total * 0.2) * n / total AS exact FROM c),
+      q AS (SELECT *, FLOOR(exact) + CASE WHEN ROW_NUMBER() OVER (ORDER BY exact - FLOOR(exact) DESC, is_fraud)
+              <= quota - SUM(FLOOR(exact)) OVER () THEN 1 ELSE 0 END AS k FROM e)
+      SELECT transaction_id, tx.is_fraud,
+        ROW_NUMBER() OVER (PARTITION BY tx.is_fraud ORDER BY {_HASH.format(seed=42)}, transaction_id) <= k AS is_test
+      FROM tx JOIN q ON tx.is_fraud = q.is_fraud""",
     "l4_split_sizes": f"""WITH {TX}, c AS (SELECT is_fraud, COUNT(*) AS n, SUM(COUNT(*)) OVER () AS total FROM tx GROUP BY 1),
       e AS (SELECT *, CEIL(total * 0.2) AS quota, CEIL(total * 0.2) * n / total AS exact FROM c),
       q AS (SELECT *, FLOOR(exact) + CASE WHEN ROW_NUMBER() OVER (ORDER BY exact - FLOOR(exact) DESC, is_fraud)
@@ -317,7 +363,40 @@ ORACLE: dict[str, str] = {
     "m10_pr_auc": f"WITH {STEPS} SELECT model, pr_auc FROM areas",
     "m11_roc_auc": f"WITH {STEPS} SELECT model, roc_auc FROM areas",
     "m12_confusion": f"WITH {SCORED}, {confusion('CAST(0.37 AS DOUBLE)')} SELECT *, {F1} AS f1_score FROM conf",
-    "m13_points": f"""WITH {STEPS} SELECT model, score AS threshold, CAST(fp AS DOUBLE) / CAST(n AS DOUBLE) AS fpr,
+    "m12_missing_scores": f"""WITH {STEPS.replace(SCORED, _GAPPY)}, {confusion('CAST(0.37 AS DOUBLE)')},
+      cut AS (SELECT CAST(0.01 AS DOUBLE) + 36 * (CAST(0.89 AS DOUBLE) / CAST(89 AS DOUBLE)) AS c)
+      SELECT conf.*, {F1} AS f1_score, sweep_tp, sweep_fp, sweep_rows, roc_auc FROM conf JOIN areas USING (model) JOIN (
+        SELECT model, COUNT(*) FILTER (is_fraud = 1 AND score >= c) AS sweep_tp,
+          COUNT(*) FILTER (is_fraud = 0 AND score >= c) AS sweep_fp, COUNT(*) AS sweep_rows
+        FROM scored, cut GROUP BY 1) USING (model)""",
+    "m2_train_report": f"""WITH {TX} SELECT COUNT(*) AS dataset_size, COUNT(*) - CAST(CEIL(COUNT(*) * 0.2) AS BIGINT) AS train_size,
+        CAST(CEIL(COUNT(*) * 0.2) AS BIGINT) AS val_size, CAST(9 AS BIGINT) AS feature_count,
+        'trans_count_7d,trans_count_30d,avg_amount_30d,max_amount_30d,distinct_addr_7d,days_since_last_trans,'
+        || 'TransactionAmt,amount_ratio_30d,is_amount_gt_30d_max' AS features, TRUE AS whole FROM tx""",
+    "m5_rejected": f"""WITH {DIRTY} SELECT transaction_id, card_id, amount AS current_amount,
+        concat_ws(',', CASE WHEN COALESCE(LENGTH(TRIM(card_id)), 0) = 0 THEN 'card_id:required' END,
+                  CASE WHEN amount <= 0 THEN 'current_amount:positive' END) AS errors
+      FROM dirty WHERE COALESCE(LENGTH(TRIM(card_id)), 0) = 0 OR amount <= 0""",
+    "m5_score": f"""WITH {DIRTY}, b AS ({batch('tx')}), r AS (
+        SELECT transaction_id, dirty.card_id, amount AS current_amount, COALESCE(CAST(trans_count_7d AS DOUBLE), 1.0) AS trans_count_7d,
+          COALESCE(max_amount_30d, 500.0) AS top,
+          CAST(0.5 AS DOUBLE) * (CAST(((transaction_id - 1) * 7919) % 1000 AS DOUBLE) / 1000.0::DOUBLE)
+          + CAST(0.5 AS DOUBLE) * (CAST(((transaction_id - 1) * 104729) % 997 AS DOUBLE) / 997.0::DOUBLE) AS score
+        FROM dirty LEFT JOIN b ON dirty.card_id = b.card_id WHERE LENGTH(TRIM(dirty.card_id)) > 0 AND amount > 0)
+      SELECT transaction_id, card_id, current_amount, CAST(score >= 0.37::DOUBLE AS INTEGER) AS is_fraud,
+        CASE WHEN score >= 0.37::DOUBLE THEN 'ALERT: FRAUD DETECTED' ELSE 'APPROVED' END AS decision,
+        CAST(0.37 AS DOUBLE) AS decision_threshold, trans_count_7d, ROUND(top, 2) AS max_amount_30d,
+        CAST(CASE WHEN current_amount > top THEN 1.0 ELSE 0.0 END AS DOUBLE) AS is_amount_gt_30d_max FROM r""",
+    "m6_permuted": f"""WITH {TX}, s AS (SELECT transaction_id, amount, c2, amount * 2.0::DOUBLE AS ratio FROM tx
+        ORDER BY {_HASH.format(seed=42)}, transaction_id LIMIT 500),
+      o AS (SELECT *, ROW_NUMBER() OVER (ORDER BY {_HASH.format(seed=43)}, transaction_id) AS i, COUNT(*) OVER () AS n FROM s),
+      p AS (SELECT o.transaction_id, o.amount, o.c2, o.ratio, q.amount AS pa, q.c2 AS pc, q.ratio AS pr
+            FROM o JOIN o q ON q.i = o.i % o.n + 1)
+      SELECT transaction_id, permuted, CASE WHEN permuted = 'amount' THEN pa ELSE amount END AS amount,
+        CASE WHEN permuted = 'c2' THEN pc ELSE c2 END AS c2, CASE WHEN permuted = 'ratio' THEN pr ELSE ratio END AS ratio
+      FROM p, (VALUES (''), ('amount'), ('c2'), ('ratio')) f(permuted)""",
+    "m13_points": f"""WITH {STEPS} SELECT DISTINCT model, NULL::DOUBLE AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr,
+      1.0::DOUBLE AS precision, 0.0::DOUBLE AS recall FROM steps UNION ALL SELECT model, score AS threshold, CAST(fp AS DOUBLE) / CAST(n AS DOUBLE) AS fpr,
       CAST(tp AS DOUBLE) / CAST(p AS DOUBLE) AS tpr, CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) AS precision,
       CAST(tp AS DOUBLE) / CAST(p AS DOUBLE) AS recall FROM steps""",
     "m14_curve": f"WITH {CURVE} SELECT model, threshold_index, tp, fp, fn, tn, precision, recall, f1, f2 FROM curve",
@@ -326,6 +405,7 @@ ORACLE: dict[str, str] = {
       SELECT areas.*, conf.* EXCLUDE (model), {F1} AS f1_score FROM areas JOIN conf USING (model)""",
     "t2_stream": f"""WITH {TX}, good AS (SELECT * FROM tx WHERE NOT ({BAD_EVENT})), w AS ({rolling('good')})
       SELECT {_STREAM_COUNTS} FROM w""",
+    "t2_stream_batches": f"{_W} SELECT * FROM w",
     "t3_stream_quarantine": f"WITH {DIRTY} SELECT transaction_id, card_id, amount, {REASONS} AS reasons FROM dirty WHERE {BAD_EVENT}",
     "t4_archive": f"""WITH {DIRTY} SELECT transaction_id, card_id, amount, c2, product_cd, event_time AS event_timestamp,
       FALSE AS late FROM dirty WHERE NOT ({BAD_EVENT})""",
@@ -345,3 +425,7 @@ ORACLE: dict[str, str] = {
       'PASSED (' || COUNT(*) FILTER ({BAD_EVENT}) || ' isolated records)' AS quarantine_store,
       'SKIPPED' AS drift_status, 'BASELINE_PIPELINE_VERIFICATION' AS trigger_reason FROM dirty""",
 }
+
+# The same results, whatever the bound above which a card counts as hot.
+for _name in ("j3_point_in_time", "j4_lookup", "e9_on_demand"):
+    ORACLE[f"{_name}_hot"] = ORACLE[_name]

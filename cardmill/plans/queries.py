@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardmill.functions.columns import MONEY, exact_avg, normalize_raw_event
+from cardmill.functions.columns import exact_avg, normalize_raw_event
 from cardmill.operators import batch, drift, evaluation, quality, retrieval, rolling, sampling, training
 from cardmill.plans import flow
 from cardmill.session import configure, scratch_dir
@@ -111,6 +111,12 @@ def s2_first_rows(spark, sf_dir):
     return tables.first_transactions(_tx(spark, sf_dir))
 
 
+@query
+def s2_binding_limit(spark, sf_dir):
+    """A limit that is smaller than the table."""
+    return tables.first_transactions(_tx(spark, sf_dir), 1_000)
+
+
 @query
 def s3_replay(spark, sf_dir):
     """S3, L1: the raw rows in replay order."""
@@ -160,7 +166,7 @@ def s15_latest_partition(spark, sf_dir):
     early = rows.where(F.col("event_time") < F.lit(DRIFT_SPLIT))
     sinks.write_lakehouse(_batch(early), path, DRIFT_SPLIT)
     sinks.write_lakehouse(_batch(rows), path, RUN_TIME)
-    return tables.latest_partition(spark.read.parquet(path)).select("card_id", "trans_count_30d", "month", "day")
+    return tables.latest_partition(spark, path).select("card_id", "trans_count_30d", "month", "day")
 
 
 # Projections and filters
@@ -172,6 +178,24 @@ def p3_valid_events(spark, sf_dir):
     return quality.valid_events(_dirty(spark, sf_dir)).select("transaction_id", "card_id", "amount", "event_time")
 
 
+@query
+def p2_sanitized(spark, sf_dir):
+    """The nine columns kept of a valid event."""
+    time = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp")
+    rows = _dirty(spark, sf_dir).select("*", F.col("d4").alias("c1"), F.col("product_cd").alias("p_emaildomain"), time)
+    return quality.sanitized(rows)
+
+
+@query
+def s12_messages(spark, sf_dir):
+    """Rejected events as messages of the quarantine topic, read back."""
+    checked = quality.failing_rows(quality.with_failures(_dirty(spark, sf_dir), quality.EVENT_CHECKS))
+    messages = source.quarantine_messages(checked.select("transaction_id", "card_id", "amount", quality.REASONS))
+    schema = f"transaction_id bigint, card_id string, amount double, {quality.REASONS} array<string>"
+    read = messages.select(F.col("key").alias("message_key"), F.from_json("value", schema).alias("v")).select("message_key", "v.*")
+    return read.withColumn("reasons", F.array_join(quality.REASONS, ",")).drop(quality.REASONS)
+
+
 @query
 def p4_normalized(spark, sf_dir):
     """Raw rows to events with defaults and a replayed event time."""
@@ -232,6 +256,22 @@ def j3_point_in_time(spark, sf_dir):
     )
 
 
+@query
+def j3_point_in_time_hot(spark, sf_dir):
+    """J3 with every card above ten rows divided into minutes."""
+    rows = _tx(spark, sf_dir)
+    return retrieval.point_in_time_join(
+        rows.select("transaction_id", "card_id", "event_time"),
+        _daily(rows),
+        ["day_count", "day_avg_amount", "day_max_amount"],
+        "card_id",
+        "event_time",
+        "known_at",
+        WEEK,
+        hot_rows=10,
+    )
+
+
 def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dirty(spark, sf_dir).select("transaction_id", "card_id", F.abs("amount").alias("current_amount"))
 
@@ -242,6 +282,12 @@ def j4_lookup(spark, sf_dir):
     return retrieval.with_lookup_defaults(_requests(spark, sf_dir), _batch(_tx(spark, sf_dir)))
 
 
+@query
+def j4_lookup_hot(spark, sf_dir):
+    """J4 with every card above ten requests dealt to many tasks."""
+    return retrieval.with_lookup_defaults(_requests(spark, sf_dir), _batch(_tx(spark, sf_dir)), hot_rows=10)
+
+
 def _online(rows: DataFrame) -> dict[str, DataFrame]:
     return {
         "card_batch_features": _batch(rows),
@@ -261,21 +307,29 @@ def e8_historical(spark, sf_dir):
     return retrieval.historical_features(entities, names, {"card_batch_features": history})
 
 
+ON_DEMAND_NAMES = [
+    "card_batch_features:avg_amount_30d",
+    "card_batch_features:max_amount_30d",
+    "card_stream_features:trans_count_5m",
+    "card_stream_features:avg_amount_24h",
+    "card_on_demand_features:amount_ratio_24h",
+    "card_on_demand_features:amount_ratio_30d",
+    "card_on_demand_features:amount_zscore_24h",
+    "card_on_demand_features:is_amount_gt_30d_max",
+    "card_on_demand_features:is_high_velocity_5m",
+]
+
+
 @query
 def e9_on_demand(spark, sf_dir):
     """Request-time features of every request."""
-    names = [
-        "card_batch_features:avg_amount_30d",
-        "card_batch_features:max_amount_30d",
-        "card_stream_features:trans_count_5m",
-        "card_stream_features:avg_amount_24h",
-        "card_on_demand_features:amount_ratio_24h",
-        "card_on_demand_features:amount_ratio_30d",
-        "card_on_demand_features:amount_zscore_24h",
-        "card_on_demand_features:is_amount_gt_30d_max",
-        "card_on_demand_features:is_high_velocity_5m",
-    ]
-    return retrieval.online_features(_requests(spark, sf_dir), _online(_tx(spark, sf_dir)), names)
+    return retrieval.online_features(_requests(spark, sf_dir), _online(_tx(spark, sf_dir)), ON_DEMAND_NAMES)
+
+
+@query
+def e9_on_demand_hot(spark, sf_dir):
+    """E9 with every card above ten requests dealt to many tasks."""
+    return retrieval.online_features(_requests(spark, sf_dir), _online(_tx(spark, sf_dir)), ON_DEMAND_NAMES, hot_rows=10)
 
 
 @query
@@ -301,6 +355,16 @@ def a1_batch_features(spark, sf_dir):
     return _batch(_tx(spark, sf_dir))
 
 
+@query
+def a1_wide_amounts(spark, sf_dir):
+    """A1 over very large amounts and ones of many places; the mean as a share of the maximum."""
+    kind = F.pmod(F.col("card_id").cast("bigint"), F.lit(3))
+    amount = F.when(kind == 0, F.col("amount") * 1e12).when(kind == 1, F.col("amount") / 1e5).otherwise(F.col("amount"))
+    rows = _batch(_tx(spark, sf_dir).withColumn("amount", amount))
+    share = F.round(F.col("avg_amount_30d") / F.col("max_amount_30d"), 9).alias("mean_share")
+    return rows.select("card_id", "trans_count_30d", "max_amount_30d", share)
+
+
 @query
 def a1_windowed(spark, sf_dir):
     """A1 with true 7 and 30 day windows."""
@@ -374,6 +438,22 @@ def w4_day_divided(spark, sf_dir):
     return rolling.rolling_features(_tx(spark, sf_dir), hot_rows=0)
 
 
+@query
+def w6_equal_times(spark, sf_dir):
+    """W1, W4, W6 where many events of a card have one time: those that arrived before count."""
+    rows = _tx(spark, sf_dir).withColumn("event_time", F.date_trunc("day", "event_time"))
+    vectors = rolling.rolling_features(rows)
+    return vectors.select("transaction_id", "trans_count_1h", "total_amount_1h", "avg_amount_24h", "max_amount_24h")
+
+
+@query
+def w7_rounded(spark, sf_dir):
+    """The online vector's two decimal places."""
+    return rolling.rolling_features(_tx(spark, sf_dir), rounded=True).select(
+        "transaction_id", "total_amount_1h", "max_amount_24h", "c2_count_sum_1h"
+    )
+
+
 @query
 def w8_latest(spark, sf_dir):
     """Latest vector per card."""
@@ -490,6 +570,24 @@ def m12_confusion(spark, sf_dir):
     return evaluation.confusion(_scored(spark, sf_dir), 0.37)
 
 
+def _gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of which some are missing and some are no numbers."""
+    kind = F.pmod(F.floor(F.col("score") * 1000), F.lit(20))
+    gap = F.when(kind == 3, F.lit(None).cast("double")).when(kind == 4, F.lit(float("nan"))).otherwise(F.col("score"))
+    return _scored(spark, sf_dir).withColumn("score", gap)
+
+
+@query
+def m12_missing_scores(spark, sf_dir):
+    """Missing scores count as the lowest in the confusion, the sweep and the areas."""
+    rows = _gappy(spark, sf_dir)
+    swept = evaluation.threshold_curve(rows).where("threshold_index = 36").select(
+        "model", F.col("tp").alias("sweep_tp"), F.col("fp").alias("sweep_fp"), (F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")).alias("sweep_rows")
+    )
+    areas = evaluation.areas(rows).select("model", "roc_auc")
+    return evaluation.confusion(rows, 0.37).join(swept, "model").join(areas, "model")
+
+
 @query
 def m13_points(spark, sf_dir):
     """Points of the ROC and precision-recall curves."""
@@ -520,25 +618,73 @@ def m16_comparison(spark, sf_dir):
 # Learning
 
 
-def _trained(spark: SparkSession, sf_dir: str, trees: int = 20):
+def _trained(spark: SparkSession, sf_dir: str):
     rows = _tx(spark, sf_dir)
     path = _scratch(spark, "training")
     training.training_set(rows, _batch(rows)).write.parquet(path)
     dataset = spark.read.parquet(path)
-    return dataset, *training.train_ensemble(dataset, trees=trees)
+    return dataset, *training.train_ensemble(dataset)
 
 
 @query
 def m2_train_report(spark, sf_dir):
-    """Both learners, the blend and the evaluation report (20 trees each)."""
-    return _trained(spark, sf_dir)[2].drop("timestamp")
+    """Both learners, the blend and the evaluation report, stored and read back.
+
+    Figures that do not depend on the learners: sizes, features, and that every confusion matrix
+    holds the whole validation set.
+    """
+    path = _scratch(spark, "report")
+    sinks.write_report(_trained(spark, sf_dir)[2], path)
+    report = spark.read.json(path)
+    whole = F.lit(True)
+    for model in ("boosted", "forest", "ensemble_default_05", "ensemble_optimal"):
+        cells = F.flatten(f"metrics.{model}.confusion_matrix")
+        whole = whole & (F.aggregate(cells, F.lit(0).cast("bigint"), lambda a, b: a + b) == F.col("val_size"))
+    return report.select(
+        "dataset_size", "train_size", "val_size", "feature_count", F.array_join("feature_names", ",").alias("features"), whole.alias("whole")
+    )
+
+
+def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests as they come, with amounts that are no amounts and missing cards."""
+    return _dirty(spark, sf_dir).select("transaction_id", "card_id", F.col("amount").alias("current_amount"))
+
+
+@query
+def m5_rejected(spark, sf_dir):
+    """M5: requests that are not scored, and why."""
+    errors = _asked(spark, sf_dir).withColumn("errors", training.request_errors())
+    return errors.where(F.size("errors") > 0).withColumn("errors", F.array_join("errors", ","))
 
 
 @query
 def m5_score(spark, sf_dir):
-    """M2-M5: a trained ensemble scores every request."""
-    _, ensemble, _ = _trained(spark, sf_dir)
-    return training.score_requests(_requests(spark, sf_dir), _batch(_tx(spark, sf_dir)), ensemble)
+    """M3-M5: look-up, derivation, blend and decision for every valid request, with member scores
+    made from the transaction's id."""
+    valid = _asked(spark, sf_dir).where(F.size(training.request_errors()) == 0)
+    inputs = training.request_features(valid, _batch(_tx(spark, sf_dir)))
+    event_id = F.col("transaction_id") - 1
+    members = inputs.withColumns(
+        {
+            "boosted_score": F.pmod(event_id * 7919, F.lit(1000)) / 1000.0,
+            "forest_score": F.pmod(event_id * 104729, F.lit(997)) / 997.0,
+        }
+    )
+    blend = training.blended(members, {"boosted_score": 0.5, "forest_score": 0.5})
+    scored = blend.withColumn("prediction", evaluation.labelled(F.col("fraud_score"), 0.37))
+    answers = training.decisions(scored, ["transaction_id", "card_id", "current_amount"], 0.37)
+    used = F.col("features_used")
+    names = ("trans_count_7d", "max_amount_30d", "is_amount_gt_30d_max")
+    return answers.select(
+        "transaction_id", "card_id", "current_amount", "is_fraud", "decision", "decision_threshold", *[used[n].alias(n) for n in names]
+    )
+
+
+@query
+def m6_permuted(spark, sf_dir):
+    """M6: the sample and its copies with one feature permuted, as they are scored."""
+    rows = _tx(spark, sf_dir).withColumn("ratio", F.col("amount") * 2.0)
+    return training.permuted_inputs(rows, ["amount", "c2", "ratio"], "transaction_id", 500)
 
 
 @query
@@ -574,6 +720,21 @@ def t2_stream(spark, sf_dir):
     return vectors.select("transaction_id", "card_id", "trans_count_1m", "trans_count_5m", "trans_count_1h")
 
 
+@query
+def t2_stream_batches(spark, sf_dir):
+    """All nine features of every event from a stream of six micro-batches."""
+    path = _scratch(spark, "messages")
+    rows = _tx(spark, sf_dir)
+    timestamp = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("timestamp")
+    messages = source.to_messages(rows.select("transaction_id", "card_id", "amount", "c2", "product_cd", timestamp))
+    messages = messages.withColumn("part", F.floor((F.dayofmonth(rows["event_time"]) - 1) / 5).cast("int"))
+    for part in range(7):
+        messages.where(F.col("part") == part).select("value").coalesce(1).write.mode("append").text(path)
+    stores = stream_features.StreamTables(_scratch(spark, "stream"))
+    stream_features.start_features(source.file_events(spark, path, 1), stores).awaitTermination()
+    return stores.vectors.read(spark)
+
+
 @query
 def t3_stream_quarantine(spark, sf_dir):
     """Events the streaming job quarantines."""
@@ -617,10 +778,10 @@ def o2_retrain(spark, sf_dir):
 
 @query
 def o3_flow(spark, sf_dir):
-    """O3: batch, gate, stream, materialize, audit, drift and training in one run (5 trees)."""
+    """O3: batch, gate, stream, materialize, audit, drift and training in one run."""
     stores = flow.FlowTables(_scratch(spark, "flow"))
     report = flow.run_flow(
-        _dirty(spark, sf_dir), _messages(spark, sf_dir, dirty=True), stores, RUN_TIME, audit_card="8", trees=5
+        _dirty(spark, sf_dir), _messages(spark, sf_dir, dirty=True), stores, RUN_TIME, audit_card="8"
     )
     outcome = {
         **report["step4_verification_audit"],

@@ -75,6 +75,11 @@ class BatchParts:
             df = df.hint("rebalance", *partition_by)
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.path}/{self.part}={number}")
 
+    def delete(self, spark: SparkSession, numbers: list[int]) -> None:
+        for n in numbers:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{self.part}={n}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def numbers(self, spark: SparkSession, after: int = -1, before: int | None = None) -> list[int]:
         return [
             n for n in committed(spark, self.path, self.part) if n > after and (before is None or n < before)
@@ -107,6 +112,10 @@ class OnlineTable:
     def upsert(self, updates: DataFrame, batch_id: int) -> None:
         self.delta.write(latest_per_key(updates, self.key, *self.order), batch_id)
 
+    def next_number(self, spark: SparkSession) -> int:
+        """The number after the last one stored."""
+        return max([-1, *self.base.numbers(spark)[-1:], *self.delta.numbers(spark)[-1:]]) + 1
+
     def _rows(self, spark: SparkSession, before: int | None) -> DataFrame:
         versions = self.base.numbers(spark, before=before)
         if not versions:
@@ -123,8 +132,16 @@ class OnlineTable:
         return self._rows(spark, before).groupBy(self.key).agg(F.max(self.order[0]).alias("newest"))
 
     def compact(self, spark: SparkSession, batch_id: int) -> None:
-        """Merge everything up to and including ``batch_id`` into a new base version."""
+        """Merge everything up to and including ``batch_id`` into a new base version.
+
+        What the version before the new one already held is deleted, so the table keeps two
+        versions and the deltas since the older one; a reader of the older version is not cut off.
+        """
+        older = self.base.numbers(spark, before=batch_id)
         self.base.write(self.read(spark, before=batch_id + 1), batch_id)
+        if older:
+            self.base.delete(spark, self.base.numbers(spark, before=older[-1]))
+            self.delta.delete(spark, self.delta.numbers(spark, before=older[-1] + 1))
 
     def compact_if_due(self, spark: SparkSession, batch_id: int) -> None:
         versions = self.base.numbers(spark)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import re
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,22 +81,24 @@ def replay_order(raw: DataFrame) -> DataFrame:
     return raw.orderBy("TransactionDT", "TransactionID")
 
 
-def _day() -> Column:
-    return F.concat_ws("-", F.col("year"), F.lpad("month", 2, "0"), F.lpad("day", 2, "0"))
-
+def partition_days(spark: SparkSession, path: str) -> list[tuple[int, int, int]]:
+    """Days of a ``year=/month=/day=`` table, oldest first, from its folder names alone."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/year=*/month=*/day=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return sorted(tuple(int(x) for x in re.findall(r"(?:year|month|day)=(\d+)", str(s.getPath()))[-3:]) for s in found)
 
-def latest_partition(lake: DataFrame) -> DataFrame:
-    """Rows of the newest ``year/month/day`` partition only.
 
-    The newest day is a scalar subquery over the partition columns; the scan is pruned to it.
-    """
-    return lake.where(_day() == lake.agg(F.max(_day())).scalar())
+def partition_of(lake: DataFrame, day: tuple[int, int, int]) -> DataFrame:
+    """Rows of one day; literals on the partition columns, so only its files are listed."""
+    year, month, number = day
+    of_day = (F.col("year").cast("int") == year) & (F.col("month").cast("int") == month) & (F.col("day").cast("int") == number)
+    return lake.where(of_day)
 
 
-def previous_partition(lake: DataFrame) -> DataFrame:
-    """Rows of the partition before the newest; empty when there is only one."""
-    newest = lake.agg(F.max(_day())).scalar()
-    return lake.where(_day() == lake.where(_day() < newest).agg(F.max(_day())).scalar())
+def latest_partition(spark: SparkSession, path: str, back: int = 0) -> DataFrame:
+    """Rows of the newest day, or of the one ``back`` days of data before; empty if none."""
+    days, lake = partition_days(spark, path), spark.read.parquet(path)
+    return partition_of(lake, days[-1 - back]) if len(days) > back else lake.where(F.lit(False))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardmill.functions.columns import parse_event_time
-from cardmill.operators.quality import EVENT_CHECKS, REASONS, failed_checks
+from cardmill.operators.quality import REASONS, ROLLING_CHECKS, failed_checks
 
 # Fixed format of an event in the topic.
 EVENT_SCHEMA = T.StructType(
@@ -66,7 +66,7 @@ def parsed_events(raw: DataFrame) -> DataFrame:
     events = raw.select(F.from_json("value", schema, options).alias("e")).select("e.*")
     events = events.withColumn("event_time", parse_event_time(F.col("timestamp")))
     malformed = F.col(CORRUPT).isNotNull()
-    reasons = failed_checks(EVENT_CHECKS, (F.col("event_time").isNull(), BAD_TIME))
+    reasons = failed_checks(ROLLING_CHECKS, (F.col("event_time").isNull(), BAD_TIME))
     return events.withColumn(REASONS, F.when(malformed, F.array(F.lit(MALFORMED))).otherwise(reasons))
 
 

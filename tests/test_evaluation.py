@@ -119,7 +119,8 @@ def test_confusion_and_report(spark):
 
 
 def test_curve_points_are_monotone(spark):
-    points = E.curve_points(spark.createDataFrame(mixed_rows(3), SCHEMA)).orderBy(F.desc("threshold")).collect()
+    points = E.curve_points(spark.createDataFrame(mixed_rows(3), SCHEMA)).orderBy(F.desc_nulls_first("threshold")).collect()
+    assert (points[0].fpr, points[0].tpr, points[0].precision, points[0].recall) == (0.0, 0.0, 1.0, 0.0)
     assert all(x.tpr <= y.tpr and x.fpr <= y.fpr for x, y in zip(points, points[1:]))
     assert points[-1].tpr == points[-1].fpr == 1.0
 
