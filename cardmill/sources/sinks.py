@@ -66,14 +66,43 @@ class BatchParts:
     completed folders, so each batch counts once.
     """
 
-    def __init__(self, path: str, schema: T.StructType, part: str = "batch_id"):
-        self.path, self.schema, self.part = path, schema, part
+    def __init__(self, path: str, schema: T.StructType, part: str = "batch_id", day: str | None = None):
+        self.path, self.schema, self.part, self.day = path, schema, part, day
 
     def write(self, df: DataFrame, number: int, partition_by: tuple[str, ...] = ()) -> None:
+        """Write a batch. A table with a ``day`` column also notes, in one folder per day, the
+        batches that have rows of it."""
         if partition_by:
             # Adaptive execution sizes the files and splits a large partition value.
-            df = df.hint("rebalance", *partition_by)
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.path}/{self.part}={number}")
+            rows = df.hint("rebalance", *partition_by)
+        else:
+            rows = df
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.path}/{self.part}={number}")
+        if self.day:
+            fs, spark = None, df.sparkSession
+            for row in df.select(F.col(self.day).cast("string")).distinct().toLocalIterator():
+                path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_days/{row[0]}/{number}")
+                fs = fs or path.getFileSystem(spark._jsc.hadoopConfiguration())
+                fs.create(path, True).close()
+
+    def _names(self, spark: SparkSession, folder: str) -> list[str]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_days/{folder}*")
+        found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+        return [status.getPath().getName() for status in found]
+
+    def days(self, spark: SparkSession) -> list[str]:
+        """Days that any batch has rows of."""
+        return sorted(self._names(spark, ""))
+
+    def read_days(self, spark: SparkSession, days: list[str], before: int) -> DataFrame:
+        """Rows of some days in earlier batches; lists and opens no folder of any other day."""
+        paths = [
+            f"{self.path}/{self.part}={number}/{self.day}={day}"
+            for day in days
+            for number in sorted(int(n) for n in self._names(spark, f"{day}/"))
+            if number < before
+        ]
+        return self._load(spark, paths)
 
     def delete(self, spark: SparkSession, numbers: list[int]) -> None:
         for n in numbers:
@@ -86,12 +115,13 @@ class BatchParts:
         ]
 
     def read(self, spark: SparkSession, after: int = -1, before: int | None = None) -> DataFrame:
-        numbers = self.numbers(spark, after, before)
-        if not numbers:
+        return self._load(spark, [f"{self.path}/{self.part}={n}" for n in self.numbers(spark, after, before)])
+
+    def _load(self, spark: SparkSession, paths: list[str]) -> DataFrame:
+        if not paths:
             # A constant-false filter, unlike an empty frame, is removed from the plan.
             nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields]
             return spark.range(1).where(F.lit(False)).select(*nulls)
-        paths = [f"{self.path}/{self.part}={n}" for n in numbers]
         read = spark.read.schema(self.schema).option("basePath", self.path)
         return read.parquet(*paths).select(self.schema.fieldNames())
 

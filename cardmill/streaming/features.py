@@ -16,7 +16,7 @@ from __future__ import annotations
 import logging
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -26,10 +26,11 @@ from cardmill.operators.retrieval import CARD_STREAM
 from cardmill.operators.rolling import rolling_features
 from cardmill.operators.skew import HOT_ROWS, join_per_key
 from cardmill.sources.sinks import BatchParts, OnlineTable
-from cardmill.streaming.source import CORRUPT, EVENT_SCHEMA, LATE, parsed_events, quarantine_messages
+from cardmill.streaming.source import ARRIVAL, ARRIVAL_TYPES, CORRUPT, EVENT_SCHEMA, LATE, parsed_events, quarantine_messages
 
 LATENESS = "5 seconds"
-MAX_PRUNED_DAYS = 500
+# Arrivals per block when the newest time before each event is looked for.
+ARRIVAL_BITS = 13
 
 ARCHIVE_SCHEMA = T.StructType(
     [
@@ -41,7 +42,9 @@ ARCHIVE_SCHEMA = T.StructType(
         T.StructField("product_cd", T.StringType()),
         T.StructField("p_emaildomain", T.StringType()),
         T.StructField("event_timestamp", T.TimestampType()),
+        T.StructField("counted_at", T.TimestampType()),
         T.StructField("late", T.BooleanType()),
+        *[T.StructField(name, T.StringType() if kind == "string" else T.LongType()) for name, kind in zip(ARRIVAL, ARRIVAL_TYPES)],
         T.StructField("event_date", T.DateType()),
         T.StructField("batch_id", T.LongType()),
     ]
@@ -73,7 +76,7 @@ class StreamTables:
     def __init__(self, root: str):
         self.root = root.rstrip("/")
         self.checkpoint = f"{self.root}/checkpoint"
-        self.archive = BatchParts(f"{self.root}/archive", ARCHIVE_SCHEMA)
+        self.archive = BatchParts(f"{self.root}/archive", ARCHIVE_SCHEMA, day="event_date")
         self.quarantine = BatchParts(f"{self.root}/quarantine", QUARANTINE_SCHEMA)
         self.vectors = BatchParts(f"{self.root}/vectors", VECTOR_SCHEMA)
         self.online = OnlineTable(
@@ -101,10 +104,14 @@ class FeatureBatch:
         # A stream's own session starts with adaptive execution off. The work below is plain
         # batch work on finished data and needs it to split skewed joins.
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-        parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+        # Events without a number are numbered as they lie in the batch.
+        number = F.coalesce("arrived_no", F.monotonically_increasing_id())
+        parsed = parsed.withColumn("arrived_no", number).persist(StorageLevel.MEMORY_AND_DISK)
         placed = self._placed(parsed, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
         valid = placed.where(F.size(REASONS) == 0)
         try:
+            placed.count()
+            parsed.unpersist()
             self._archive(valid, batch_id)
             self._quarantine(placed, batch_id)
             on_time = valid.where(~F.col("late"))
@@ -115,17 +122,32 @@ class FeatureBatch:
                 tables.online.compact_if_due(spark, batch_id)
         finally:
             placed.unpersist()
-            parsed.unpersist()
 
     def _placed(self, parsed: DataFrame, batch_id: int) -> DataFrame:
         """Every event, with ``late`` set on valid ones behind the newest of their card.
 
-        The newest times are those before this batch; within a batch event time is the order.
+        The newest is that of all events that arrived before, in earlier batches or in this one,
+        so it does not depend on how the arrivals are cut into batches. An event up to five
+        seconds behind is taken and counts at the newest time (``counted_at``), as if it had
+        happened then: what was seen before it is then the same however batches are cut.
+
+        The newest time before an event comes from the stored one, from a roll-up of the blocks
+        of arrivals before its own and from its block; no task sees all arrivals of a card.
         """
         newest = self.tables.online.newest(parsed.sparkSession, before=batch_id)
-        behind = F.col("event_time") < F.col("newest") - F.expr(f"INTERVAL {LATENESS}")
-        late = (F.size(REASONS) == 0) & F.coalesce(behind, F.lit(False))
-        return join_per_key(parsed, newest, "card_id").withColumn("late", late).drop("newest")
+        valid = F.size(REASONS) == 0
+        block = ["card_id", "arrived_at", "arrived_in", "arrival_block"]
+        rows = join_per_key(parsed, newest, "card_id").withColumn("arrival_block", F.shiftright("arrived_no", ARRIVAL_BITS))
+        rows = rows.withColumn("valid_time", F.when(valid, F.col("event_time")))
+        per_block = rows.where(valid).groupBy(*block).agg(F.max("valid_time").alias("block_newest"))
+        earlier = Window.partitionBy("card_id").orderBy(*block[1:]).rowsBetween(Window.unboundedPreceding, -1)
+        before = per_block.withColumn("blocks_newest", F.max("block_newest").over(earlier)).drop("block_newest")
+        own = Window.partitionBy(*block).orderBy("arrived_no").rowsBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumn("own_newest", F.max("valid_time").over(own)).join(before, block, "left")
+        rows = rows.withColumn("seen", F.greatest("newest", "blocks_newest", "own_newest"))
+        late = valid & F.coalesce(F.col("event_time") < F.col("seen") - F.expr(f"INTERVAL {LATENESS}"), F.lit(False))
+        placed = rows.withColumns({"late": late, "counted_at": F.greatest("event_time", "seen")})
+        return placed.drop("newest", "arrival_block", "valid_time", "blocks_newest", "own_newest", "seen")
 
     def _archive(self, valid: DataFrame, batch_id: int) -> None:
         """Every valid event, appended by day."""
@@ -138,8 +160,10 @@ class FeatureBatch:
             F.coalesce("product_cd", F.lit("")).alias("product_cd"),
             F.coalesce("p_emaildomain", F.lit("")).alias("p_emaildomain"),
             F.col("event_time").alias("event_timestamp"),
+            "counted_at",
             "late",
-            F.to_date("event_time").alias("event_date"),
+            *ARRIVAL,
+            F.to_date("counted_at").alias("event_date"),
         )
         self.tables.archive.write(rows, batch_id, ("event_date",))
 
@@ -149,7 +173,7 @@ class FeatureBatch:
         rows = (
             placed.withColumn(REASONS, reasons)
             .where(F.size(REASONS) > 0)
-            .drop("late")
+            .drop("late", "counted_at", *ARRIVAL)
             .withColumn("quarantine_timestamp", F.current_timestamp())
         )
         if self.quarantine_topic:
@@ -164,19 +188,18 @@ class FeatureBatch:
 
     def _history(self, on_time: DataFrame, batch_id: int) -> DataFrame:
         """Archived events of the batch's days and the days before them."""
-        day = F.to_date("event_time")
-        days = on_time.select(F.explode(F.array(day, F.date_sub(day, 1))).alias("event_date")).distinct()
-        archived = self.tables.archive.read(on_time.sparkSession, before=batch_id).where(~F.col("late"))
-        needed = [row.event_date for row in days.take(MAX_PRUNED_DAYS + 1)]
-        if len(needed) <= MAX_PRUNED_DAYS:
-            return archived.where(F.col("event_date").isin(needed))
-        # Stray times on very many days: no list of partitions, but the same rows.
-        return archived.join(days, "event_date", "left_semi")
+        spark, archive = on_time.sparkSession, self.tables.archive
+        day = F.to_date("counted_at")
+        days = on_time.select(F.explode(F.array(day.cast("string"), F.date_sub(day, 1).cast("string"))).alias("day"))
+        stored = archive.days(spark)  # one name per day of the archive
+        needed = [r.day for r in days.where(F.col("day").isin(stored)).distinct().collect()] if stored else []
+        return archive.read_days(spark, sorted(needed), batch_id).where(~F.col("late"))
 
     def _vectors(self, on_time: DataFrame, batch_id: int) -> DataFrame:
         """Vectors of the batch's events over the archive and the batch."""
-        columns = ["transaction_id", "card_id", "amount", "c2", "event_time", "batch_id"]
-        history = self._history(on_time, batch_id).withColumnRenamed("event_timestamp", "event_time").select(columns)
+        counted = F.col("counted_at").alias("event_time")
+        columns = ["transaction_id", "card_id", "amount", "c2", counted, "batch_id", *ARRIVAL]
+        history = self._history(on_time, batch_id).select(columns)
         history = join_per_key(history, on_time.select("card_id").distinct(), "card_id", "left_semi")
         new = on_time.withColumn("batch_id", F.lit(batch_id).cast("bigint")).select(columns)
         vectors = rolling_features(
@@ -184,7 +207,7 @@ class FeatureBatch:
             self.hot_rows,
             carry=("batch_id",),
             rounded=self.rounded,
-            arrival=("batch_id", "transaction_id"),
+            arrival=("batch_id", *ARRIVAL),
         )
         return vectors.where(F.col("batch_id") == batch_id).drop("batch_id")
 
@@ -225,12 +248,17 @@ def start_features(
     available_now: bool = True,
     interval: str = "1 minute",
     quarantine_topic: dict[str, str] | None = None,
+    log_progress: bool = True,
 ) -> StreamingQuery:
     """Start the job on a stream of JSON ``value`` rows.
 
-    ``available_now`` consumes what is there and ends (S5); otherwise a batch starts every
+    Counts and rate of every batch go to the log (T7), once per session. ``available_now`` consumes what is there and ends (S5); otherwise a batch starts every
     ``interval``. Offsets are kept in the checkpoint (T6).
     """
+    spark = raw.sparkSession
+    if log_progress and not getattr(spark, "_cardmill_progress", None):
+        spark._cardmill_progress = ProgressLog()
+        spark.streams.addListener(spark._cardmill_progress)
     ok = F.size(REASONS) == 0
     counted = parsed_events(raw).observe(
         "events", F.count_if(ok).alias("valid_rows"), F.count_if(~ok).alias("corrupt_rows")

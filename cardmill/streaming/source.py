@@ -27,6 +27,10 @@ EVENT_SCHEMA = T.StructType(
         T.StructField("c2", T.DoubleType()),
     ]
 )
+# Place of an event in the order of arrival: the time and name of its file (none in a topic) and
+# its number there. A topic is keyed by card, so offsets order the events of a card.
+ARRIVAL = ["arrived_at", "arrived_in", "arrived_no"]
+ARRIVAL_TYPES = ["bigint", "string", "bigint"]
 CORRUPT = "corrupt_record"
 MALFORMED = "malformed_json"
 BAD_TIME = "bad_timestamp"
@@ -41,13 +45,18 @@ def kafka_events(spark: SparkSession, servers: str, topic: str) -> DataFrame:
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
         .load()
-        .select(F.col("value").cast("string").alias("value"))
+        .select(F.col("value").cast("string").alias("value"), F.col("offset").alias("arrived_no"))
     )
 
 
 def file_events(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """A folder of JSON-lines files as the topic."""
-    return spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch).load(path)
+    lines = spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch).load(path)
+    return lines.select(
+        "value",
+        F.unix_micros("_metadata.file_modification_time").alias("arrived_at"),
+        F.col("_metadata.file_path").alias("arrived_in"),
+    )
 
 
 def to_messages(events: DataFrame) -> DataFrame:
@@ -59,11 +68,17 @@ def parsed_events(raw: DataFrame) -> DataFrame:
     """Typed events with their event time and the reasons a row must be quarantined.
 
     A line that is no JSON object and a time that cannot be read are reasons like any failed
-    check; nothing is replaced by the current time.
+    check; nothing is replaced by the current time. The arrival columns of the source are kept.
+    Rows without a number there are numbered when their batch is worked on.
     """
     schema = T.StructType([*EVENT_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    events = raw.select(F.from_json("value", schema, options).alias("e")).select("e.*")
+    place = {"arrived_at": F.lit(0), "arrived_in": F.lit(""), "arrived_no": F.lit(None)}
+    places = [
+        (F.col(name) if name in raw.columns else place[name]).cast(kind).alias(name)
+        for name, kind in zip(ARRIVAL, ARRIVAL_TYPES)
+    ]
+    events = raw.select(F.from_json("value", schema, options).alias("e"), *places).select("e.*", *ARRIVAL)
     events = events.withColumn("event_time", parse_event_time(F.col("timestamp")))
     malformed = F.col(CORRUPT).isNotNull()
     reasons = failed_checks(ROLLING_CHECKS, (F.col("event_time").isNull(), BAD_TIME))

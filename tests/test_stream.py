@@ -116,8 +116,40 @@ def test_restart_continues_with_history(spark, tmp_path):
     assert (latest.transaction_id, latest.trans_count_1m, latest.avg_amount_24h) == (2, 2, 20.0)
 
 
-def test_many_days_need_no_partition_list(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("cardmill.streaming.features.MAX_PRUNED_DAYS", 1)
+def test_the_cut_into_batches_changes_nothing(spark, tmp_path, cut=4):
+    chance = random.Random(8)
+    events, clock = [], 0.0
+    for i in range(120):
+        clock += chance.choice([0, 0, 1, 30])
+        behind = chance.choice([0, 0, 0, 2, 5, 6, 600])
+        events.append(event(i + 1, chance.choice("ab"), float(chance.randint(1, 99)), clock - behind))
+    results = []
+    for parts in (1, cut):
+        size = -(-len(events) // parts)
+        for number in range(parts):
+            write(tmp_path / f"in{parts}", number, events[number * size : (number + 1) * size])
+        tables = run(spark, tmp_path / f"in{parts}", tmp_path / f"out{parts}", files_per_batch=1)
+        vectors = tables.vectors.read(spark).drop("batch_id")
+        late = tables.quarantine.read(spark).select("transaction_id", REASONS)
+        results.append((sorted(map(str, vectors.collect())), sorted(map(str, late.collect()))))
+    assert results[0][1] and results[0] == results[1]
+
+
+def test_only_needed_days_are_listed(spark, tmp_path):
+    tables = StreamTables(str(tmp_path / "out"))
+    archive = tables.archive
+    row = {"transaction_id": 1, "card_id": "a", "amount": 1.0, "late": False}
+    for number in range(4):
+        day = T0.date() + dt.timedelta(days=number)
+        df = spark.createDataFrame([{**row, "event_date": day}], "transaction_id bigint, card_id string, amount double, late boolean, event_date date")
+        archive.write(df, number, ("event_date",))
+    wanted = [str(T0.date() + dt.timedelta(days=n)) for n in (2, 3)]
+    assert archive.days(spark)[2:] == wanted
+    files = archive.read_days(spark, wanted, before=3).inputFiles()
+    assert len(files) == 1 and wanted[0] in files[0]
+
+
+def test_stray_days(spark, tmp_path):
     write(tmp_path / "in", 1, [event(1, "a", 10.0, 0)])
     run(spark, tmp_path / "in", tmp_path / "out")
     write(tmp_path / "in", 2, [event(2, "a", 30.0, 86_400), event(3, "a", 50.0, 200_000)])
@@ -134,7 +166,7 @@ def test_late_events_are_quarantined_and_do_not_count(spark, tmp_path):
     late = tables.quarantine.read(spark).collect()
     assert [(r.transaction_id, r[REASONS]) for r in late] == [(3, ["late_event"])]
     vectors = {r.transaction_id: r.trans_count_1m for r in tables.vectors.read(spark).collect()}
-    assert vectors == {1: 1, 2: 1, 4: 1, 5: 3, 6: 2}
+    assert vectors == {1: 1, 2: 1, 4: 2, 5: 3, 6: 2}
     assert tables.archive.read(spark).where("late").count() == 1
 
 
@@ -187,6 +219,11 @@ def test_online_table_compacts(spark, tmp_path):
     assert table.base.numbers(spark) == [1]
     assert {r.card_id: r.transaction_id for r in table.read(spark).collect()} == {"a": 5, "b": 2, "c": 4}
     assert {r.card_id: r.transaction_id for r in table.read(spark, before=2).collect()} == {"a": 3, "b": 2}
+    for batch_id in (3, 4, 5):
+        table.upsert(rows((10 + batch_id, "d")), batch_id)
+        table.compact_if_due(spark, batch_id)
+    assert table.base.numbers(spark) == [3, 5] and min(table.delta.numbers(spark)) == 4 and table.next_number(spark) == 6
+    assert {r.card_id: r.transaction_id for r in table.read(spark).collect()} == {"a": 5, "b": 2, "c": 4, "d": 15}
 
 
 def test_messages_round_trip(spark):
