@@ -20,14 +20,14 @@ MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 _SPACE, _SYMBOL, _UPPER, _LETTER, _DIGIT, _MARK = 1, 2, 4, 8, 16, 32
 #: Edges of the buckets of each line feature.
 EDGES = {
-    "words": (1, 3, 6, 11, 21, 51),
+    "words": (1, 3, 11),
     "word_length": (2.0, 3.5, 5.0, 7.0, 10.0),
     "upper": (1e-9, 0.1, 0.3, 0.6),
     "symbols": (1e-9, 0.02, 0.05, 0.1),
     "digits": (1e-9, 0.05, 0.2, 0.5),
     "marks": (1e-9, 0.03, 0.06, 0.12),
     "repeated": (0.5,),
-    "line_share": (0.02, 0.1, 0.5),
+    "distinct_words": (0.3, 0.5, 0.7, 0.85),
 }
 BASES = np.cumsum([0, *[len(e) + 1 for e in EDGES.values()]])
 N_FEATURES = int(BASES[-1])
@@ -95,9 +95,10 @@ def line_facts(text: str) -> tuple[np.ndarray, np.ndarray, dict[str, int]]:
     symbols, marks = per_line((kinds & _SYMBOL) > 0), per_line((kinds & _MARK) > 0)
     lines = text.split("\n")
     seen: set[str] = set()
-    repeated = np.zeros(n_lines)
+    repeated, distinct = np.zeros(n_lines), np.ones(n_lines)
     for i, line in enumerate(lines):
         if words[i]:
+            distinct[i] = len(set(line.split())) / words[i]
             if line in seen:
                 repeated[i] = 1
             seen.add(line)
@@ -110,7 +111,7 @@ def line_facts(text: str) -> tuple[np.ndarray, np.ndarray, dict[str, int]]:
         digits / some,
         marks / some,
         repeated,
-        chars / max(1.0, chars.sum()),
+        distinct,
     ]
     features = np.stack([np.searchsorted(e, v, "right") + b for e, v, b in zip(EDGES.values(), values, BASES)], axis=1)
     counts = {
@@ -163,8 +164,6 @@ def fit(samples: list[tuple[np.ndarray, int]], rounds: int = 120, penalty: float
     for i, (f, _) in enumerate(parts):
         x[i, : len(f)], live[i, : len(f)] = f, True
     y = np.array([label for _, label in parts])
-    share = np.array([(y == k).mean() for k in (0, 1)])
-    weight = (0.5 / np.maximum(share, 1e-9))[y]  # both labels count alike
     flat = x[live]
     speed = [np.zeros_like(emit), np.zeros_like(move)]
     scale = [np.zeros_like(emit), np.zeros_like(move)]
@@ -182,16 +181,16 @@ def fit(samples: list[tuple[np.ndarray, int]], rounds: int = 120, penalty: float
         total = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
         chance = np.exp(alpha + beta - total[:, None, None])
         truth = np.eye(2)[y][:, None, :]
-        error = ((truth - chance) * weight[:, None, None])[live]
+        error = (truth - chance)[live]
         grad_emit = np.zeros_like(emit)
         for column in range(len(EDGES)):
             np.add.at(grad_emit, flat[:, column], error)
         both = live[:, 1:]
         pair = alpha[:, :-1, :, None] + move + (scores + beta)[:, 1:, None, :] - total[:, None, None, None]
-        expected = (np.exp(np.where(both[..., None, None], pair, -np.inf)) * weight[:, None, None, None]).sum(axis=(0, 1))
+        expected = np.exp(np.where(both[..., None, None], pair, -np.inf)).sum(axis=(0, 1))
         found = np.zeros((2, 2))
         for k in (0, 1):
-            found[k, k] = (both.sum(axis=1) * weight)[y == k].sum()
+            found[k, k] = both.sum(axis=1)[y == k].sum()
         for own, grad, s, q in zip((emit, move), (grad_emit, found - expected), speed, scale):
             grad = grad - penalty * own
             s += 0.1 * (grad - s)
