@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from cardmill.llm.common import attach, components, hash_share, numbered, text_of, written
 
-#: Rows the upper tree is fitted on; every fingerprint is then indexed.
-TREE_SAMPLE = 16_384
+#: Most rows that the upper tree is fitted on (else 64 for each shard); all are then indexed.
+TREE_SAMPLE = 1 << 20
 #: Fingerprints a shard should have, and those a leaf compares directly.
 SHARD_ROWS, LEAF_ROWS = 4096, 256
 
@@ -152,7 +152,7 @@ def near_links(prints: DataFrame, n: int, radius: int) -> DataFrame:
     somewhere. A shard returns one link per point to its group there, not all pairs.
     """
     depth = max(0, math.ceil(math.log2(max(1, n) / SHARD_ROWS)))
-    sampled = prints.where(F.xxhash64("fp") <= F.lit(hash_share(n, TREE_SAMPLE)))
+    sampled = prints.where(F.xxhash64("fp") <= F.lit(hash_share(n, min(TREE_SAMPLE, 64 << depth))))
     sample = sampled.collect() if depth else []
     points = np.sort(np.array([r[0] for r in sample], np.int64)).view(np.uint64)
     tree = upper_tree(points, depth, radius)
