@@ -151,7 +151,9 @@ def normal_line(line):
 
 
 def line_fingerprint(line):
-    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in line.split(" ")]
+    words = line.split(" ")
+    words = [w for w in words if len(w) > 3] or words
+    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
