@@ -230,12 +230,12 @@ ORACLE: dict[str, str] = {
       SELECT * EXCLUDE (event_timestamp), 2024 AS year, 2 AS month, 1 AS day FROM b""",
     "s11_batch_quarantine": f"""WITH {DIRTY}, b AS ({batch('dirty')})
       SELECT card_id, trans_count_30d,
-        CAST((LENGTH(TRIM(card_id)) = 0) AS INTEGER) + CAST((card_id = 'unknown_card') AS INTEGER)
-        + CAST((avg_amount_30d <= 0) AS INTEGER) + CAST((max_amount_30d <= 0) AS INTEGER) AS failed_checks
+        concat_ws(',', CASE WHEN LENGTH(TRIM(card_id)) = 0 THEN 'card_id:non_empty_card_id' END,
+          CASE WHEN card_id = 'unknown_card' THEN 'card_id:valid_card_id' END,
+          CASE WHEN avg_amount_30d <= 0 THEN 'avg_amount_30d:positive' END,
+          CASE WHEN max_amount_30d <= 0 THEN 'max_amount_30d:positive' END) AS reasons
       FROM b WHERE {BAD_BATCH}""",
-    "s13_online_upsert": f"{_W} {latest('w', 'card_id', 'last_updated DESC')}".replace(
-        "SELECT * FROM w QUALIFY", "SELECT * EXCLUDE (stddev_amount_24h) FROM w QUALIFY"
-    ),
+    "s13_online_upsert": f"{_W} {latest('w', 'card_id', 'last_updated DESC')}",
     "s15_latest_partition": f"""WITH {TX}, b AS ({batch('tx')})
       SELECT card_id, trans_count_30d, 2 AS month, 1 AS day FROM b""",
     "p3_valid_events": f"""WITH {DIRTY} SELECT transaction_id, card_id, amount, event_time FROM dirty

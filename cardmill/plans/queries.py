@@ -139,7 +139,7 @@ def s11_batch_quarantine(spark, sf_dir):
     path = _scratch(spark, "rejected")
     checked = quality.with_failures(_batch(_dirty(spark, sf_dir)), quality.BATCH_CHECKS)
     sinks.write_batch_quarantine(quality.failing_rows(checked), path, RUN_TIME.date())
-    return spark.read.parquet(path).select("card_id", "trans_count_30d", F.size(quality.REASONS).alias("failed_checks"))
+    return spark.read.parquet(path).select("card_id", "trans_count_30d", F.array_join(quality.REASONS, ",").alias("reasons"))
 
 
 @query
@@ -155,7 +155,7 @@ def s13_online_upsert(spark, sf_dir):
     for number in range(5):
         table.upsert(vectors.where(week == number), number)
         table.compact_if_due(spark, number)
-    return table.read(spark).drop("stddev_amount_24h")
+    return table.read(spark)
 
 
 @query

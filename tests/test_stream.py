@@ -7,7 +7,6 @@ import random
 import time
 
 import pytest
-from pyspark.sql import functions as F
 
 from cardmill.operators.quality import REASONS
 from cardmill.operators.rolling import STREAM_FEATURES, rolling_features
