@@ -146,13 +146,13 @@ def edit_distance(a, b):
 
 
 def normal_line(line):
-    plain = re.sub(r"[\W_]+", " ", line.lower())
-    return re.sub(r"\d+", "0", plain).strip()
+    plain = re.sub(r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+", " ", line.lower())
+    return re.sub(r"[0-9]+", "0", plain).strip(" ")
 
 
 def line_fingerprint(line):
     words = line.split(" ")
-    words = [w for w in words if len(w) > 3] or words
+    words = [w for w in words if len(w.encode()) > 3] or words
     hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
