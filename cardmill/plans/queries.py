@@ -726,10 +726,10 @@ def t2_stream_batches(spark, sf_dir):
     path = _scratch(spark, "messages")
     rows = _tx(spark, sf_dir)
     timestamp = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("timestamp")
-    messages = source.to_messages(rows.select("transaction_id", "card_id", "amount", "c2", "product_cd", timestamp))
-    messages = messages.withColumn("part", F.floor((F.dayofmonth(rows["event_time"]) - 1) / 5).cast("int"))
-    for part in range(7):
-        messages.where(F.col("part") == part).select("value").coalesce(1).write.mode("append").text(path)
+    part = F.floor((F.dayofmonth("event_time") - 1) / 5)
+    for number in range(7):
+        own = rows.where(part == number).select("transaction_id", "card_id", "amount", "c2", "product_cd", timestamp)
+        source.to_messages(own).select("value").coalesce(1).write.mode("append").text(path)
     stores = stream_features.StreamTables(_scratch(spark, "stream"))
     stream_features.start_features(source.file_events(spark, path, 1), stores).awaitTermination()
     return stores.vectors.read(spark)
