@@ -25,9 +25,10 @@ HOT_PART = 256
 #: Tasks that the rows of one hot key are dealt to.
 HOT_SLICES = 64
 
+#: Words of a batch of texts are Python objects of some ten times its size: batches stay small.
 ARROW_CONF = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
 

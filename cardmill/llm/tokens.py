@@ -9,7 +9,7 @@ import re
 import numpy as np
 
 #: Pieces remembered by one Python worker (about 250 bytes each).
-MEMORY_PIECES = 700_000
+MEMORY_PIECES = 500_000
 
 _BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _ASCII_WORDS = re.compile("[^\\t-\\r ]+")
