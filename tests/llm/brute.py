@@ -145,14 +145,48 @@ def edit_distance(a, b):
     return row[-1]
 
 
+def within(a, b, most):
+    """Whether the edit distance is at most ``most``: a column of the table as bits (Myers)."""
+    if not a or not b:
+        return max(len(a), len(b)) <= most
+    where, mask, score = defaultdict(int), (1 << len(a)) - 1, len(a)
+    for i, x in enumerate(a):
+        where[x] |= 1 << i
+    up, down, last = mask, 0, 1 << len(a) - 1
+    for left, x in zip(range(len(b) - 1, -1, -1), b):
+        same = where.get(x, 0)
+        across = (((same & up) + up) ^ up) | same
+        rise, fall = down | ~(across | up), up & across
+        score += bool(rise & last) - bool(fall & last)
+        if score - left > most:
+            return False
+        rise, fall = rise << 1 | 1, fall << 1
+        up, down = (fall | ~(same | down | rise)) & mask, rise & (same | down) & mask
+    return score <= most
+
+
 def normal_line(line):
     plain = re.sub(r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+", " ", line.lower())
     return re.sub(r"[0-9]+", "0", plain).strip(" ")
 
 
-def line_fingerprint(line):
-    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in line.split(" ")]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+def similar_pairs(lines, least=0.8):
+    """All pairs i > j of lines with edit similarity ``least``. An edit changes the counts of
+    grams of n characters by 2 n at most, so pairs whose counts differ in more are not alike."""
+    grams = [[Counter(x[i : i + n] for i in range(len(x) - n + 1)) for x in lines] for n in (3, 4)]
+    two = np.zeros((len(lines), 256), np.int32)
+    for row, line in zip(two, lines):
+        for i in range(len(line) - 1):
+            row[zlib.crc32(line[i : i + 2].encode("utf-8", "surrogatepass")) % 256] += 1
+    sizes = np.array([len(x) for x in lines])
+    for i in range(1, len(lines)):
+        most = ((1 - least) * np.maximum(sizes[:i], sizes[i]) + 1e-9).astype(int)
+        near = np.flatnonzero(np.abs(sizes[:i] - sizes[i]) <= most)
+        near = near[np.abs(two[near] - two[i]).sum(axis=1) <= 4 * most[near]]
+        for j in near.tolist():
+            apart = [c[i].total() + c[j].total() - 2 * sum(min(k, c[j][g]) for g, k in c[i].items() if g in c[j]) for c in grams]
+            if apart[0] <= 6 * most[j] and apart[1] <= 8 * most[j] and within(lines[i], lines[j], int(most[j])):
+                yield i, j
 
 
 def removed_lines(docs, min_words=5, least=0.8):
@@ -165,7 +199,6 @@ def removed_lines(docs, min_words=5, least=0.8):
                 key = (doc_id is None, doc_id or 0, hashlib.md5(text.encode()).hexdigest(), n)
                 places[line].append((key, (doc_id, text), n))
     lines = sorted(places, key=lambda line: min(places[line])[0])
-    prints = np.array([line_fingerprint(x) for x in lines], np.uint64)
     group = list(range(len(lines)))
 
     def find(i):
@@ -173,12 +206,9 @@ def removed_lines(docs, min_words=5, least=0.8):
             i = group[i]
         return i
 
-    for i in range(len(lines)):
-        for j in np.flatnonzero(np.bitwise_count(prints[:i] ^ prints[i]) <= 3):
-            longer = max(len(lines[i]), len(lines[j]))
-            if find(i) != find(int(j)) and edit_distance(lines[i], lines[j]) <= int((1 - least) * longer + 1e-9):
-                a, b = find(i), find(int(j))
-                group[max(a, b)] = min(a, b)
+    for i, j in similar_pairs(lines, least):
+        a, b = find(i), find(j)
+        group[max(a, b)] = min(a, b)
     out = defaultdict(set)
     members = defaultdict(list)
     for i, line in enumerate(lines):
