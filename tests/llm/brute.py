@@ -189,13 +189,13 @@ def similar_pairs(lines, least=0.8):
                 yield i, j
 
 
-def removed_lines(docs, min_words=5, least=0.8):
+def removed_lines(docs, least=0.8, min_chars=9):
     """{(doc_id, text): removed line numbers} of distinct (id, text) documents."""
     places = defaultdict(list)
     for doc_id, text in {(i, t or "") for i, t in docs}:
         for n, line in enumerate(text.split("\n")):
             line = normal_line(line)
-            if len(line.split(" ")) >= min_words:
+            if line:
                 key = (doc_id is None, doc_id or 0, hashlib.md5(text.encode()).hexdigest(), n)
                 places[line].append((key, (doc_id, text), n))
     lines = sorted(places, key=lambda line: min(places[line])[0])
@@ -206,8 +206,9 @@ def removed_lines(docs, min_words=5, least=0.8):
             i = group[i]
         return i
 
-    for i, j in similar_pairs(lines, least):
-        a, b = find(i), find(j)
+    long = [i for i, line in enumerate(lines) if len(line) >= min_chars]
+    for i, j in similar_pairs([lines[i] for i in long], least):
+        a, b = find(long[i]), find(long[j])
         group[max(a, b)] = min(a, b)
     out = defaultdict(set)
     members = defaultdict(list)
