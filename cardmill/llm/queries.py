@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
-from cardmill.llm import pii, secret_scan
+from cardmill.llm import classifier, conversations, pii, secret_scan, spelling
 from cardmill.llm.common import registry, table
 from cardmill.llm.exact import exact_dedup
 from cardmill.llm.lines import dedup_lines
@@ -84,12 +86,41 @@ def op9_mixing(spark, sf_dir):
     """Words that the mix takes of every document."""
     return mix(table(spark, sf_dir, "documents"))
 
+
 @query
 def op10_secret_scan(spark, sf_dir):
     """Secrets in every document."""
     return secret_scan.digest(secret_scan.secret_scan(table(spark, sf_dir, "documents")))
 
 
+@query
+def op11_conversation_repair(spark, sf_dir):
+    """Faults of every damaged conversation, its cheapest repair and the hash of what that leaves."""
+    rows = table(spark, sf_dir, "conversations")
+    repaired, report = conversations.repair(conversations.damaged(rows))
+    found = report.join(conversations.digests(repaired).withColumnRenamed("conv_id", "own"), F.col("conv_id").eqNullSafe(F.col("own")), "left")
+    found = found.drop("own").withColumnRenamed("conv_id", "own")
+    every = rows.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("own")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.lit(hashlib.sha256().hexdigest())
+    return every.select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256")
+    )
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    """Near words, form and root of every word of the documents."""
+    return spelling.variants(spelling.words(table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_quality_classifier(spark, sf_dir):
+    """Quality score of every document by a model of the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return classifier.classify(docs, classifier.train(docs, table(spark, sf_dir, "labels")))
+
+
 ORACLE: dict[str, str] = {
     "op8_exact_dedup": r"""
         WITH t AS (

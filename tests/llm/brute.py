@@ -222,3 +222,126 @@ def removed_lines(docs, least=0.8, min_chars=9):
 
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def damage(rows):
+    """``(conv_id, turn, role, text)`` rows after damage, missing values as one space."""
+    out = []
+    for conv_id, turn, role, text in rows:
+        name = ":".join(" " if v is None else str(v) for v in (conv_id, turn))
+        fault = zlib.crc32(name.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if fault == 0:
+            continue
+        text = "" if fault == 1 else re.sub("[.!?]", "", text) if fault == 2 else text
+        out += [(conv_id, turn, "user" if fault == 4 else role, text)] * (2 if fault == 3 else 1)
+    return out
+
+
+def repaired(rows):
+    """Cheapest edits of one conversation's ``(role, text, fault)`` rows: least (cost, letters) over all.
+
+    Works from the last row on: (cost, letters, repaired rows) of what is left, by row and state of
+    the roles so far, with letters as plain strings.
+    """
+    step = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (3, "u"): 2, (2, "a"): 3}
+    best = {(len(rows), s): (0, "", ()) for s in (0, 3)}
+    for i in range(len(rows), -1, -1):
+        if i < len(rows):
+            role, text, fault = rows[i]
+            stays = 5 if fault == "truncated" else 0
+            for s in range(4):
+                ways = []
+                edits = [(2, "D", s, None)]
+                if fault not in ("blank", "duplicate"):
+                    edits.append((stays, "K", step.get((s, role[:1])), role))
+                    edits += [(1 + stays, "R", step.get((s, r[0])), r) for r in ("user", "assistant")]
+                for cost, letter, to, name in edits:
+                    if (i + 1, to) in best:
+                        c, l, kept = best[i + 1, to]
+                        ways.append((c + cost, letter + l, ((name, text), *kept) if name else kept))
+                if ways:
+                    best[i, s] = min(ways)
+        for _ in range(4):  # inserts before row i
+            for s in range(4):
+                ways = [best[i, s]] if (i, s) in best else []
+                for name in ("user", "assistant"):
+                    to = step.get((s, name[0]))
+                    if (i, to) in best:
+                        c, l, kept = best[i, to]
+                        ways.append((c + 5, "I" + l, ((name, ""), *kept)))
+                if ways:
+                    best[i, s] = min(ways)
+    return best[0, 0]
+
+
+def conversation(conv_id, rows):
+    """Report of one conversation's damaged ``(turn, role, text)`` rows."""
+    own = "\1" if conv_id is None else conv_id
+    key = [(t is not None, t or 0, r, sha(f"{own}\0{r}\0{x}")) for t, r, x in rows]
+    rows = [r for _, r in sorted(zip(key, rows), key=lambda pair: pair[0])]
+    seen, judged = set(), []
+    for _, role, text in rows:
+        last = text.strip(" \t\n\v\f\r")[-1:]
+        fault = "blank" if not last else "duplicate" if (role, text) in seen else "truncated" if last not in ".!?" else ""
+        seen.add((role, text))
+        judged.append((role, text, fault))
+    turns = {t for t, _, _ in rows if t is not None}
+    pairs = zip(judged, judged[1:])
+    cost, audit, kept = repaired(judged)
+    return {
+        "gaps": max(turns) - min(turns) + 1 - len(turns) if turns else 0,
+        "blank": sum(f == "blank" for *_, f in judged),
+        "duplicate": sum(f == "duplicate" for *_, f in judged),
+        "truncated": sum(f == "truncated" for *_, f in judged),
+        "illegal": sum(a[0][:1] + b[0][:1] not in ("su", "ua", "au") for a, b in pairs),
+        "cost": cost,
+        "audit": audit,
+        "repaired_sha256": sha("\n".join(f"{r}:{t}" for r, t in kept)),
+    }
+
+
+def spelling_words(rows):
+    """Counts of the words of ``(doc_id, text)`` rows."""
+    upper = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(upper)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 199 == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+
+
+def one_edit(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    short, long = sorted((a, b), key=len)
+    return any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+
+def variants(counts):
+    """``word -> (form, root, n, n_near, form_n)`` by comparing all words."""
+    by_length = defaultdict(list)
+    for word in counts:
+        by_length[len(word)].append(word)
+    near = {}
+    for word in counts:
+        others = [o for k in (-1, 0, 1) for o in by_length[len(word) + k]]
+        near[word] = [o for o in others if one_edit(word, o)]
+    form = {}
+    for word, n in counts.items():
+        best = min(near[word], key=lambda o: (-counts[o], o), default=None)
+        form[word] = best if best and counts[best] >= 5 * n else None
+    out = {}
+    for word, n in counts.items():
+        root = word
+        while form[root]:
+            root = form[root]
+        out[word] = (form[word], root, n, len(near[word]), counts.get(form[word]))
+    return out
