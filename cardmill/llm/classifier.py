@@ -1,12 +1,13 @@
-"""Quality classifier: learned vectors of words and character n-grams, averaged over a document."""
+"""Quality classifier: learned vectors of words, character n-grams and word repeats, averaged over a document."""
 
 from __future__ import annotations
 
 import math
-import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -18,14 +19,16 @@ from cardmill.llm.common import hash_share, text_of, written
 #: Hash buckets that words and n-grams share, and numbers in a bucket's vector.
 BUCKETS, SIZE = 1 << 17, 16
 #: Characters in an n-gram of a word between ``<`` and ``>``.
-GRAMS = (2, 3, 4)
+GRAMS = (3,)
+#: A word that stands so many words before as well has a bucket for that, whatever the word.
+REPEATS = (1, 2, 3, 4)
 #: Most labelled documents that the vectors are learned from, and most (document, bucket) entries of them.
-TRAIN_DOCS, TRAIN_ENTRIES = 4000, 8_000_000
-EPOCHS, RATE, SEED = 12, 0.5, 42
+TRAIN_DOCS, TRAIN_ENTRIES = 2000, 8_000_000
+EPOCHS, RATE, SEED = 4, 0.5, 42
 #: Score from which a document is predicted to be good.
 LIMIT = 0.7
 #: Words whose sums one Python worker remembers.
-MEMORY_WORDS = 200_000
+MEMORY_WORDS = 300_000
 #: Letters of a word whose n-grams are hashed at once.
 CHUNK = 1 << 16
 
@@ -40,14 +43,18 @@ class Model:
 
 def buckets(word: bytes) -> Iterator[list[int]]:
     """Buckets of a word: its own and those of its n-grams, some at a time."""
-    yield [zlib.crc32(word) % BUCKETS]
-    marked = f"<{word.decode('utf-8', 'surrogatepass')}>"
+    digest = zlib.crc32
+    yield [digest(word) % BUCKETS]
+    marked = b"<" + word + b">"
+    if not marked.isascii():
+        marked = marked.decode("utf-8", "surrogatepass")
     for k in GRAMS:
         for start in range(0, max(0, len(marked) - k + 1), CHUNK):
-            stop = min(start + CHUNK, len(marked) - k + 1)
-            yield [
-                zlib.crc32(marked[i : i + k].encode("utf-8", "surrogatepass"), k) % BUCKETS for i in range(start, stop)
-            ]
+            places = range(start, min(start + CHUNK, len(marked) - k + 1))
+            grams = [marked[i : i + k] for i in places]
+            if isinstance(marked, str):
+                grams = [gram.encode("utf-8", "surrogatepass") for gram in grams]
+            yield [digest(gram, k) % BUCKETS for gram in grams]
 
 
 def split(text: str) -> list[bytes]:
@@ -55,14 +62,30 @@ def split(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
+def repeats(words: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Bucket and number of the words that stand some words before as well."""
+    for k in REPEATS:
+        yield zlib.crc32(b"\0" + bytes([k])) % BUCKETS, sum(map(eq, words[k:], words))
+
+
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their shares of all its buckets."""
-    counts = np.zeros(BUCKETS, np.int64)
-    for word in split(text):
+    counts = np.zeros(BUCKETS)
+    words = split(text)
+    found, times = [], []
+    for word, n in Counter(words).items():
         for part in buckets(word):
-            np.add.at(counts, part, 1)
-    found = np.flatnonzero(counts)
-    return found.astype(np.int32), (counts[found] / max(1, counts.sum())).astype(np.float32)
+            found += part
+            times += [n] * len(part)
+        if len(found) >= CHUNK:
+            counts += np.bincount(found, times, BUCKETS)
+            found, times = [], []
+    for bucket, n in repeats(words):
+        found.append(bucket)
+        times.append(n)
+    counts += np.bincount(found, times, BUCKETS)
+    distinct = np.flatnonzero(counts)
+    return distinct.astype(np.int32), (counts[distinct] / max(1, counts.sum())).astype(np.float32)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -138,27 +161,31 @@ class Scorer:
     """Scores of texts; sums over the buckets of common words are remembered."""
 
     def __init__(self, model: Model):
-        self.model, self.known = model, {}
+        self.weight, self.bias, self.known = model.weight.tolist(), model.bias, {}
 
     def sums(self, word: bytes) -> tuple[float, int]:
         """Weight and number of a word's buckets."""
         total, count = 0.0, 0
         for part in buckets(word):
-            total += float(self.model.weight[part].sum())
+            total += sum(map(self.weight.__getitem__, part))
             count += len(part)
         return total, count
 
     def score(self, text: str) -> float:
         known, total, count = self.known, 0.0, 0
-        for word in split(text):
+        words = split(text)
+        for word, times in Counter(words).items():
             sums = known.get(word)
             if sums is None:
                 sums = self.sums(word)
                 if len(known) < MEMORY_WORDS and len(word) < 64:
                     known[word] = sums
-            total += sums[0]
-            count += sums[1]
-        logit = self.model.bias + (total / count if count else 0.0)
+            total += sums[0] * times
+            count += sums[1] * times
+        for bucket, times in repeats(words):
+            total += self.weight[bucket] * times
+            count += times
+        logit = self.bias + (total / count if count else 0.0)
         return 1 / (1 + math.exp(-min(max(logit, -700.0), 700.0)))
 
 
