@@ -113,7 +113,7 @@ def rolling_features(
     kept = ["transaction_id", "card_id", "event_time", *carry, *_TOTALS, "max_24h"]
     ordinary = _ordinary(rows.join(hot, "card_id", "left_anti")).select(kept)
     divided = _divided(rows.join(hot, "card_id", "left_semi")).select(kept)
-    return _vectors(ordinary.unionByName(divided), carry, rounded)
+    return rolling_vectors(ordinary.unionByName(divided), carry, rounded)
 
 
 def _extra_columns(carry: tuple[str, ...], arrival: tuple[str, ...]) -> list[str]:
@@ -205,7 +205,8 @@ def _divided(rows: DataFrame) -> DataFrame:
     return joined.selectExpr("*", *totals, "GREATEST(own_max, mid_max, edge_max) AS max_24h")
 
 
-def _vectors(rows: DataFrame, carry: tuple[str, ...], rounded: bool) -> DataFrame:
+def rolling_vectors(rows: DataFrame, carry: tuple[str, ...] = (), rounded: bool = False) -> DataFrame:
+    """The nine features from window totals of whole ten-thousandths."""
     # n * sum(x^2) - sum(x)^2 as whole numbers of up to 38 digits: equal amounts give exactly
     # zero, and only the square root is floating point.
     wide = "DECIMAL(38,0)"

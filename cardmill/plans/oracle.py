@@ -405,7 +405,12 @@ ORACLE: dict[str, str] = {
       SELECT areas.*, conf.* EXCLUDE (model), {F1} AS f1_score FROM areas JOIN conf USING (model)""",
     "t2_stream": f"""WITH {TX}, good AS (SELECT * FROM tx WHERE NOT ({BAD_EVENT})), w AS ({rolling('good')})
       SELECT {_STREAM_COUNTS} FROM w""",
+    "t1_card_minutes": f"""WITH {TX}, m AS (SELECT card_id, DATE_TRUNC('minute', event_time) AS minute, COUNT(*) AS events,
+        CAST(SUM(CAST(ROUND(amount * 10000.0::DOUBLE) AS BIGINT)) AS DOUBLE) / 10000.0::DOUBLE AS amount FROM tx GROUP BY 1, 2)
+      SELECT * FROM m WHERE minute + INTERVAL 1 MINUTE <= (SELECT MAX(event_time) FROM tx) - INTERVAL 10 MINUTE""",
     "t2_stream_batches": f"{_W} SELECT * FROM w",
+    "t2_stateful": f"{_W} SELECT * FROM w",
+    "a6_stream_once": f"{_W} SELECT * FROM w",
     "t3_stream_quarantine": f"WITH {DIRTY} SELECT transaction_id, card_id, amount, {REASONS} AS reasons FROM dirty WHERE {BAD_EVENT}",
     "t4_archive": f"""WITH {DIRTY} SELECT transaction_id, card_id, amount, c2, product_cd, event_time AS event_timestamp,
       FALSE AS late FROM dirty WHERE NOT ({BAD_EVENT})""",

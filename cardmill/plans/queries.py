@@ -20,7 +20,7 @@ from cardmill.plans import flow
 from cardmill.session import configure, scratch_dir
 from cardmill.sources import sinks, tables
 from cardmill.streaming import features as stream_features
-from cardmill.streaming import source
+from cardmill.streaming import source, stateful
 
 RUN_TIME = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
 DRIFT_SPLIT = dt.datetime(2024, 1, 16, tzinfo=dt.timezone.utc)
@@ -720,21 +720,65 @@ def t2_stream(spark, sf_dir):
     return vectors.select("transaction_id", "card_id", "trans_count_1m", "trans_count_5m", "trans_count_1h")
 
 
+def _topic(spark: SparkSession, rows: DataFrame, copies: int = 1) -> DataFrame:
+    """The transactions as a numbered topic that arrives in seven micro-batches of some days each.
+
+    One pass deals the messages to the slices; each slice is then written as several files.
+    """
+    files = 4
+    timestamp = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("timestamp")
+    part = F.floor((F.dayofmonth("event_time") - 1) / 5).alias("slice")
+    number = F.col("transaction_id").alias("arrived_no")
+    messages = rows.select(
+        F.to_json(F.struct("transaction_id", "card_id", "amount", "c2", "product_cd", timestamp)).alias("value"), number, part
+    )
+    staged, path = _scratch(spark, "slices"), _scratch(spark, "topic")
+    messages.write.partitionBy("slice").parquet(staged)
+    stored = spark.read.parquet(staged)
+    for each in range(7):
+        own = stored.where(F.col("slice") == each).select("value", "arrived_no", F.explode(F.array([F.lit(0)] * copies)))
+        own.drop("col").repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema("value string, arrived_no long").option("maxFilesPerTrigger", files).parquet(path)
+
+
 @query
 def t2_stream_batches(spark, sf_dir):
-    """All nine features of every event from a stream of six micro-batches."""
-    path = _scratch(spark, "messages")
-    rows = _tx(spark, sf_dir)
-    timestamp = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("timestamp")
-    part = F.floor((F.dayofmonth("event_time") - 1) / 5)
-    for number in range(7):
-        own = rows.where(part == number).select("transaction_id", "card_id", "amount", "c2", "product_cd", timestamp)
-        source.to_messages(own).select("value").coalesce(1).write.mode("append").text(path)
+    """All nine features of every event from a stream of seven micro-batches."""
     stores = stream_features.StreamTables(_scratch(spark, "stream"))
-    stream_features.start_features(source.file_events(spark, path, 1), stores).awaitTermination()
+    stream_features.start_features(_topic(spark, _tx(spark, sf_dir)), stores).awaitTermination()
     return stores.vectors.read(spark)
 
 
+def _stateful(spark: SparkSession, raw: DataFrame, **options) -> stream_features.StreamTables:
+    stores = stream_features.StreamTables(_scratch(spark, "stateful"))
+    stateful.start_stateful(raw, stores, **options).awaitTermination()
+    return stores
+
+
+@query
+def t2_stateful(spark, sf_dir):
+    """All nine features of every event from keyed state; busy cards have several state keys."""
+    rows = _tx(spark, sf_dir)
+    busy = stateful.hot_cards(rows, max(1, rows.count() // 140))
+    return _stateful(spark, _topic(spark, rows), hot=busy).vectors.read(spark)
+
+
+@query
+def a6_stream_once(spark, sf_dir):
+    """The same vectors from a topic that sends every event twice."""
+    return _stateful(spark, _topic(spark, _tx(spark, sf_dir), copies=2), once=True).vectors.read(spark)
+
+
+@query
+def t1_card_minutes(spark, sf_dir):
+    """Events and amount per card and minute, for the minutes the watermark has passed."""
+    path = _scratch(spark, "minutes")
+    minutes = stateful.card_minutes(_topic(spark, _tx(spark, sf_dir)), "10 minutes")
+    writer = minutes.writeStream.option("checkpointLocation", _scratch(spark, "checkpoint")).trigger(availableNow=True)
+    writer.outputMode("append").format("parquet").start(path).awaitTermination()
+    return spark.read.schema(minutes.schema).parquet(path)
+
+
 @query
 def t3_stream_quarantine(spark, sf_dir):
     """Events the streaming job quarantines."""

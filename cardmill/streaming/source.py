@@ -64,12 +64,12 @@ def to_messages(events: DataFrame) -> DataFrame:
     return events.select(F.col("card_id").alias("key"), F.to_json(F.struct(*events.columns)).alias("value"))
 
 
-def parsed_events(raw: DataFrame) -> DataFrame:
+def parsed_events(raw: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Typed events with their event time and the reasons a row must be quarantined.
 
     A line that is no JSON object and a time that cannot be read are reasons like any failed
-    check; nothing is replaced by the current time. The arrival columns of the source are kept.
-    Rows without a number there are numbered when their batch is worked on.
+    check; nothing is replaced by the current time. The arrival columns of the source are kept,
+    and those named in ``carry``. Rows without a number there are numbered when their batch is worked on.
     """
     schema = T.StructType([*EVENT_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
@@ -78,7 +78,7 @@ def parsed_events(raw: DataFrame) -> DataFrame:
         (F.col(name) if name in raw.columns else place[name]).cast(kind).alias(name)
         for name, kind in zip(ARRIVAL, ARRIVAL_TYPES)
     ]
-    events = raw.select(F.from_json("value", schema, options).alias("e"), *places).select("e.*", *ARRIVAL)
+    events = raw.select(F.from_json("value", schema, options).alias("e"), *places, *carry).select("e.*", *ARRIVAL, *carry)
     events = events.withColumn("event_time", parse_event_time(F.col("timestamp")))
     malformed = F.col(CORRUPT).isNotNull()
     reasons = failed_checks(ROLLING_CHECKS, (F.col("event_time").isNull(), BAD_TIME))
