@@ -50,11 +50,14 @@ def expected(arrivals):
 def random_arrivals(seed, n, span):
     """Events of few cards in files of rising time, some a little or far behind."""
     chance = random.Random(seed)
-    rows, clock = [], 0
+    rows, clock, last = [], 0, 0
     for i in range(n):
         clock += chance.choice([0, 0, 1, 7, 60, 300, span])
         seconds = clock - chance.choice([0, 0, 0, 0, 3, 5, 6, 400])
         card = chance.choice(["hot", "hot", "hot", "a", "b"])
+        if i and i % 60 == 0:  # the first of a file
+            card, seconds, clock = "hot", last - 400, last
+        last = max(clock, seconds) if card == "hot" else last
         rows.append((event(i + 1, card, chance.randrange(1, 90_000) / 100, seconds, c2=float(chance.randrange(9))), seconds))
     return rows
 
