@@ -31,6 +31,7 @@ from cardmill.operators.quality import names_of
 from cardmill.operators.retrieval import CARD_BATCH, point_in_time_join, with_lookup_defaults
 from cardmill.operators.sampling import HASH_BITS, hash_order, seeded_sample, stratified_split
 from cardmill.operators.skew import join_per_key
+from cardmill.operators.trees import CompiledEnsemble, TreeSet
 
 AMOUNT = "TransactionAmt"
 TRAINING_FEATURES = [*BATCH_FEATURES, AMOUNT, "amount_ratio_30d", "is_amount_gt_30d_max"]
@@ -117,6 +118,14 @@ class FraudEnsemble:
         cut = self.threshold if threshold is None else threshold
         return self.score(df).withColumn("prediction", labelled(F.col("fraud_score"), cut))
 
+    def compiled(self, spark: SparkSession, path: str) -> CompiledEnsemble:
+        """The same scores as column expressions; the members' nodes are read from files in ``path``."""
+        boosted, forest = (
+            TreeSet.of(spark, model, self.feature_names, f"{path}/{name}")
+            for name, model in (("boosted", self.boosted), ("forest", self.forest))
+        )
+        return CompiledEnsemble(boosted, forest, self.boosted_weight, self.forest_weight, self.threshold)
+
     def save(self, spark: SparkSession, path: str) -> None:
         self.boosted.write().overwrite().save(f"{path}/boosted")
         self.forest.write().overwrite().save(f"{path}/forest")
@@ -261,7 +270,9 @@ def report_row(spark: SparkSession, report: dict) -> DataFrame:
     )
 
 
-def score_requests(requests: DataFrame, online_batch: DataFrame, ensemble: FraudEnsemble) -> DataFrame:
+def score_requests(
+    requests: DataFrame, online_batch: DataFrame, ensemble: FraudEnsemble | CompiledEnsemble
+) -> DataFrame:
     """M5: look up, derive, score and decide for every valid request.
 
     ``requests`` has ``card_id`` and ``current_amount``; other columns are kept. Those that

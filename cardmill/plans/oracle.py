@@ -212,6 +212,29 @@ _W = f"WITH {TX}, w AS ({rolling()})"
 _STREAM_COUNTS = "transaction_id, card_id, trans_count_1m, trans_count_5m, trans_count_1h"
 _REPLAYED = "make_timestamp(CAST(ROUND((1704067200.0::DOUBLE + transaction_dt % 86400.0::DOUBLE) * 1000000.0::DOUBLE) AS BIGINT))"
 
+
+
+def fixed_trees(a: str, c: str) -> tuple[str, str, str]:
+    """The three small trees of ``queries.FIXED_TREES`` with the values that are known."""
+
+    def when(condition: str, yes: str, no: str) -> str:
+        return f"(CASE WHEN {condition} THEN {yes} ELSE {no} END)"
+
+    inner = when(f"{c} <= 50", "2.0::DOUBLE", "-1.0::DOUBLE") if c else "1.25::DOUBLE"
+    one = when(f"{a} <= 100", "1.0::DOUBLE", inner) if a else f"(0.5::DOUBLE + 0.5::DOUBLE * {inner})"
+    high = when(f"{a} <= 300", "-0.25::DOUBLE", "4.0::DOUBLE") if a else "1.875::DOUBLE"
+    two = when(f"{c} <= 20", "0.5::DOUBLE", high) if c else f"(0.125::DOUBLE + 0.75::DOUBLE * {high})"
+    three = when(f"{a} <= 50", "0.5::DOUBLE", when(f"{a} <= 200", "1.5::DOUBLE", "3.0::DOUBLE")) if a else "2.0::DOUBLE"
+    return one, two, three
+
+
+def fixed_score(a: str = "", c: str = "") -> str:
+    one, two, three = fixed_trees(a, c)
+    return f"(0.5::DOUBLE * {one} + {two} + 0.25::DOUBLE * {three})"
+
+
+_FOREST = "({1} + 0.25::DOUBLE * {2})".format(*fixed_trees("current_amount", "trans_count_7d"))
+
 ORACLE: dict[str, str] = {
     "s1_typed_scan": f"""WITH {DIRTY} SELECT transaction_id, is_fraud, transaction_dt, amount, card_id, addr1, d4
       FROM dirty WHERE TRY_CAST(card_id AS BIGINT) IS NOT NULL""",
@@ -387,6 +410,18 @@ ORACLE: dict[str, str] = {
         CASE WHEN score >= 0.37::DOUBLE THEN 'ALERT: FRAUD DETECTED' ELSE 'APPROVED' END AS decision,
         CAST(0.37 AS DOUBLE) AS decision_threshold, trans_count_7d, ROUND(top, 2) AS max_amount_30d,
         CAST(CASE WHEN current_amount > top THEN 1.0 ELSE 0.0 END AS DOUBLE) AS is_amount_gt_30d_max FROM r""",
+    "m5_compiled": f"""WITH {DIRTY}, b AS ({batch('tx')}), r AS (
+        SELECT transaction_id, dirty.card_id, amount AS current_amount, COALESCE(CAST(trans_count_7d AS DOUBLE), 1.0) AS trans_count_7d
+        FROM dirty LEFT JOIN b ON dirty.card_id = b.card_id WHERE LENGTH(TRIM(dirty.card_id)) > 0 AND amount > 0),
+      m AS (SELECT *, 1.0::DOUBLE / (1.0::DOUBLE + EXP(-2.0::DOUBLE * {fixed_score('current_amount', 'trans_count_7d')})) AS x, {_FOREST} AS y FROM r),
+      s AS (SELECT *, 0.5::DOUBLE * x + 0.125::DOUBLE * y AS score FROM m)
+      SELECT transaction_id, card_id, CAST(score >= 0.6::DOUBLE AS INTEGER) AS is_fraud, ROUND(score, 4) AS fraud_score,
+        ROUND(x, 4) AS boosted_score, ROUND(y, 4) AS forest_score,
+        CASE WHEN score >= 0.6::DOUBLE THEN 'ALERT: FRAUD DETECTED' ELSE 'APPROVED' END AS decision FROM s""",
+    "m6_shap": f"""WITH {TX}, f AS (SELECT transaction_id, {fixed_score('amount', 'c2')} AS every, {fixed_score('amount')} AS a,
+        {fixed_score('', 'c2')} AS c, {fixed_score()} AS none FROM tx)
+      SELECT transaction_id, every AS raw_score, none AS base_value, 0.5::DOUBLE * ((a - none) + (every - c)) AS shap_amount,
+        0.5::DOUBLE * ((c - none) + (every - a)) AS shap_c2 FROM f""",
     "m6_permuted": f"""WITH {TX}, s AS (SELECT transaction_id, amount, c2, amount * 2.0::DOUBLE AS ratio FROM tx
         ORDER BY {_HASH.format(seed=42)}, transaction_id LIMIT 500),
       o AS (SELECT *, ROW_NUMBER() OVER (ORDER BY {_HASH.format(seed=43)}, transaction_id) AS i, COUNT(*) OVER () AS n FROM s),

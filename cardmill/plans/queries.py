@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from cardmill.functions.columns import exact_avg, normalize_raw_event
 from cardmill.operators import batch, drift, evaluation, quality, retrieval, rolling, sampling, training
+from cardmill.operators.trees import CompiledEnsemble, Tree, TreeSet, shap_values
 from cardmill.plans import flow
 from cardmill.session import configure, scratch_dir
 from cardmill.sources import sinks, tables
@@ -680,6 +681,45 @@ def m5_score(spark, sf_dir):
     )
 
 
+def _leaf_value(value: float, cover: float) -> tuple:
+    return -1, 0.0, -1, -1, value, cover
+
+
+def _tree(weight: float, *nodes: tuple) -> Tree:
+    return Tree(weight, *map(list, zip(*nodes)))
+
+
+#: Three small trees over two features, f0 and f1; one asks for the same feature twice on a path.
+FIXED_TREES = [
+    _tree(0.5, (0, 100.0, 1, 2, 0.0, 8.0), _leaf_value(1.0, 4.0), (1, 50.0, 3, 4, 0.0, 4.0), _leaf_value(2.0, 3.0), _leaf_value(-1.0, 1.0)),
+    _tree(1.0, (1, 20.0, 1, 2, 0.0, 8.0), _leaf_value(0.5, 2.0), (0, 300.0, 3, 4, 0.0, 6.0), _leaf_value(-0.25, 3.0), _leaf_value(4.0, 3.0)),
+    _tree(0.25, (0, 200.0, 1, 2, 0.0, 8.0), (0, 50.0, 3, 4, 0.0, 4.0), _leaf_value(3.0, 4.0), _leaf_value(0.5, 2.0), _leaf_value(1.5, 2.0)),
+]
+
+
+@query
+def m5_compiled(spark, sf_dir):
+    """M3-M5: every valid request scored by a stored model of two members, as generated code."""
+    path = _scratch(spark, "model")
+    names = [training.AMOUNT, "trans_count_7d"]
+    TreeSet(names, FIXED_TREES).write(spark, f"{path}/boosted")
+    TreeSet(names, FIXED_TREES[1:]).write(spark, f"{path}/forest")
+    ensemble = CompiledEnsemble(
+        TreeSet.read(spark, f"{path}/boosted", names, "logistic"), TreeSet.read(spark, f"{path}/forest", names), 0.5, 0.125, 0.6
+    )
+    online = _batch(_tx(spark, sf_dir))
+    answers = training.score_requests(_asked(spark, sf_dir), online, ensemble)
+    return answers.select("transaction_id", "card_id", "is_fraud", "fraud_score", "boosted_score", "forest_score", "decision")
+
+
+@query
+def m6_shap(spark, sf_dir):
+    """M6: SHAP values of every transaction for three small trees, with their sum and the raw score."""
+    member = TreeSet(["amount", "c2"], FIXED_TREES)
+    rows = _tx(spark, sf_dir).select("transaction_id", "amount", "c2", member.raw().alias("raw_score"))
+    return shap_values(rows, [member], ["transaction_id", "raw_score"])
+
+
 @query
 def m6_permuted(spark, sf_dir):
     """M6: the sample and its copies with one feature permuted, as they are scored."""
