@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardmill.functions.columns import numeric_columns
-from cardmill.operators.running import bucket_count, quantile_splits, running_totals
+from cardmill.operators.running import bucket_count, quantile_splits, running_totals, with_range_bucket
 
 NOT_FEATURES = ("card_id", "event_timestamp", "timestamp")
 COLUMN_BOUND = 0.10
 DATASET_SHARE = 0.5
+LEAST_SPREAD = 0.001
+#: Size of the stored quantile sketches, and the shares at which two of them are compared.
+SKETCH_K, SKETCH_GRID = 1000, 200
 
 
 def drift_columns(current: DataFrame) -> list[str]:
@@ -27,6 +30,24 @@ def _long(df: DataFrame, columns: list[str], side: str) -> DataFrame:
     )
 
 
+def _running(reference: DataFrame, current: DataFrame, columns: list[str]) -> tuple[DataFrame, list[float]]:
+    """Running counts of both sides over the distinct values of every column, and the cuts used."""
+    if not columns:
+        raise ValueError("no numeric feature columns")
+    both = _long(reference.select(columns).na.drop(), columns, "reference").unionAll(
+        _long(current.select(columns).na.drop(), columns, "current")
+    )
+    splits = quantile_splits(both, "value", bucket_count(both))
+    values = both.groupBy("column_name", "value").agg(
+        F.sum("reference").alias("reference"), F.sum("current").alias("current")
+    )
+    return running_totals(values, "column_name", "value", ["reference", "current"], splits), splits
+
+
+def _gap() -> Column:
+    return F.abs(F.try_divide("run_reference", "total_reference") - F.try_divide("run_current", "total_current"))
+
+
 def column_drift(
     reference: DataFrame, current: DataFrame, columns: list[str] | None = None, bound: float = COLUMN_BOUND
 ) -> DataFrame:
@@ -36,22 +57,69 @@ def column_drift(
     row per distinct value before the ordered pass.
     """
     columns = drift_columns(current) if columns is None else columns
-    if not columns:
-        raise ValueError("no numeric feature columns")
-    both = _long(reference.select(columns).na.drop(), columns, "reference").unionAll(
-        _long(current.select(columns).na.drop(), columns, "current")
-    )
-    splits = quantile_splits(both, "value", bucket_count(both))
-    values = both.groupBy("column_name", "value").agg(
-        F.sum("reference").alias("reference"), F.sum("current").alias("current")
+    running, _ = _running(reference, current, columns)
+    return running.groupBy("column_name").agg(F.max(_gap()).alias("drift_score")).select(
+        "column_name", "drift_score", (F.col("drift_score") > bound).alias("drift_detected")
     )
-    running = running_totals(values, "column_name", "value", ["reference", "current"], splits)
-    gap = F.abs(
-        F.try_divide("run_reference", "total_reference") - F.try_divide("run_current", "total_current")
+
+
+def distance_drift(
+    reference: DataFrame, current: DataFrame, columns: list[str] | None = None, bound: float = COLUMN_BOUND
+) -> DataFrame:
+    """Q7: Wasserstein distance per numeric column, in standard deviations of the reference side.
+
+    The distance is the area between both running shares: from each distinct value to the next,
+    the gap times the step. The step out of a range bucket comes from a small table of the
+    buckets' first values. A spread below ``LEAST_SPREAD`` counts as that; a score at ``bound`` drifts.
+    """
+    columns = drift_columns(current) if columns is None else columns
+    running, splits = _running(reference, current, columns)
+    bucketed = with_range_bucket(running, "value", splits)
+    firsts = bucketed.groupBy("column_name", "range_bucket").agg(F.min("value").alias("first"))
+    following = Window.partitionBy("column_name").orderBy("range_bucket")
+    nexts = firsts.select("column_name", "range_bucket", F.lead("first").over(following).alias("beyond"))
+    within = Window.partitionBy("column_name", "range_bucket").orderBy("value")
+    stepped = bucketed.withColumn("next", F.lead("value").over(within)).join(
+        F.broadcast(nexts), ["column_name", "range_bucket"]  # at most one row per column and bucket
     )
-    return running.groupBy("column_name").agg(F.max(gap).alias("drift_score")).select(
-        "column_name", "drift_score", (F.col("drift_score") > bound).alias("drift_detected")
+    step = F.coalesce("next", "beyond") - F.col("value")
+    areas = stepped.groupBy("column_name").agg(F.sum(_gap() * step).alias("area"))
+    spreads = _long(reference.select(columns).na.drop(), columns, "reference").groupBy("column_name")
+    spreads = spreads.agg(F.stddev_pop("value").alias("spread"))
+    scored = areas.join(spreads, "column_name").withColumn(
+        "drift_score", F.coalesce("area", F.lit(0.0)) / F.greatest("spread", F.lit(LEAST_SPREAD))
     )
+    return scored.select("column_name", "drift_score", (F.col("drift_score") >= bound).alias("drift_detected"))
+
+
+def day_sketches(df: DataFrame, columns: list[str], day: str) -> DataFrame:
+    """A quantile sketch per day and column, to be stored beside the day's rows."""
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns]
+    long = df.na.drop(subset=columns).select(day, F.inline(F.array(*pairs)))
+    return long.groupBy(day, "column_name").agg(F.kll_sketch_agg_double("value", F.lit(SKETCH_K)).alias("sketch"))
+
+
+def sketch_drift(reference: DataFrame, current: DataFrame, bound: float = COLUMN_BOUND) -> DataFrame:
+    """Q7 from stored sketches of both sides' days, without their rows.
+
+    With ``SKETCH_K`` a rank is off by about 0.3 % at most (99 % of the time) and the shares are
+    read off ``SKETCH_GRID`` quantiles, so the Kolmogorov-Smirnov statistic is off by about 0.015.
+    """
+    grid = F.array(*[F.lit(i / SKETCH_GRID) for i in range(SKETCH_GRID + 1)])
+
+    def side(sketches: DataFrame, name: str) -> DataFrame:
+        return sketches.groupBy("column_name").agg(
+            F.kll_sketch_get_quantile_double(F.kll_merge_agg_double("sketch"), grid).alias(name)
+        )
+
+    both = side(reference, "r").join(side(current, "c"), "column_name")
+
+    def share(quantiles: str, place: Column) -> Column:
+        return F.size(F.filter(quantiles, lambda q: q <= place)) / (SKETCH_GRID + 1)
+
+    gaps = F.transform(F.array_union("r", "c"), lambda place: F.abs(share("r", place) - share("c", place)))
+    scores = both.select("column_name", F.array_max(gaps).alias("drift_score"))
+    return scores.withColumn("drift_detected", F.col("drift_score") > bound)
 
 
 def dataset_drift(columns: DataFrame, share_bound: float = DATASET_SHARE) -> DataFrame:

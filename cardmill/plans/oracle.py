@@ -371,6 +371,13 @@ ORACLE: dict[str, str] = {
     + ") SELECT * FROM f WHERE failed_rows > 0",
     "t3_quarantine": f"WITH {DIRTY} SELECT transaction_id, card_id, amount, {REASONS} AS reasons FROM dirty WHERE {BAD_EVENT}",
     "q7_drift": f"WITH {DRIFT} SELECT * FROM drift",
+    "q7_distance": f"""WITH {DRIFT}, spread AS (SELECT column_name, STDDEV_POP(v) AS s FROM long_rows WHERE is_ref GROUP BY 1),
+      steps AS (SELECT column_name, v, LEAD(v) OVER (PARTITION BY column_name ORDER BY v) - v AS step,
+          CAST(SUM(r) OVER (PARTITION BY column_name ORDER BY v) AS DOUBLE) / CAST(SUM(r) OVER (PARTITION BY column_name) AS DOUBLE)
+          - CAST(SUM(c) OVER (PARTITION BY column_name ORDER BY v) AS DOUBLE) / CAST(SUM(c) OVER (PARTITION BY column_name) AS DOUBLE) AS gap
+        FROM counted),
+      d AS (SELECT column_name, SUM(ABS(gap) * step) / GREATEST(ANY_VALUE(s), 0.001::DOUBLE) AS x FROM steps JOIN spread USING (column_name) GROUP BY 1)
+      SELECT column_name, ROUND(x, 9) AS drift_score, x >= 0.1 AS drift_detected FROM d""",
     "q8_verdict": f"WITH {DRIFT}, {VERDICT} SELECT * FROM verdict",
     "m7_sweep": f"WITH {CURVE} SELECT model, threshold_index, threshold, fn_cost, fp_cost, total_cost FROM curve",
     "m8_best_f": f"""WITH {CURVE}, best AS (
@@ -466,6 +473,8 @@ ORACLE: dict[str, str] = {
       'SKIPPED' AS drift_status, 'BASELINE_PIPELINE_VERIFICATION' AS trigger_reason FROM dirty""",
 }
 
+# Few addresses per card: the sketch counts them exactly here.
+ORACLE["a1_incremental"] = ORACLE["a1_windowed"]
 # The same results, whatever the bound above which a card counts as hot.
 for _name in ("j3_point_in_time", "j4_lookup", "e9_on_demand"):
     ORACLE[f"{_name}_hot"] = ORACLE[_name]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardmill.functions.columns import exact_avg, normalize_raw_event
-from cardmill.operators import batch, drift, evaluation, quality, retrieval, rolling, sampling, training
+from cardmill.operators import batch, drift, evaluation, quality, retrieval, rolling, sampling, training, windows
 from cardmill.operators.trees import CompiledEnsemble, Tree, TreeSet, shap_values
 from cardmill.plans import flow
 from cardmill.session import configure, scratch_dir
@@ -372,6 +372,20 @@ def a1_windowed(spark, sf_dir):
     return batch.batch_features(_tx(spark, sf_dir), _run_time(), mode="windowed")
 
 
+@query
+def a1_incremental(spark, sf_dir):
+    """A1 with true windows from stored days: a backfill, then two daily runs, each over its own day."""
+    path = _scratch(spark, "by-day")
+    _tx(spark, sf_dir).withColumn("day", windows.day_number()).write.partitionBy("day").parquet(path)
+    rows = spark.read.parquet(path)
+    stored = windows.DayPartials(_scratch(spark, "partials"))
+    last = rows.agg(F.max("day")).first()[0]
+    stored.update(rows.where(F.col("day") < last - 1), 0)
+    stored.update(rows.where(F.col("day") == last - 1), 1, 0)
+    stored.update(rows.where(F.col("day") == last), 2, 1)
+    return stored.features(spark, rows, 2, _run_time())
+
+
 @query
 def a2_balance(spark, sf_dir):
     """A2: class balance."""
@@ -530,6 +544,15 @@ def q7_drift(spark, sf_dir):
     return _column_drift(spark, sf_dir)
 
 
+@query
+def q7_distance(spark, sf_dir):
+    """Q7: distance drift of every numeric column between two halves of the month."""
+    rows = _tx(spark, sf_dir).select("event_time", "amount", "c2", "d4", "is_fraud")
+    before = F.col("event_time") < F.lit(DRIFT_SPLIT)
+    found = drift.distance_drift(rows.where(before).drop("event_time"), rows.where(~before).drop("event_time"))
+    return found.withColumn("drift_score", F.round("drift_score", 9))
+
+
 @query
 def q8_verdict(spark, sf_dir):
     """Q8: the verdict over the columns."""
