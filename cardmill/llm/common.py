@@ -8,6 +8,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,10 +55,40 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/cardmill/{name}-{uuid.uuid4().hex}"
 
 
+#: Folders written on behalf of the callers of ``noted``, innermost last.
+_NOTED: list[list[str]] = []
+
+
+@contextmanager
+def noted():
+    """Collects the folders that ``written`` makes inside the block."""
+    _NOTED.append([])
+    try:
+        yield _NOTED[-1]
+    finally:
+        _NOTED.pop()
+
+
+def dropped(spark: SparkSession, folders: list[str], still_read: DataFrame) -> list[str]:
+    """Delete folders that no plan of ``still_read`` reads from; the others are returned."""
+    files = [f.split(":", 1)[-1].lstrip("/") for f in still_read.inputFiles()]
+    kept = []
+    for path in folders:
+        inside = path.split(":", 1)[-1].lstrip("/") + "/"
+        if any(f.startswith(inside) for f in files):
+            kept.append(path)
+            continue
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return kept
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder: lineage ends there and lost executors cost nothing."""
     spark = df.sparkSession
     path = folder(spark, name)
+    if _NOTED:
+        _NOTED[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
