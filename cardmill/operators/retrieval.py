@@ -87,6 +87,20 @@ def lookup(df: DataFrame, card_id: str, key: str = "card_id") -> DataFrame:
     return df.where(F.col(key) == str(card_id))
 
 
+@dataclass(frozen=True)
+class History:
+    """One side of a point-in-time join: rows of ``features`` known from ``time`` on, used for at
+    most ``ttl_seconds``. ``names`` are the result's columns (default: those of the features),
+    ``matched`` one that says whether a row was found, whatever its values."""
+
+    rows: DataFrame
+    time: str
+    ttl_seconds: int
+    features: list[str]
+    names: list[str] | None = None
+    matched: str | None = None
+
+
 def point_in_time_join(
     entities: DataFrame,
     history: DataFrame,
@@ -101,90 +115,116 @@ def point_in_time_join(
 ) -> DataFrame:
     """Each entity row with the newest feature row at or before it and within the TTL.
 
-    Entities and features are merged into one time-ordered sequence per card, and the last
-    feature seen is carried forward. No pair of rows is ever formed, so the work is linear
-    in the rows however many features lie within the TTL.
+    See ``point_in_time_views``, of which this is the case of one history.
+    """
+    side = History(history, feature_time, ttl_seconds, features, matched=matched)
+    return point_in_time_views(entities, [side], key, entity_time, hot_rows, cell_seconds)
+
+
+def point_in_time_views(
+    entities: DataFrame,
+    histories: list[History],
+    key: str,
+    entity_time: str,
+    hot_rows: int = HOT_ROWS,
+    cell_seconds: int = 60,
+) -> DataFrame:
+    """Each entity row with the newest row at or before it of each history, if within its TTL.
+
+    Entities and all histories are merged into one time-ordered sequence per card, and the last
+    row seen of each history is carried forward. No pair of rows is ever formed, so the work is
+    linear in the rows however many lie within the TTL, and the entities are shuffled once
+    however many histories there are.
 
     A card with too many rows for one task is divided into cells of ``cell_seconds``. The
-    newest feature before each cell comes from a roll-up with one row per card and cell.
-    Among feature rows of the same time the largest by value is taken. ``matched`` names a
-    column that says whether a feature row was found, whatever its values.
+    newest rows before each cell come from a roll-up with one row per card and cell.
+    Among rows of one history of the same time the largest by value is taken.
     """
     points = entities.select(
         F.col(key),
         epoch_micros(F.col(entity_time)).alias("pit_t"),
         F.struct(*entities.columns).alias("entity"),
     )
-    vectors = history.where(F.col(key).isNotNull() & F.col(feature_time).isNotNull()).select(
-        F.col(key),
-        epoch_micros(F.col(feature_time)).alias("pit_t"),
-        F.struct(epoch_micros(F.col(feature_time)).alias("at"), *features).alias("vector"),
-    )
-    sequence = points.withColumn("vector", F.lit(None).cast(vectors.schema["vector"].dataType)).unionByName(
-        vectors.withColumn("entity", F.lit(None).cast(points.schema["entity"].dataType))
+    held = [f"vector{i}" for i in range(len(histories))]
+    sequence = points
+    for name, side in zip(held, histories):
+        at = epoch_micros(F.col(side.time))
+        known = side.rows.where(F.col(key).isNotNull() & F.col(side.time).isNotNull())
+        known = known.select(F.col(key), at.alias("pit_t"), F.struct(at.alias("at"), *side.features).alias(name))
+        sequence = sequence.unionByName(known, allowMissingColumns=True)
+    hot = hot_keys(sequence.select(key).where(F.col(key).isNotNull()), key, hot_rows)
+    hot = F.broadcast(hot.withColumn("is_hot", F.lit(True)))
+
+    cell = F.floor(F.col("pit_t") / F.lit(cell_seconds * MICROS)).cast("bigint")
+    # A card that fits in one task stays whole, in a single cell. Entities without a
+    # card match nothing and are only spread out.
+    spread = F.pmod(F.xxhash64("entity"), F.lit(4096))
+    celled = sequence.join(hot, key, "left").withColumn(
+        "cell", F.when(F.col("is_hot"), cell).when(F.col(key).isNull(), spread).otherwise(F.lit(-1))
     )
-    keys = points.select(key).unionAll(vectors.select(key)).where(F.col(key).isNotNull())
-    hot = F.broadcast(hot_keys(keys, key, hot_rows).withColumn("is_hot", F.lit(True)))
-
-    def celled(df: DataFrame) -> DataFrame:
-        cell = F.floor(F.col("pit_t") / F.lit(cell_seconds * MICROS)).cast("bigint")
-        # A card that fits in one task stays whole, in a single cell. Entities without a
-        # card match nothing and are only spread out.
-        spread = F.pmod(F.xxhash64("entity"), F.lit(4096))
-        return df.join(hot, key, "left").withColumn(
-            "cell", F.when(F.col("is_hot"), cell).when(F.col(key).isNull(), spread).otherwise(F.lit(-1))
-        )
 
-    # The newest vector before each cell of a divided card.
-    in_cells = celled(sequence).where(F.col("is_hot"))
-    per_cell = in_cells.groupBy(key, "cell").agg(
-        F.max("vector").alias("cell_vector"), F.count("entity").alias("cell_points")
+    # The newest rows before each cell of a divided card.
+    per_cell = celled.where(F.col("is_hot")).groupBy(key, "cell").agg(
+        *[F.max(name).alias(name) for name in held], F.count("entity").alias("cell_points")
     )
     earlier = Window.partitionBy(key).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    brought = (
-        per_cell.withColumn("vector", F.last("cell_vector", ignorenulls=True).over(earlier))
-        .where((F.col("cell_points") > 0) & F.col("vector").isNotNull())
-        .select(key, "cell", F.lit(0).alias("part"), F.col("vector.at").alias("pit_t"), "vector")
-        .withColumn("entity", F.lit(None).cast(points.schema["entity"].dataType))
-    )
+    brought = per_cell.withColumns({name: F.last(name, ignorenulls=True).over(earlier) for name in held})
+    brought = brought.withColumn("pit_t", F.greatest(*[F.col(f"{name}.at") for name in held + held[:1]]))
+    brought = brought.where((F.col("cell_points") > 0) & F.col("pit_t").isNotNull()).drop("cell_points")
 
     # Within one time: features before entities, so that "at or before" is inclusive.
-    part = F.when(F.col("vector").isNotNull(), 0).otherwise(1)
-    rows = celled(sequence).withColumn("part", part).drop("is_hot").unionByName(brought)
+    rows = celled.drop("is_hot").unionByName(brought, allowMissingColumns=True)
+    rows = rows.withColumn("part", F.col("entity").isNotNull().cast("int"))
     so_far = (
         Window.partitionBy(key, "cell")
-        .orderBy("pit_t", "part", "vector")
+        .orderBy("pit_t", "part", *held)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    found = (
-        rows.repartition(key, "cell")
-        .withColumn("found", F.last("vector", ignorenulls=True).over(so_far))
-        .where(F.col("part") == 1)
-    )
-    fresh = F.col("found.at") >= F.col("pit_t") - F.lit(ttl_seconds * MICROS)
-    flag = [F.coalesce(fresh, F.lit(False)).alias(matched)] if matched else []
-    return found.select(
-        "entity.*", *[F.when(fresh, F.col(f"found.{name}")).alias(name) for name in features], *flag
-    )
+    found = rows.repartition(key, "cell")
+    found = found.select("entity", "pit_t", "part", *[F.last(v, ignorenulls=True).over(so_far).alias(v) for v in held])
+    columns = []
+    for name, side in zip(held, histories):
+        fresh = F.col(f"{name}.at") >= F.col("pit_t") - F.lit(side.ttl_seconds * MICROS)
+        for feature, own in zip(side.features, side.names or side.features):
+            columns.append(F.when(fresh, F.col(name).getField(feature)).alias(own))
+        if side.matched:
+            columns.append(F.coalesce(fresh, F.lit(False)).alias(side.matched))
+    return found.where(F.col("part") == 1).select("entity.*", *columns)
 
 
 def historical_features(
-    entities: DataFrame, names: list[str], sources: dict[str, DataFrame], entity_time: str = "event_timestamp"
+    entities: DataFrame,
+    names: list[str],
+    sources: dict[str, DataFrame],
+    entity_time: str = "event_timestamp",
+    full_names: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Point-in-time values of ``view:feature`` names; ``sources`` holds each view's history."""
+    """Point-in-time values of ``view:feature`` names; ``sources`` holds each view's history.
+
+    Views of the same entity are joined in one pass. ``full_names`` calls a column
+    ``view__feature``; without it a name that occurs twice is an error.
+    """
     wanted: dict[str, list[str]] = {}
     for name in names:
         view, feature = name.split(":")
         if feature not in VIEWS[view].features:
             raise ValueError(f"{view} has no feature {feature}")
         wanted.setdefault(view, []).append(feature)
+    own = {view: [f"{view}__{f}" if full_names else f for f in features] for view, features in wanted.items()}
+    columns = [*entities.columns, *[name for view in own.values() for name in view]]
+    twice = sorted({name for name in columns if columns.count(name) > 1})
+    if twice:
+        raise ValueError(f"columns occur twice: {', '.join(twice)}")
     result = entities
-    for view_name, features in wanted.items():
-        view = VIEWS[view_name]
-        result = point_in_time_join(
-            result, sources[view_name], features, view.entity, entity_time, view.timestamp, view.ttl_seconds
-        )
-    return result
+    for entity in dict.fromkeys(VIEWS[view].entity for view in wanted):
+        sides = [
+            History(sources[view], VIEWS[view].timestamp, VIEWS[view].ttl_seconds, features, own[view])
+            for view, features in wanted.items()
+            if VIEWS[view].entity == entity
+        ]
+        result = point_in_time_views(result, sides, entity, entity_time, hot_rows)
+    return result.select(columns)
 
 
 def with_lookup_defaults(requests: DataFrame, online_batch: DataFrame, hot_rows: int = JOIN_HOT_ROWS) -> DataFrame:

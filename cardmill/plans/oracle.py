@@ -211,7 +211,16 @@ def equal_times() -> str:
 _W = f"WITH {TX}, w AS ({rolling()})"
 _STREAM_COUNTS = "transaction_id, card_id, trans_count_1m, trans_count_5m, trans_count_1h"
 _REPLAYED = "make_timestamp(CAST(ROUND((1704067200.0::DOUBLE + transaction_dt % 86400.0::DOUBLE) * 1000000.0::DOUBLE) AS BIGINT))"
-
+_TWO_VIEWS = f"""WITH {TX}, early AS (SELECT * FROM tx WHERE event_time < TIMESTAMP '2024-01-16 00:00:00'),
+  b AS ({batch('early', '2024-01-16')} UNION ALL {batch('tx')}), s AS ({rolling()}),
+  e AS (SELECT transaction_id, card_id,
+          event_time + CASE WHEN transaction_id % 3 = 0 THEN INTERVAL 10 DAY ELSE INTERVAL 1 HOUR END AS event_timestamp FROM tx)
+  SELECT e.transaction_id, e.card_id, e.event_timestamp,
+    CASE WHEN s.last_updated >= e.event_timestamp - INTERVAL 7 DAY THEN s.trans_count_1h END AS card_stream_features__trans_count_1h,
+    CASE WHEN s.last_updated >= e.event_timestamp - INTERVAL 7 DAY THEN s.max_amount_24h END AS card_stream_features__max_amount_24h,
+    b.trans_count_30d AS card_batch_features__trans_count_30d, b.max_amount_30d AS card_batch_features__max_amount_30d
+  FROM e ASOF LEFT JOIN s ON e.card_id = s.card_id AND e.event_timestamp >= s.last_updated
+  ASOF LEFT JOIN b ON e.card_id = b.card_id AND e.event_timestamp >= b.event_timestamp"""
 
 
 def fixed_trees(a: str, c: str) -> tuple[str, str, str]:
@@ -298,6 +307,8 @@ ORACLE: dict[str, str] = {
       b AS ({batch('early', '2024-01-16')})
       SELECT transaction_id, tx.card_id, event_time AS event_timestamp, trans_count_7d, max_amount_30d
       FROM tx LEFT JOIN b ON tx.card_id = b.card_id AND b.event_timestamp <= tx.event_time""",
+    "e8_views": _TWO_VIEWS,
+    "e8_views_hot": _TWO_VIEWS,
     "e9_on_demand": f"""WITH {DIRTY}, b AS ({batch('tx')}), w AS ({rolling()}), s AS ({latest('w', 'card_id', 'last_updated DESC')}),
       r AS (SELECT d.transaction_id, d.card_id, ABS(d.amount) AS current_amount, avg_amount_30d, max_amount_30d, trans_count_5m,
               avg_amount_24h, COALESCE(avg_amount_24h, 0.0) AS a24, COALESCE(avg_amount_30d, 0.0) AS a30,

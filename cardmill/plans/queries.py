@@ -308,6 +308,33 @@ def e8_historical(spark, sf_dir):
     return retrieval.historical_features(entities, names, {"card_batch_features": history})
 
 
+def _two_views(spark, sf_dir, hot_rows):
+    """Batch and stream features an hour after every transaction, or ten days after every third."""
+    rows = _tx(spark, sf_dir)
+    later = F.when(F.col("transaction_id") % 3 == 0, F.expr("INTERVAL 10 DAYS")).otherwise(F.expr("INTERVAL 1 HOUR"))
+    entities = rows.select("transaction_id", "card_id", (F.col("event_time") + later).alias("event_timestamp"))
+    sources = {"card_batch_features": _two_runs(rows), "card_stream_features": rolling.rolling_features(rows)}
+    names = [
+        "card_stream_features:trans_count_1h",
+        "card_batch_features:trans_count_30d",
+        "card_stream_features:max_amount_24h",
+        "card_batch_features:max_amount_30d",
+    ]
+    return retrieval.historical_features(entities, names, sources, full_names=True, hot_rows=hot_rows)
+
+
+@query
+def e8_views(spark, sf_dir):
+    """Features of two views at the time of each request, in one pass."""
+    return _two_views(spark, sf_dir, retrieval.HOT_ROWS)
+
+
+@query
+def e8_views_hot(spark, sf_dir):
+    """E8 with every card above ten rows divided into cells of a minute."""
+    return _two_views(spark, sf_dir, 10)
+
+
 ON_DEMAND_NAMES = [
     "card_batch_features:avg_amount_30d",
     "card_batch_features:max_amount_30d",

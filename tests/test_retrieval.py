@@ -42,6 +42,41 @@ def test_point_in_time_keeps_entities_without_card(spark):
     assert {r.id: r.v for r in rows} == {1: None, 2: 9.0}
 
 
+@pytest.mark.parametrize("hot_rows", [10**9, 30, 0])
+def test_several_histories_match_loop(spark, hot_rows):
+    rng = random.Random(7)
+    cards = ["hot", "hot", "a", None]
+    entities = [(i, rng.choice(cards), at(rng.randrange(300) * 20)) for i in range(200)]
+    sides = [[(rng.choice(["hot", "a", "b", None]), at(rng.randrange(300) * 20), i) for i in range(n)] for n in (120, 40, 0)]
+    ttls = [600, 3000, 100]
+    edf = spark.createDataFrame(entities, "id int, card_id string, ts timestamp")
+    histories = [
+        R.History(spark.createDataFrame(rows, "card_id string, t timestamp, v int"), "t", ttl, ["v"], [f"v{n}"], f"m{n}")
+        for n, (rows, ttl) in enumerate(zip(sides, ttls))
+    ]
+    got = R.point_in_time_views(edf, histories, "card_id", "ts", hot_rows=hot_rows)
+    assert got.columns == ["id", "card_id", "ts", "v0", "m0", "v1", "m1", "v2", "m2"]
+    found = {r.id: r for r in got.collect()}
+    assert len(found) == len(entities)
+    for i, card, when in entities:
+        for n, (rows, ttl) in enumerate(zip(sides, ttls)):
+            seen = [(t, v) for c, t, v in rows if c is not None and c == card and t <= when]
+            last = max(seen) if seen and max(seen)[0] >= when - dt.timedelta(seconds=ttl) else None
+            assert (found[i][f"v{n}"], found[i][f"m{n}"]) == (last and last[1], last is not None), (i, n)
+
+
+def test_several_views_shuffle_entities_once(spark):
+    entities = spark.createDataFrame([("a", at(5))], "card_id string, event_timestamp timestamp")
+    history = spark.createDataFrame([("a", at(1), 1)], "card_id string, t timestamp, v int")
+
+    def windows(n):
+        sides = [R.History(history, "t", 60, ["v"], [f"v{i}"]) for i in range(n)]
+        plan = R.point_in_time_views(entities, sides, "card_id", "event_timestamp")._jdf.queryExecution().sparkPlan().toString()
+        return sum(line.lstrip(" :+-").startswith("Window") for line in plan.split("\n"))
+
+    assert windows(1) == windows(3)
+
+
 def batch_rows(spark):
     return spark.createDataFrame(
         [("11556", at(0), 3, 12, 150.0, 500.0, 1, 1.5), ("11556", at(9), 4, 13, 99.0, 400.0, 2, float("nan"))],
@@ -60,6 +95,15 @@ def test_historical_features_by_name(spark):
         R.historical_features(entities, ["card_batch_features:nope"], {})
 
 
+def test_historical_names_must_differ(spark):
+    entities = spark.createDataFrame([("11556", at(5), 1)], "card_id string, event_timestamp timestamp, trans_count_7d int")
+    names, sources = ["card_batch_features:trans_count_7d"], {"card_batch_features": batch_rows(spark)}
+    with pytest.raises(ValueError):
+        R.historical_features(entities, names, sources)
+    row = R.historical_features(entities, names, sources, full_names=True).first()
+    assert (row["trans_count_7d"], row["card_batch_features__trans_count_7d"]) == (1, 3)
+
+
 def test_materialize_takes_newest_in_range(spark):
     history = batch_rows(spark)
     assert R.materialize(history, R.CARD_BATCH, at(0), at(5)).first().trans_count_7d == 3
