@@ -278,6 +278,10 @@ ORACLE: dict[str, str] = {
         'unknown' AS card_type, 'unknown' AS card_category, 'unknown' AS p_emaildomain,
         COALESCE(addr1, 0.0) AS addr1, CAST(0.0 AS DOUBLE) AS c1, COALESCE(c2, 0.0) AS c2 FROM dirty""",
     "p12_card": f"WITH {TX} SELECT transaction_id, card_id, amount FROM tx WHERE card_id = '8'",
+    "p12_online": f"""{_W}, l AS ({latest('w', 'card_id', 'last_updated DESC')})
+      SELECT * FROM l WHERE card_id IN ('8', '15', '21', 'no such card')""",
+    "p12_keyed": f"""WITH {TX} SELECT transaction_id, card_id, amount, event_time FROM tx
+      WHERE card_id IN ('8', '15', '21', 'no such card')""",
     "j2_training": f"""WITH {TX}, b AS ({batch('tx')})
       SELECT tx.card_id, transaction_id AS "TransactionID", is_fraud,
         CAST(trans_count_7d AS DOUBLE) AS trans_count_7d, CAST(trans_count_30d AS DOUBLE) AS trans_count_30d,

@@ -46,6 +46,10 @@ def _zoneless(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in times}) if times else df
 
 
+#: Cards of the point look-ups; the last has no rows.
+LOOKUP_CARDS = ["8", "15", "21", "no such card"]
+
+
 def _scratch(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/cardmill/{name}-{uuid.uuid4().hex}"
 
@@ -143,9 +147,8 @@ def s11_batch_quarantine(spark, sf_dir):
     return spark.read.parquet(path).select("card_id", "trans_count_30d", F.array_join(quality.REASONS, ",").alias("reasons"))
 
 
-@query
-def s13_online_upsert(spark, sf_dir):
-    """The latest vector per card after one upsert per week and a compaction."""
+def _online_by_week(spark, sf_dir):
+    """An online table after one upsert per week and a compaction, with a delta on top."""
     table = sinks.OnlineTable(
         _scratch(spark, "online"), stream_features.VECTOR_SCHEMA, "card_id", ("last_updated", "transaction_id"), 2
     )
@@ -156,7 +159,28 @@ def s13_online_upsert(spark, sf_dir):
     for number in range(5):
         table.upsert(vectors.where(week == number), number)
         table.compact_if_due(spark, number)
-    return table.read(spark)
+    return table
+
+
+@query
+def s13_online_upsert(spark, sf_dir):
+    """The latest vector per card after one upsert per week and a compaction."""
+    return _online_by_week(spark, sf_dir).read(spark)
+
+
+@query
+def p12_online(spark, sf_dir):
+    """The latest vectors of some cards, from the files that can hold them."""
+    return _online_by_week(spark, sf_dir).lookup(spark, LOOKUP_CARDS)
+
+
+@query
+def p12_keyed(spark, sf_dir):
+    """The transactions of some cards from a table laid out by card."""
+    rows = _tx(spark, sf_dir).select("transaction_id", "card_id", "amount", "event_time")
+    table = sinks.KeyedTable(_scratch(spark, "by-card"), rows.schema, "card_id")
+    table.write(rows)
+    return table.lookup(spark, LOOKUP_CARDS)
 
 
 @query

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,15 +69,18 @@ class BatchParts:
     def __init__(self, path: str, schema: T.StructType, part: str = "batch_id", day: str | None = None):
         self.path, self.schema, self.part, self.day = path, schema, part, day
 
-    def write(self, df: DataFrame, number: int, partition_by: tuple[str, ...] = ()) -> None:
-        """Write a batch. A table with a ``day`` column also notes, in one folder per day, the
-        batches that have rows of it."""
+    def write(
+        self, df: DataFrame, number: int, partition_by: tuple[str, ...] = (), folders: tuple[str, ...] = ()
+    ) -> None:
+        """Write a batch, in folders by ``partition_by``, or by ``folders`` with the rows left where
+        they are. A table with a ``day`` column also notes, in one folder per day, the batches that
+        have rows of it."""
         if partition_by:
             # Adaptive execution sizes the files and splits a large partition value.
             rows = df.hint("rebalance", *partition_by)
         else:
             rows = df
-        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.path}/{self.part}={number}")
+        rows.write.mode("overwrite").partitionBy(*partition_by, *folders).parquet(f"{self.path}/{self.part}={number}")
         if self.day:
             fs, spark = None, df.sparkSession
             for row in df.select(F.col(self.day).cast("string")).distinct().toLocalIterator():
@@ -126,40 +129,116 @@ class BatchParts:
         return read.parquet(*paths).select(self.schema.fieldNames())
 
 
+BUCKET = "bucket"
+
+
+def bucket_of(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("int")
+
+
+def buckets_of(spark: SparkSession, keys: list, buckets: int) -> list[int]:
+    """Buckets that the rows of some keys lie in."""
+    if not keys:
+        return []
+    one = F.explode(F.array(*[F.lit(str(key)) for key in keys])).alias("key")
+    return [row[0] for row in spark.range(1).select(one).select(bucket_of(F.col("key"), buckets)).distinct().collect()]
+
+
+def bucket_folders(spark: SparkSession, path: str, numbers: list[int]) -> list[str]:
+    """Folders of the given buckets that exist."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{BUCKET}={{{','.join(map(str, numbers))}}}")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return [status.getPath().toString() for status in found]
+
+
+class KeyedTable:
+    """Rows laid out for look-ups by key.
+
+    A key's hash names its folder, so a look-up lists and opens that folder only; the files are
+    sorted by key, so it decodes few pages of them. The rows of a hot key are cut into several files.
+    """
+
+    def __init__(self, path: str, schema: T.StructType, key: str, buckets: int = 64):
+        self.path, self.schema, self.key, self.buckets = path, schema, key, buckets
+
+    def write(self, df: DataFrame) -> None:
+        """Replace the table. Missing keys are stored, too, in the folder of the empty key."""
+        stored = df.select(self.schema.fieldNames())
+        placed = stored.withColumn(BUCKET, bucket_of(F.coalesce(F.col(self.key).cast("string"), F.lit("")), self.buckets))
+        # Adaptive execution splits a bucket that is too large for one file.
+        rows = placed.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, self.key)
+        rows.write.mode("overwrite").partitionBy(BUCKET).parquet(self.path)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(self.schema).parquet(self.path).select(self.schema.fieldNames())
+
+    def lookup(self, spark: SparkSession, keys: list) -> DataFrame:
+        """All rows of the given keys."""
+        folders = bucket_folders(spark, self.path, buckets_of(spark, keys, self.buckets)) if keys else []
+        if not folders:
+            return spark.createDataFrame([], self.schema)
+        rows = spark.read.schema(self.schema).option("basePath", self.path).parquet(*folders)
+        return rows.where(F.col(self.key).isin([str(key) for key in keys])).select(self.schema.fieldNames())
+
+
 class OnlineTable:
     """The latest vector per key, as a compacted base and one delta per batch.
 
     A batch writes only its own keys. Reading takes the newest of base and deltas; every
     ``compact_every`` batches they are merged into a new base version. Nothing is updated in
-    place, so a failed writer leaves the last complete version readable.
+    place, so a failed writer leaves the last complete version readable. The base is cut into
+    ``buckets`` by the key's hash and sorted by key, so look-ups open the files of their keys only;
+    deltas are small and there are at most ``compact_every`` of them.
     """
 
-    def __init__(self, path: str, schema: T.StructType, key: str, order: tuple[str, ...], compact_every: int = 20):
-        self.key, self.order, self.compact_every = key, order, compact_every
+    def __init__(
+        self,
+        path: str,
+        schema: T.StructType,
+        key: str,
+        order: tuple[str, ...],
+        compact_every: int = 20,
+        buckets: int = 64,
+    ):
+        self.key, self.order, self.compact_every, self.buckets = key, order, compact_every, buckets
         self.base = BatchParts(f"{path}/base", schema, "version")
         self.delta = BatchParts(f"{path}/delta", schema)
 
     def upsert(self, updates: DataFrame, batch_id: int) -> None:
-        self.delta.write(latest_per_key(updates, self.key, *self.order), batch_id)
+        self.delta.write(latest_per_key(updates, self.key, *self.order).sortWithinPartitions(self.key), batch_id)
 
     def next_number(self, spark: SparkSession) -> int:
         """The number after the last one stored."""
         return max([-1, *self.base.numbers(spark)[-1:], *self.delta.numbers(spark)[-1:]]) + 1
 
-    def _rows(self, spark: SparkSession, before: int | None) -> DataFrame:
+    def _rows(self, spark: SparkSession, before: int | None, buckets: list[int] | None = None) -> DataFrame:
         versions = self.base.numbers(spark, before=before)
         if not versions:
             return self.delta.read(spark, before=before)
         newest = versions[-1]
-        base = self.base.read(spark, after=newest - 1, before=newest + 1)
+        path = f"{self.base.path}/{self.base.part}={newest}"
+        base = self.base._load(spark, [path] if buckets is None else bucket_folders(spark, path, buckets))
         return base.unionByName(self.delta.read(spark, after=newest, before=before))
 
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         return latest_per_key(self._rows(spark, before), self.key, *self.order)
 
-    def newest(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """Only the key and its newest order value; reads two columns."""
-        return self._rows(spark, before).groupBy(self.key).agg(F.max(self.order[0]).alias("newest"))
+    def lookup(self, spark: SparkSession, keys: list, before: int | None = None) -> DataFrame:
+        """The newest row of each given key that has one."""
+        rows = self._rows(spark, before, buckets_of(spark, keys, self.buckets))
+        return latest_per_key(rows.where(F.col(self.key).isin([str(key) for key in keys])), self.key, *self.order)
+
+    def newest(self, spark: SparkSession, before: int | None = None, keys: DataFrame | None = None) -> DataFrame:
+        """Only the key and its newest order value; reads two columns.
+
+        With ``keys``, a frame that has the key column, only the base files that can hold them
+        are read; at most one number per bucket reaches the driver for that.
+        """
+        buckets = None
+        if keys is not None and self.base.numbers(spark, before=before):
+            own = keys.where(F.col(self.key).isNotNull()).select(bucket_of(F.col(self.key), self.buckets)).distinct()
+            buckets = [row[0] for row in own.collect()]
+        return self._rows(spark, before, buckets).groupBy(self.key).agg(F.max(self.order[0]).alias("newest"))
 
     def compact(self, spark: SparkSession, batch_id: int) -> None:
         """Merge everything up to and including ``batch_id`` into a new base version.
@@ -168,7 +247,10 @@ class OnlineTable:
         versions and the deltas since the older one; a reader of the older version is not cut off.
         """
         older = self.base.numbers(spark, before=batch_id)
-        self.base.write(self.read(spark, before=batch_id + 1), batch_id)
+        merged = self.read(spark, before=batch_id + 1)
+        merged = merged.withColumn(BUCKET, bucket_of(F.coalesce(F.col(self.key).cast("string"), F.lit("")), self.buckets))
+        merged = merged.repartition(BUCKET).sortWithinPartitions(BUCKET, self.key)
+        self.base.write(merged, batch_id, folders=(BUCKET,))
         if older:
             self.base.delete(spark, self.base.numbers(spark, before=older[-1]))
             self.delta.delete(spark, self.delta.numbers(spark, before=older[-1] + 1))

@@ -134,7 +134,7 @@ class FeatureBatch:
         The newest time before an event comes from the stored one, from a roll-up of the blocks
         of arrivals before its own and from its block; no task sees all arrivals of a card.
         """
-        newest = self.tables.online.newest(parsed.sparkSession, before=batch_id)
+        newest = self.tables.online.newest(parsed.sparkSession, batch_id, parsed.select("card_id"))
         valid = F.size(REASONS) == 0
         block = ["card_id", "arrived_at", "arrived_in", "arrival_block"]
         rows = join_per_key(parsed, newest, "card_id").withColumn("arrival_block", F.shiftright("arrived_no", ARRIVAL_BITS))
