@@ -112,21 +112,30 @@ class Coder:
 
 
 def token_table(docs: DataFrame, tokenizer: str, end_id: int, id_column: str, text_column: str) -> DataFrame:
-    """A written table of doc_id, row, n and the deflated ids (with ``end_id``) of each document."""
+    """A written table of doc_id, row, n and the deflated ids (with ``end_id``) of each document,
+    and one row per task with the ids it made and how often each (``counts``)."""
     rows = numbered(docs, F.col(id_column).cast("long").alias("doc_id"), text_of(text_column).alias("text"))
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches):
-        own = encoder(tokenizer)
+        own, counts = encoder(tokenizer), np.zeros(0, np.int64)
         for batch in batches:
             ids = [np.frombuffer(b + end, "<u4") for b in own.batch(batch.column("text").to_pylist())]
+            found = np.bincount(np.concatenate(ids)) if ids else counts
+            if len(found) > len(counts):
+                counts = np.pad(counts, (0, len(found) - len(counts)))
+            counts[: len(found)] += found
             sizes = pa.array([len(x) for x in ids], pa.int64())
             packed = pa.array([deflate(x) for x in ids], pa.binary())
-            columns = [batch.column("doc_id"), batch.column("row"), sizes, packed]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n", "ids"])
+            columns = [batch.column("doc_id"), batch.column("row"), sizes, packed, pa.nulls(len(ids), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names)
+        there = np.flatnonzero(counts)
+        pairs = pa.array([np.stack([there, counts[there]]).astype("<i8").tobytes()], pa.binary())
+        none = [pa.nulls(1, kind) for kind in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+        yield pa.RecordBatch.from_arrays([*none, pairs], names)
 
-    schema = "doc_id long, row long, n long, ids binary"
-    return written(rows.mapInArrow(encode, schema), "token-ids")
+    names = ["doc_id", "row", "n", "ids", "counts"]
+    return written(rows.mapInArrow(encode, "doc_id long, row long, n long, ids binary, counts binary"), "token-ids")
 
 
 def deflate(ids: np.ndarray) -> bytes:
@@ -161,16 +170,12 @@ def write_tokens(
     tokens = token_table(docs, tokenizer, end_id, id_column, text_column)
 
     def count(frames):
-        total = np.zeros(0, np.int64)
         for frame in frames:
-            ids = [inflate(data, n) for data, n in zip(frame["ids"], frame["n"])]
-            own = np.bincount(np.concatenate(ids)) if ids else total
-            size = max(len(own), len(total))
-            total = np.pad(total, (0, size - len(total))) + np.pad(own, (0, size - len(own)))
-        there = np.flatnonzero(total)
-        yield pd.DataFrame({"id": there, "n": total[there]})
-
-    counted = tokens.select("ids", "n").mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n")).collect()
+            for data in frame["counts"]:
+                ids, n = np.frombuffer(data, "<i8").reshape(2, -1)
+                yield pd.DataFrame({"id": ids, "n": n})
+
+    counted = tokens.select("counts").where("counts IS NOT NULL").mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n")).collect()
     counts = np.zeros(max([r[0] for r in counted], default=0) + 1, np.int64)
     counts[[r[0] for r in counted]] = [r[1] for r in counted]
     freq = frequencies(counts)
@@ -197,7 +202,7 @@ def write_tokens(
         if ids:
             yield close()
 
-    ordered = tokens.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row").drop("row")
+    ordered = tokens.where("counts IS NULL").drop("counts").repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row").drop("row")
     blocks = ordered.mapInArrow(encode, "first long, n_docs long, n_ids long, docs binary, data binary")
     blocks = blocks.withColumn("part", F.spark_partition_id())
     blocks.write.option("compression", "uncompressed").parquet(f"{path}/blocks")
