@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from cardmill.functions.columns import amount_ratio, columns_except, exceeds, or_default
 from cardmill.operators.batch import BATCH_FEATURES, class_balance, first_per_key
+from cardmill.operators.boosting import Growth, fit_boosted
 from cardmill.operators.evaluation import (
     FALSE_POSITIVE_COST,
     best_thresholds,
@@ -89,29 +90,34 @@ def training_set(
 
 @dataclass
 class FraudEnsemble:
-    """M3: two fitted members, their weights and the decision threshold."""
+    """M3: two fitted members, their weights and the decision threshold.
+
+    The second one is a forest or the trees of the leaf-wise booster.
+    """
 
     boosted: GBTClassificationModel
-    forest: RandomForestClassificationModel
+    second: RandomForestClassificationModel | TreeSet
     feature_names: list[str]
     boosted_weight: float = 0.5
-    forest_weight: float = 0.5
+    second_weight: float = 0.5
     threshold: float = 0.5
 
     def score(self, df: DataFrame) -> DataFrame:
-        """Add ``boosted_score``, ``forest_score`` and the blended ``fraud_score``."""
+        """Add ``boosted_score``, ``second_score`` and the blended ``fraud_score``."""
         assembled = VectorAssembler(inputCols=self.feature_names, outputCol="features").transform(df)
-        both = self.forest.transform(self.boosted.transform(assembled))
+        both = self.boosted.transform(assembled)
 
         def positive(column: str) -> Column:
             return vector_to_array(F.col(column))[1]
 
+        if isinstance(self.second, TreeSet):
+            second = self.second.score()
+        else:
+            both, second = self.second.transform(both), positive("p_forest")
         return blended(
-            both.withColumns(
-                {"boosted_score": positive("p_boosted"), "forest_score": positive("p_forest")}
-            ),
-            {"boosted_score": self.boosted_weight, "forest_score": self.forest_weight},
-        ).select(*df.columns, "boosted_score", "forest_score", "fraud_score")
+            both.withColumns({"boosted_score": positive("p_boosted"), "second_score": second}),
+            {"boosted_score": self.boosted_weight, "second_score": self.second_weight},
+        ).select(*df.columns, "boosted_score", "second_score", "fraud_score")
 
     def predict(self, df: DataFrame, threshold: float | None = None) -> DataFrame:
         """M4: add the label at the tuned threshold, or at another one."""
@@ -120,20 +126,24 @@ class FraudEnsemble:
 
     def compiled(self, spark: SparkSession, path: str) -> CompiledEnsemble:
         """The same scores as column expressions; the members' nodes are read from files in ``path``."""
-        boosted, forest = (
-            TreeSet.of(spark, model, self.feature_names, f"{path}/{name}")
-            for name, model in (("boosted", self.boosted), ("forest", self.forest))
-        )
-        return CompiledEnsemble(boosted, forest, self.boosted_weight, self.forest_weight, self.threshold)
+        boosted = TreeSet.of(spark, self.boosted, self.feature_names, f"{path}/boosted")
+        second = self.second
+        if not isinstance(second, TreeSet):
+            second = TreeSet.of(spark, second, self.feature_names, f"{path}/forest")
+        return CompiledEnsemble(boosted, second, self.boosted_weight, self.second_weight, self.threshold)
 
     def save(self, spark: SparkSession, path: str) -> None:
         self.boosted.write().overwrite().save(f"{path}/boosted")
-        self.forest.write().overwrite().save(f"{path}/forest")
+        if isinstance(self.second, TreeSet):
+            self.second.write(spark, f"{path}/{self.second_kind}")
+        else:
+            self.second.write().overwrite().save(f"{path}/{self.second_kind}")
         settings = {
             "feature_names": self.feature_names,
             "boosted_weight": self.boosted_weight,
-            "forest_weight": self.forest_weight,
+            "second_weight": self.second_weight,
             "threshold": self.threshold,
+            "second_kind": self.second_kind,
         }
         spark.createDataFrame([(json.dumps(settings),)], "value string").coalesce(1).write.mode("overwrite").text(
             f"{path}/settings"
@@ -142,11 +152,15 @@ class FraudEnsemble:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FraudEnsemble:
         settings = json.loads(spark.read.text(f"{path}/settings").first().value)
-        return cls(
-            GBTClassificationModel.load(f"{path}/boosted"),
-            RandomForestClassificationModel.load(f"{path}/forest"),
-            **settings,
-        )
+        if settings.pop("second_kind") == "leafwise":
+            second = TreeSet.read(spark, f"{path}/leafwise", settings["feature_names"], "sigmoid")
+        else:
+            second = RandomForestClassificationModel.load(f"{path}/forest")
+        return cls(GBTClassificationModel.load(f"{path}/boosted"), second, **settings)
+
+    @property
+    def second_kind(self) -> str:
+        return "leafwise" if isinstance(self.second, TreeSet) else "forest"
 
 
 def blended(df: DataFrame, weights: dict[str, float]) -> DataFrame:
@@ -165,8 +179,14 @@ def fit_ensemble(
     depth: int = 6,
     rate: float = 0.05,
     seed: int = 42,
+    second: str = "leafwise",
 ) -> FraudEnsemble:
-    """M2: boosted trees and a random forest, positives weighted by the class balance (A2)."""
+    """M2: boosted trees and a ``second`` learner, positives weighted by the class balance (A2).
+
+    ``leafwise`` is the second-order booster of at most 31 leaves a tree, ``forest`` a random forest.
+    """
+    if second not in ("leafwise", "forest"):
+        raise ValueError(f"no learner {second!r}")
     weight = class_balance(train, TARGET).first().positive_weight
     rows = VectorAssembler(inputCols=features, outputCol="features").transform(
         train.withColumn("row_weight", F.when(F.col(TARGET) == 1, float(weight)).otherwise(1.0))
@@ -174,10 +194,9 @@ def fit_ensemble(
     rows = rows.select("features", F.col(TARGET).cast("double").alias("label"), "row_weight")
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     common = {"maxDepth": depth, "seed": seed, "weightCol": "row_weight"}
-    learners = {
-        "boosted": GBTClassifier(maxIter=trees, stepSize=rate, **common),
-        "forest": RandomForestClassifier(numTrees=trees, **common),
-    }
+    learners = {"boosted": GBTClassifier(maxIter=trees, stepSize=rate, **common)}
+    if second == "forest":
+        learners["forest"] = RandomForestClassifier(numTrees=trees, **common)
     fitted = {
         name: learner.setProbabilityCol(f"p_{name}")
         .setRawPredictionCol(f"raw_{name}")
@@ -186,14 +205,17 @@ def fit_ensemble(
         for name, learner in learners.items()
     }
     rows.unpersist()
-    return FraudEnsemble(fitted["boosted"], fitted["forest"], list(features))
+    if second == "leafwise":
+        positive = F.when(F.col(TARGET) == 1, float(weight)).otherwise(1.0)
+        fitted[second] = fit_boosted(train, features, F.col(TARGET), positive, Growth(trees, depth, rate=rate))
+    return FraudEnsemble(fitted["boosted"], fitted[second], list(features))
 
 
-def member_scores(scored: DataFrame) -> DataFrame:
+def member_scores(scored: DataFrame, second: str = "leafwise") -> DataFrame:
     """Long table ``model, is_fraud, score, amount`` of the members and the blend."""
     models = {
         "boosted": "boosted_score",
-        "forest": "forest_score",
+        second: "second_score",
         "ensemble_default_05": "fraud_score",
         "ensemble_optimal": "fraud_score",
     }
@@ -208,6 +230,7 @@ def train_ensemble(
     rate: float = 0.05,
     false_positive_cost: float = FALSE_POSITIVE_COST,
     fit_rows: int = FIT_ROWS,
+    second: str = "leafwise",
 ) -> tuple[FraudEnsemble, DataFrame]:
     """Split, fit, blend, tune the threshold and report; the report is one nested row.
 
@@ -221,11 +244,10 @@ def train_ensemble(
     if n_train > fit_rows:
         # The split has taken the smallest hashes of this seed; another one is independent of it.
         bound = int(2**HASH_BITS * fit_rows / n_train)
-        ensemble = fit_ensemble(train.where(hash_order("TransactionID", 43) < bound), features, trees, depth, rate)
-    else:
-        ensemble = fit_ensemble(train, features, trees, depth, rate)
+        train = train.where(hash_order("TransactionID", 43) < bound)
+    ensemble = fit_ensemble(train, features, trees, depth, rate, second=second)
 
-    members = member_scores(ensemble.score(validation)).persist(StorageLevel.MEMORY_AND_DISK)
+    members = member_scores(ensemble.score(validation), second).persist(StorageLevel.MEMORY_AND_DISK)
     blend = members.where(F.col("model") == "ensemble_optimal")
     tuning = rounded_thresholds(best_thresholds(threshold_curve(blend, false_positive_cost=false_positive_cost)))
     tuned = tuning.drop("model").first()
@@ -320,7 +342,7 @@ def decisions(scored: DataFrame, kept: list[str], threshold: float) -> DataFrame
         F.when(F.col("prediction") == 1, ALERT).otherwise(APPROVED).alias("decision"),
         F.lit(round(threshold, 4)).alias("decision_threshold"),
         F.round("boosted_score", 4).alias("boosted_score"),
-        F.round("forest_score", 4).alias("forest_score"),
+        F.round("second_score", 4).alias("second_score"),
         used.alias("features_used"),
     )
 

@@ -27,7 +27,7 @@ NODES = (
     "tree int, weight double, node int, feature int, threshold double, left int, right int, value double, cover double"
 )
 #: How a member's sum becomes a score. A boosted member of MLlib counts its sum twice.
-LINKS = {"mean": "{}", "logistic": "1D / (1D + EXP(-2D * {}))"}
+LINKS = {"mean": "{}", "logistic": "1D / (1D + EXP(-2D * {}))", "sigmoid": "1D / (1D + EXP(-1D * {}))"}
 #: Distinct features of a path up to which all combinations of known sides are tabled.
 TABLED = 10
 
@@ -248,9 +248,9 @@ class CompiledEnsemble:
     """M3: the blend of two members as column expressions; takes the place of a fitted ensemble."""
 
     boosted: TreeSet
-    forest: TreeSet
+    second: TreeSet
     boosted_weight: float = 0.5
-    forest_weight: float = 0.5
+    second_weight: float = 0.5
     threshold: float = 0.5
 
     @property
@@ -259,12 +259,12 @@ class CompiledEnsemble:
 
     @property
     def members(self) -> list[TreeSet]:
-        return [self.boosted, self.forest]
+        return [self.boosted, self.second]
 
     def score(self, df: DataFrame) -> DataFrame:
-        """Add ``boosted_score``, ``forest_score`` and the blended ``fraud_score``."""
-        both = df.select("*", self.boosted.score().alias("boosted_score"), self.forest.score().alias("forest_score"))
-        weights = {"boosted_score": self.boosted_weight, "forest_score": self.forest_weight}
+        """Add ``boosted_score``, ``second_score`` and the blended ``fraud_score``."""
+        both = df.select("*", self.boosted.score().alias("boosted_score"), self.second.score().alias("second_score"))
+        weights = {"boosted_score": self.boosted_weight, "second_score": self.second_weight}
         parts = [F.lit(float(w)) * F.col(name) for name, w in weights.items()]
         return both.withColumn("fraud_score", reduce(lambda a, b: a + b, parts))
 

@@ -244,6 +244,20 @@ def fixed_score(a: str = "", c: str = "") -> str:
 
 _FOREST = "({1} + 0.25::DOUBLE * {2})".format(*fixed_trees("current_amount", "trans_count_7d"))
 
+#: Gradients p - y at p = 1/2, hessians p (1 - p), in 2**-20ths and weighted 3.5 for positives.
+_FIRST_ROUND = f"""WITH {TX}, e AS (SELECT 'amount' AS feature, 0 AS place, CAST(UNNEST(range(5, 250, 5)) AS DOUBLE) AS threshold
+      UNION ALL SELECT 'c2', 1, CAST(UNNEST(range(4, 100, 4)) AS DOUBLE) UNION ALL SELECT 'd4', 2, CAST(UNNEST(range(0, 6)) AS DOUBLE)),
+      f AS (SELECT transaction_id, UNNEST(['amount', 'c2', 'd4']) AS feature, UNNEST([amount, c2, d4]) AS x,
+        CASE WHEN is_fraud = 1 THEN -1835008 ELSE 524288 END AS g, CASE WHEN is_fraud = 1 THEN 917504 ELSE 262144 END AS h FROM tx),
+      cells AS (SELECT feature, x, COUNT(*) AS n, SUM(g) AS g, SUM(h) AS h FROM f GROUP BY feature, x),
+      total AS (SELECT COUNT(*) AS n, SUM(g) / 1048576.0::DOUBLE AS g, SUM(h) / 1048576.0::DOUBLE AS h FROM f WHERE feature = 'amount'),
+      cuts AS (SELECT e.feature, place, threshold, CAST(SUM(cells.n) AS BIGINT) AS n_left,
+        CAST(SUM(cells.g) AS DOUBLE) / 1048576.0::DOUBLE AS gl, CAST(SUM(cells.h) AS DOUBLE) / 1048576.0::DOUBLE AS hl
+        FROM e JOIN cells ON e.feature = cells.feature AND x <= threshold GROUP BY ALL),
+      gains AS (SELECT cuts.*, g, h, (gl * gl / (hl + 1.0::DOUBLE) + (g - gl) * (g - gl) / (h - hl + 1.0::DOUBLE)
+        - g * g / (h + 1.0::DOUBLE)) / 2.0::DOUBLE AS gain
+        FROM cuts, total WHERE n_left >= 20 AND n - n_left >= 20)"""
+
 ORACLE: dict[str, str] = {
     "s1_typed_scan": f"""WITH {DIRTY} SELECT transaction_id, is_fraud, transaction_dt, amount, card_id, addr1, d4
       FROM dirty WHERE TRY_CAST(card_id AS BIGINT) IS NOT NULL""",
@@ -414,6 +428,14 @@ ORACLE: dict[str, str] = {
         SELECT model, COUNT(*) FILTER (is_fraud = 1 AND score >= c) AS sweep_tp,
           COUNT(*) FILTER (is_fraud = 0 AND score >= c) AS sweep_fp, COUNT(*) AS sweep_rows
         FROM scored, cut GROUP BY 1) USING (model)""",
+    "m2_split_gains": f"""{_FIRST_ROUND}
+      SELECT feature, threshold, n_left, ROUND(gain, 6) AS gain FROM gains""",
+    "m2_first_split": f"""{_FIRST_ROUND}, best AS (SELECT * FROM gains ORDER BY gain DESC, place, threshold LIMIT 1)
+      SELECT f.transaction_id, ROUND(1.0::DOUBLE / (1.0::DOUBLE + EXP(-CASE WHEN x <= threshold
+        THEN -0.5::DOUBLE * gl / (hl + 1.0::DOUBLE) ELSE -0.5::DOUBLE * (best.g - gl) / (best.h - hl + 1.0::DOUBLE) END)), 9) AS score
+      FROM f JOIN best USING (feature)""",
+    "m2_learned": f"""WITH {TX}, r AS (SELECT CAST(COALESCE(amount > 40 AND amount <= 120 AND c2 > 24 AND d4 > 1, FALSE) AS INTEGER) AS rule FROM tx)
+      SELECT rule, rule AS predicted, COUNT(*) AS n FROM r GROUP BY rule""",
     "m2_train_report": f"""WITH {TX} SELECT COUNT(*) AS dataset_size, COUNT(*) - CAST(CEIL(COUNT(*) * 0.2) AS BIGINT) AS train_size,
         CAST(CEIL(COUNT(*) * 0.2) AS BIGINT) AS val_size, CAST(9 AS BIGINT) AS feature_count,
         'trans_count_7d,trans_count_30d,avg_amount_30d,max_amount_30d,distinct_addr_7d,days_since_last_trans,'

@@ -17,7 +17,7 @@ SCORE_FIELDS = [
     T.StructField("decision", T.StringType()),
     T.StructField("decision_threshold", T.DoubleType()),
     T.StructField("boosted_score", T.DoubleType()),
-    T.StructField("forest_score", T.DoubleType()),
+    T.StructField("second_score", T.DoubleType()),
     T.StructField("features_used", T.MapType(T.StringType(), T.DoubleType())),
 ]
 

@@ -68,7 +68,7 @@ def test_report(fitted, dataset):
     assert row.feature_names == ensemble.feature_names == M.TRAINING_FEATURES
     assert row.threshold_tuning.min_cost <= row.threshold_tuning.cost_at_05
     assert row.optimal_threshold == ensemble.threshold
-    for name in ("boosted", "forest", "ensemble_default_05", "ensemble_optimal", "ensemble"):
+    for name in ("boosted", "leafwise", "ensemble_default_05", "ensemble_optimal", "ensemble"):
         metric = row.metrics[name]
         assert 0.0 <= metric.roc_auc <= 1.0 and sum(map(sum, metric.confusion_matrix)) == 200
 

@@ -93,13 +93,13 @@ def test_stored_nodes(spark, tmp_path):
 def fitted(spark):
     tx = transactions(spark, SF_SMALL)
     data = M.training_set(tx, batch_features(tx, F.lit(dt.datetime(2024, 2, 1)))).cache()
-    return data, M.fit_ensemble(data, M.TRAINING_FEATURES, trees=5, depth=4)
+    return data, M.fit_ensemble(data, M.TRAINING_FEATURES, trees=5, depth=4, second="forest")
 
 
 def test_compiled_scores_equal_the_models(spark, fitted, tmp_path):
     data, ensemble = fitted
     compiled = ensemble.compiled(spark, str(tmp_path))
-    names = ["boosted_score", "forest_score", "fraud_score"]
+    names = ["boosted_score", "second_score", "fraud_score"]
     own = {r.TransactionID: [r[n] for n in names] for r in ensemble.score(data).collect()}
     got = {r.TransactionID: [r[n] for n in names] for r in compiled.score(data).collect()}
     assert set(own) == set(got) and len({tuple(v) for v in got.values()}) > 10
@@ -120,7 +120,7 @@ def test_importance_of_fitted_members(spark, fitted, tmp_path):
     assert [r.importance for r in ranking] == sorted((r.importance for r in ranking), reverse=True)
     unused = set(M.TRAINING_FEATURES) - {M.TRAINING_FEATURES[f] for m in compiled.members for t in m.trees for f in t.feature if f >= 0}
     assert all((r.importance == 0) == (r.feature in unused) for r in ranking)
-    raw = (compiled.boosted.raw() + compiled.forest.raw()) / 2
+    raw = (compiled.boosted.raw() + compiled.second.raw()) / 2
     values = trees.shap_values(data.withColumn("raw", raw), compiled.members, ["TransactionID", "raw"]).collect()
     for r in values:
         assert r.raw == pytest.approx(r.base_value + sum(r[f"shap_{n}"] for n in M.TRAINING_FEATURES))
