@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardmill.llm.common import numbered, text_of, written
-from cardmill.llm.spans import by_kind, count_kind, find, joined, no_spans, overlaps
+from cardmill.llm.spans import by_kind, clear_of, count_kind, find, joined, no_spans
 
 KINDS = ["email", "ip", "card", "phone"]
 EMAIL, IP, CARD, PHONE = range(4)
@@ -183,7 +183,7 @@ def personal_data(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     text = text_of(text_column)
     rows = numbered(docs, F.col(id_column).alias("doc_id"), text.alias("text"))
     rows = rows.select("doc_id", "row", base_spans(F.col("text")).alias("base"), more_spans(F.col("text")).alias("more"))
-    rows = rows.withColumn("more", F.filter("more", lambda s: ~overlaps(F.col("base"), s)))
+    rows = rows.withColumn("more", clear_of(F.col("more"), F.col("base")))
     rows = written(rows, "pii-spans")
     stated = rows.select("row", F.explode("base").alias("span"), F.lit(True).alias("stated"))
     further = rows.select("row", F.explode("more").alias("span"), F.lit(False).alias("stated"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardmill.llm.common import hash_share, numbered, text_of, written
-from cardmill.llm.spans import by_start, count_kind, find, joined, overlaps
+from cardmill.llm.spans import by_start, clear_of, count_kind, find, joined
 
 KINDS = ["assign", "access", "hex", "random"]
 ASSIGN, ACCESS, HEX, RANDOM = range(4)
@@ -111,7 +111,7 @@ def secret_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     text = F.col("text")
     more = find(text, _RANDOM, RANDOM, text.rlike(r"[A-Za-z0-9+/_=\-]{20}"))
     found = numbered(texts, F.col("doc_id"), base_spans(text).alias("base"), more.alias("more"))
-    found = written(found.withColumn("more", F.filter("more", lambda s: ~overlaps(F.col("base"), s))), "secret-spans")
+    found = written(found.withColumn("more", clear_of(F.col("more"), F.col("base"))), "secret-spans")
     table = train(texts, found, found.count())
     added = F.filter("more", lambda s: score(s["value"], table) >= LEAST)
     spans = F.when(F.size("more") > 0, F.concat("base", added)).otherwise(F.col("base"))
