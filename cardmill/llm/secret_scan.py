@@ -21,14 +21,15 @@ _ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 _ASSIGNED = r"""^(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=\-]+)$"""
 _ACCESS = r"AKIA[A-Z0-9]{14,}+"
 _HEX = r"[0-9a-f]{16,}+"
-_RANDOM = r"(?:\G|(?<![A-Za-z0-9+/_=\-]))[A-Za-z0-9+/_=\-]{20,}+"
-_NAME = r"(?<![A-Za-z0-9+/_=\-])[A-Za-z0-9_]{4,19}+(?![A-Za-z0-9+/_=\-])"
+_RANDOM = r"(?:\G|(?<![A-Za-z0-9+/_=\-]))[A-Za-z0-9+/_=\-]{12,}+"
+_NAME = r"(?<![A-Za-z0-9+/_=\-])[A-Za-z0-9_]{4,11}+(?![A-Za-z0-9+/_=\-])"
 
 #: Labelled samples of the two models: documents that ordinary names are taken from, and stated
 #: secrets. Both are chosen by a hash.
 NAME_DOCS, SECRETS = 3000, 20_000
-#: Least mean log-likelihood ratio per character pair of a reported string.
-LEAST = 1.0
+#: Least mean log-likelihood ratio per character pair of a reported string, and least sum of all
+#: its pairs: the fewer pairs a string has, the clearer each must be.
+LEAST, LEAST_SUM = 1.0, 19.0
 
 
 def base_spans(text: Column) -> Column:
@@ -51,7 +52,9 @@ def ratios(random: dict[int, int], ordinary: dict[int, int], prior: float = 0.5,
 
     Chances of a character after another lean on its chance anywhere (weight ``backing``), and
     that on a flat one. Without samples of random strings their model is flat, as it should be.
+    A pair without a letter says nothing: a number or date is no key, however random.
     """
+    other = [i for i in range(OTHER + 1) if not ALPHABET[i : i + 1].isalpha()]
     size = OTHER + 1
 
     def model(counts: dict[int, int]) -> list[float]:
@@ -64,7 +67,11 @@ def ratios(random: dict[int, int], ordinary: dict[int, int], prior: float = 0.5,
             out += [math.log(x / total) for x in row]
         return out
 
-    return [r - o for r, o in zip(model(random), model(ordinary))]
+    told = [r - o for r, o in zip(model(random), model(ordinary))]
+    for a in other:
+        for b in other:
+            told[a * size + b] = 0.0
+    return told
 
 
 def score(value: Column, table: list[float]) -> Column:
@@ -75,11 +82,16 @@ def score(value: Column, table: list[float]) -> Column:
     return F.when(F.size(own) > 0, total / F.size(own)).otherwise(F.lit(0.0))
 
 
+def random_string(value: Column, table: list[float]) -> Column:
+    mean = score(value, table)
+    return (mean >= LEAST) & (mean * F.greatest(F.length(value) - 1, F.lit(0)) >= LEAST_SUM)
+
+
 def train(texts: DataFrame, found: DataFrame, n_docs: int) -> list[float]:
     """The ratio table from labelled samples, as counts of at most 67 * 67 pairs per model.
 
     Random strings are the values of stated secrets (their keyword cut off); ordinary ones are
-    the names and words of fewer than 20 characters in documents without any.
+    the names and words of fewer than 12 characters, which are not scored, in documents without any.
     """
 
     def sampled(rows: DataFrame, n: int, most: int, *key: str) -> DataFrame:
@@ -102,18 +114,18 @@ def train(texts: DataFrame, found: DataFrame, n_docs: int) -> list[float]:
 def secret_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Spans of secrets per row: doc_id, base (stated patterns) and spans (all, by start).
 
-    Strings of 20 or more characters of ``[A-Za-z0-9+/_=-]`` that overlap no stated span are
+    Strings of 12 or more characters of ``[A-Za-z0-9+/_=-]`` that overlap no stated span are
     added (kind ``random``) when the Markov model of random strings explains them better than
-    that of ordinary names by at least 1.0 a character pair. Missing texts have no spans;
+    that of ordinary names by at least 1.0 a character pair and 19 in all. Missing texts have no spans;
     repeated rows are judged alike; without stated secrets the random model is flat.
     """
     texts = docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("text"))
     text = F.col("text")
-    more = find(text, _RANDOM, RANDOM, text.rlike(r"[A-Za-z0-9+/_=\-]{20}"))
+    more = find(text, _RANDOM, RANDOM, text.rlike(r"[A-Za-z0-9+/_=\-]{12}"))
     found = numbered(texts, F.col("doc_id"), base_spans(text).alias("base"), more.alias("more"))
     found = written(found.withColumn("more", clear_of(F.col("more"), F.col("base"))), "secret-spans")
     table = train(texts, found, found.count())
-    added = F.filter("more", lambda s: score(s["value"], table) >= LEAST)
+    added = F.filter("more", lambda s: random_string(s["value"], table))
     spans = F.when(F.size("more") > 0, F.concat("base", added)).otherwise(F.col("base"))
     return found.select("doc_id", by_start(F.col("base")).alias("base"), by_start(spans).alias("spans"))
 

@@ -301,6 +301,25 @@ def test_random_strings_are_told_from_names(spark):
     assert hits >= 0.95 * 150 and wrong <= 0.02 * len(half[1::2])
 
 
+def test_short_random_strings(spark):
+    """Held-out strings of 12 to 19 characters; numbers, dates and names of that length are left alone."""
+    chance = random.Random(4)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    strings = ["".join(chance.choices(alphabet, k=chance.randint(12, 19))) for _ in range(300)]
+    names = ["".join(chance.choices(WORDS, k=3))[:19] for _ in range(300)]
+    names = [n for n in names if len(n) >= 12]
+    plain = ["491701234567", "2024-01-31", "20240131-101500", "2024-01-31_10-15"]
+    rows = [(i, f"{_sentence(i, 30)} token = {s}") for i, s in enumerate(strings[:150])]
+    rows += [(1000 + i, f"{_sentence(i, 30)} {n}") for i, n in enumerate(names[::2])]
+    rows += [(5000 + i, f"see {s} here") for i, s in enumerate(strings[150:])]
+    rows += [(9000 + i, f"see {n} here") for i, n in enumerate(names[1::2] + plain)]
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.digest(secret_scan.secret_scan(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    hits = sum("random" in got[5000 + i] for i in range(150))
+    wrong = sum("random" in got[9000 + i] for i in range(len(names[1::2])))
+    assert hits >= 0.8 * 150 and wrong <= 0.02 * len(names[1::2])
+    assert not any("random" in got[9000 + len(names[1::2]) + i] for i in range(len(plain)))
+
+
 def test_line_dedup(docs):
     rows, df = docs
     got = collected(lines.dedup_lines(df))
