@@ -128,6 +128,7 @@ def run_flow(
     force_retrain: bool = False,
     scheduled_run: bool = False,
     trees: int = 100,
+    second: str = "leafwise",
     depth: int = 6,
 ) -> dict:
     """O3: batch, stream, materialize, audit, drift, decide and train.
@@ -176,7 +177,7 @@ def run_flow(
 
     try:
         write_current(training_set(transactions, current), tables.dataset)
-        ensemble, evaluation = train_ensemble(spark.read.parquet(tables.dataset), trees, depth)
+        ensemble, evaluation = train_ensemble(spark.read.parquet(tables.dataset), trees, depth, second=second)
         ensemble.save(spark, tables.model)
         write_report(evaluation, tables.report)
         report["step6_model_training"] = "SUCCESS"

@@ -981,7 +981,7 @@ def o3_flow(spark, sf_dir):
     """O3: batch, gate, stream, materialize, audit, drift and training in one run."""
     stores = flow.FlowTables(_scratch(spark, "flow"))
     report = flow.run_flow(
-        _dirty(spark, sf_dir), _messages(spark, sf_dir, dirty=True), stores, RUN_TIME, audit_card="8"
+        _dirty(spark, sf_dir), _messages(spark, sf_dir, dirty=True), stores, RUN_TIME, audit_card="8", second="forest"
     )
     outcome = {
         **report["step4_verification_audit"],
