@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -42,6 +43,9 @@ TARGET = "is_fraud"
 # Labelled rows that the members are fitted on. A hundred trees of depth six pass over them some
 # six hundred times.
 FIT_ROWS = 500_000
+# Rows of a task in those passes. Each pass has a task per partition, however few rows are left in
+# the partitions of a large table.
+FIT_TASK_ROWS = 50_000
 
 ALERT = "ALERT: FRAUD DETECTED"
 APPROVED = "APPROVED"
@@ -187,11 +191,13 @@ def fit_ensemble(
     """
     if second not in ("leafwise", "forest"):
         raise ValueError(f"no learner {second!r}")
-    weight = class_balance(train, TARGET).first().positive_weight
+    balance = class_balance(train, TARGET).first()
+    weight = balance.positive_weight
+    tasks = max(1, math.ceil((balance.negatives + balance.positives) / FIT_TASK_ROWS))
     rows = VectorAssembler(inputCols=features, outputCol="features").transform(
         train.withColumn("row_weight", F.when(F.col(TARGET) == 1, float(weight)).otherwise(1.0))
     )
-    rows = rows.select("features", F.col(TARGET).cast("double").alias("label"), "row_weight")
+    rows = rows.select("features", F.col(TARGET).cast("double").alias("label"), "row_weight").repartition(tasks)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     common = {"maxDepth": depth, "seed": seed, "weightCol": "row_weight"}
     learners = {"boosted": GBTClassifier(maxIter=trees, stepSize=rate, **common)}

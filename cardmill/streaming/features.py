@@ -107,6 +107,8 @@ class FeatureBatch:
         # Events without a number are numbered as they lie in the batch.
         number = F.coalesce("arrived_no", F.monotonically_increasing_id())
         parsed = parsed.withColumn("arrived_no", number).persist(StorageLevel.MEMORY_AND_DISK)
+        # Several stages below read the parsed events at the same time; stored first, no executor parses again.
+        parsed.count()
         placed = self._placed(parsed, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
         valid = placed.where(F.size(REASONS) == 0)
         try:

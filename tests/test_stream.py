@@ -37,6 +37,25 @@ def run(spark, folder, root, files_per_batch=1000, **options):
     return tables
 
 
+class Watched(FeatureBatch):
+    """Notes which share of the parsed events is stored when the work on them begins."""
+
+    def _placed(self, parsed, batch_id):
+        stored = parsed.sparkSession._jsc.sc().getRDDStorageInfo()
+        self.stored = max([i.numCachedPartitions() / i.numPartitions() for i in stored] + [0])
+        return super()._placed(parsed, batch_id)
+
+
+def test_events_are_parsed_before_several_stages_read_them(spark, tmp_path):
+    spark.catalog.clearCache()
+    write(tmp_path / "in", 1, SAMPLES)
+    batch = Watched(StreamTables(str(tmp_path / "out")))
+    parsed = parsed_events(file_events(spark, str(tmp_path / "in")))
+    stream = parsed.writeStream.foreachBatch(batch).option("checkpointLocation", str(tmp_path / "checkpoint"))
+    stream.trigger(availableNow=True).start().awaitTermination(120)
+    assert batch.stored == 1.0
+
+
 def wait_until(condition, seconds=20):
     deadline = time.time() + seconds
     while not condition() and time.time() < deadline:

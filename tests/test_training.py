@@ -73,6 +73,15 @@ def test_report(fitted, dataset):
         assert 0.0 <= metric.roc_auc <= 1.0 and sum(map(sum, metric.confusion_matrix)) == 200
 
 
+def test_fit_has_tasks_by_rows_not_by_partitions(spark, dataset, monkeypatch):
+    seen = []
+    fit = M.GBTClassifier.fit
+    monkeypatch.setattr(M.GBTClassifier, "fit", lambda self, rows: seen.append(rows) or fit(self, rows))
+    M.train_ensemble(dataset.repartition(40), trees=1, depth=2, fit_rows=300, second="forest")
+    assert [rows.rdd.getNumPartitions() for rows in seen] == [1]
+    assert 200 < seen[0].count() < 400
+
+
 def test_scoring_and_save(spark, fitted, dataset, tmp_path):
     ensemble, _ = fitted
     ensemble.save(spark, str(tmp_path / "model"))
