@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cardmill.llm.common import n_cells, numbered, ranked, text_of, written
+from cardmill.llm.common import memory_returned, n_cells, numbered, ranked, text_of, written
 from cardmill.llm.tokens import encoder
 
 PIECE = "doc_id {id}, start long, length long, doc_tokens long, ids binary"
@@ -33,9 +33,8 @@ def token_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches):
-        encode = encoder(tokenizer)
-        for batch in batches:
-            whole = [ids + end for ids in encode.batch(batch.column(1).to_pylist())]
+        for batch in memory_returned(batches, "encoder"):
+            whole = [ids + end for ids in encoder(tokenizer).batch(batch.column(1).to_pylist())]
             sizes = np.array([len(ids) // 4 for ids in whole], np.int64)
             owner = np.repeat(np.arange(len(whole)), -(-sizes // capacity))
             first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else owner

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cardmill.llm.common import folder, numbered, text_of, written
+from cardmill.llm.common import folder, memory_returned, numbered, text_of, written
 from cardmill.llm.tokens import encoder
 
 LANES, EVERY, BLOCK_IDS = 512, 512, 1 << 20
@@ -119,7 +119,7 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int, id_column: str, te
 
     def encode(batches):
         own, counts = encoder(tokenizer), np.zeros(0, np.int64)
-        for batch in batches:
+        for batch in memory_returned(batches, "encoder"):
             ids = [np.frombuffer(b + end, "<u4") for b in own.batch(batch.column("text").to_pylist())]
             found = np.bincount(np.concatenate(ids)) if ids else counts
             if len(found) > len(counts):

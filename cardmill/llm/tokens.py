@@ -8,8 +8,12 @@ import re
 
 import numpy as np
 
+from cardmill.llm.common import KEPT
+
 #: Pieces remembered by one Python worker (about 250 bytes each).
 MEMORY_PIECES = 500_000
+#: Pieces that are handed to the library at once.
+AT_ONCE = 4096
 
 _BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _ASCII_WORDS = re.compile("[^\\t-\\r ]+")
@@ -33,7 +37,9 @@ def _cut_spaced(text: str) -> list[str]:
     return _SPACED_WORDS.findall(text)
 
 
-_OPEN: dict[str, "Encoder"] = {}
+#: The worker's encoder, of one vocabulary at a time.
+OPEN: dict[str, "Encoder"] = {}
+KEPT["encoder"] = OPEN
 
 
 def _whole(text: str) -> list[str]:
@@ -87,8 +93,11 @@ class Encoder:
         pieces = [self._pieces(text) for text in texts]
         known = self.known
         missing = list(set().union(*pieces).difference(known))
-        encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        fresh = {piece: np.array(e.ids, "<u4").tobytes() for piece, e in zip(missing, encoded)}
+        fresh: dict[str, bytes] = {}
+        for at in range(0, len(missing), AT_ONCE):  # the library's answers are many times as large as the ids
+            part = missing[at : at + AT_ONCE]
+            encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            fresh.update((piece, np.array(e.ids, "<u4").tobytes()) for piece, e in zip(part, encoded))
         if self.cut is not _whole and len(known) + len(fresh) <= MEMORY_PIECES:
             known.update(fresh)
             out = [b"".join(map(known.__getitem__, text)) for text in pieces]
@@ -99,6 +108,7 @@ class Encoder:
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder of this vocabulary file."""
-    if path not in _OPEN:
-        _OPEN[path] = Encoder(path)
-    return _OPEN[path]
+    if path not in OPEN:
+        OPEN.clear()
+        OPEN[path] = Encoder(path)
+    return OPEN[path]

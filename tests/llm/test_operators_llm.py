@@ -427,3 +427,43 @@ def test_pipeline_runs_in_order(spark):
     texts = docs.groupBy(F.md5("text")).agg(F.collect_list("doc_id").alias("ids")).where(F.size("ids") > 1).collect()
     kept = {r["doc_id"] for r in out}
     assert all(len(kept & set(r["ids"])) <= 1 for r in texts)
+
+
+def test_new_pieces_go_to_the_library_in_parts(monkeypatch):
+    from cardmill.llm import tokens
+
+    own, sizes = tokens.Encoder(vocabulary("word_bpe_49k.json")), []
+    texts = [" ".join(f"word{i}x{n}" for i in range(900)) for n in range(12)]
+    whole = own.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+
+    class Noted:
+        def encode_batch_fast(self, pieces, **options):
+            sizes.append(len(pieces))
+            return tokenizer.encode_batch_fast(pieces, **options)
+
+    tokenizer, own.tokenizer = own.tokenizer, Noted()
+    found = own.batch(texts)
+    assert [list(memoryview(ids).cast("I")) for ids in found] == [e.ids for e in whole]
+    assert sum(sizes) == 12 * 900 and max(sizes) <= 4096
+
+
+def test_workers_return_freed_memory_before_and_after_a_task(monkeypatch):
+    from cardmill.llm import common
+
+    calls = []
+    monkeypatch.setattr(common, "_return_memory", lambda: calls.append(len(seen)))
+    seen = []
+    for batch in common.memory_returned(iter("abc")):
+        seen.append(batch)
+    assert seen == ["a", "b", "c"] and calls == [0, 3]
+
+
+def test_workers_drop_what_other_operators_kept(monkeypatch):
+    from cardmill.llm import common, tokens
+
+    path = vocabulary("word_bpe_49k.json")
+    kept = tokens.encoder(path)
+    assert list(common.memory_returned(iter("a"), "encoder")) == ["a"] and tokens.encoder(path) is kept
+    assert list(common.memory_returned(iter("a"))) == ["a"] and not tokens.OPEN
+    tokens.encoder(path), tokens.encoder(vocabulary("byte_bpe_50k.json"))
+    assert len(tokens.OPEN) == 1
