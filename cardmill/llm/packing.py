@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cardmill.llm.common import memory_returned, n_cells, numbered, ranked, text_of, written
-from cardmill.llm.tokens import encoder
+from cardmill.llm.tokens import MEMORY_PIECES, encoder
 
 PIECE = "doc_id {id}, start long, length long, doc_tokens long, ids binary"
 NAMES = ["doc_id", "start", "length", "doc_tokens", "ids"]
@@ -23,18 +23,20 @@ def token_pieces(
     end_id: int = 1,
     id_column: str = "doc_id",
     text_column: str = "text",
+    remembered: int = MEMORY_PIECES,
 ) -> DataFrame:
     """Documents as pieces of at most ``capacity`` ids: doc_id, start, length, doc_tokens, ids.
 
     A document's ids are those of its whole text (missing text: empty) and ``end_id``. Pieces
     are full ones from the start, then the rest. ``ids`` are little-endian 32-bit numbers.
+    A worker remembers the ids of at most ``remembered`` words.
     """
     rows = docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("text"))
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches):
         for batch in memory_returned(batches, "encoder"):
-            whole = [ids + end for ids in encoder(tokenizer).batch(batch.column(1).to_pylist())]
+            whole = [ids + end for ids in encoder(tokenizer, remembered).batch(batch.column(1).to_pylist())]
             sizes = np.array([len(ids) // 4 for ids in whole], np.int64)
             owner = np.repeat(np.arange(len(whole)), -(-sizes // capacity))
             first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else owner

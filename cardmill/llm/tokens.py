@@ -54,7 +54,8 @@ class Encoder:
     and most pieces recur. A vocabulary of neither kind encodes whole texts.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = MEMORY_PIECES):
+        self.most = most
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -98,7 +99,7 @@ class Encoder:
             part = missing[at : at + AT_ONCE]
             encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
             fresh.update((piece, np.array(e.ids, "<u4").tobytes()) for piece, e in zip(part, encoded))
-        if self.cut is not _whole and len(known) + len(fresh) <= MEMORY_PIECES:
+        if self.cut is not _whole and len(known) + len(fresh) <= self.most:
             known.update(fresh)
             out = [b"".join(map(known.__getitem__, text)) for text in pieces]
         else:  # what is remembered by now are the common pieces; keep those
@@ -106,9 +107,9 @@ class Encoder:
         return out
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder of this vocabulary file."""
-    if path not in OPEN:
+def encoder(path: str, most: int = MEMORY_PIECES) -> Encoder:
+    """The worker's encoder of this vocabulary file, which remembers at most that many pieces."""
+    if path not in OPEN or OPEN[path].most != most:
         OPEN.clear()
-        OPEN[path] = Encoder(path)
+        OPEN[path] = Encoder(path, most)
     return OPEN[path]

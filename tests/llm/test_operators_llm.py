@@ -467,3 +467,13 @@ def test_workers_drop_what_other_operators_kept(monkeypatch):
     assert list(common.memory_returned(iter("a"))) == ["a"] and not tokens.OPEN
     tokens.encoder(path), tokens.encoder(vocabulary("byte_bpe_50k.json"))
     assert len(tokens.OPEN) == 1
+
+
+def test_an_encoder_remembers_no_more_than_it_may():
+    from cardmill.llm import tokens
+
+    path = vocabulary("word_bpe_49k.json")
+    small, large = tokens.Encoder(path, 100), tokens.Encoder(path)
+    texts = [[" ".join(f"w{i}x{n}" for i in range(80))] for n in range(4)]
+    assert [small.batch(t) for t in texts] == [large.batch(t) for t in texts]
+    assert len(small.known) <= 100 < len(large.known)
