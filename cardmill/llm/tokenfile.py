@@ -28,6 +28,10 @@ SCALE = 20
 LOW = np.uint64(1 << 31)
 HEAD = struct.Struct("<4sIQQIIII")
 MAGIC = b"CMT1"
+#: Codec of the ids between the tasks that make and that code them.
+PACKED = pa.Codec("zstd", compression_level=1)
+#: Bytes of documents that are encoded together.
+JOINED_BYTES = 6 << 20
 
 
 def frequencies(counts: np.ndarray) -> np.ndarray:
@@ -111,6 +115,19 @@ class Coder:
         return ids
 
 
+def joined(batches, least: int = JOINED_BYTES):
+    """Arrow batches put together until they have ``least`` bytes: a piece is looked up once a batch."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= least:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def token_table(docs: DataFrame, tokenizer: str, end_id: int, id_column: str, text_column: str) -> DataFrame:
     """A written table of doc_id, row, n and the deflated ids (with ``end_id``) of each document,
     and one row per task with the ids it made and how often each (``counts``)."""
@@ -119,7 +136,7 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int, id_column: str, te
 
     def encode(batches):
         own, counts = encoder(tokenizer), np.zeros(0, np.int64)
-        for batch in memory_returned(batches, "encoder"):
+        for batch in joined(memory_returned(batches, "encoder")):
             ids = [np.frombuffer(b + end, "<u4") for b in own.batch(batch.column("text").to_pylist())]
             found = np.bincount(np.concatenate(ids)) if ids else counts
             if len(found) > len(counts):
@@ -139,14 +156,16 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int, id_column: str, te
 
 
 def deflate(ids: np.ndarray) -> bytes:
-    """Ids as 16-bit halves, low ones then (if any id needs them) high ones, compressed."""
+    """Ids as 16-bit halves, low ones then (if any id needs them) high ones, compressed behind a
+    byte that says how many halves an id has."""
     low = (ids & 0xFFFF).astype("<u2").tobytes()
     high = (ids >> 16).astype("<u2").tobytes() if (ids >> 16).any() else b""
-    return zlib.compress(low + high, 1)
+    return (b"\x02" if high else b"\x01") + PACKED.compress(low + high, asbytes=True)
 
 
 def inflate(data: bytes, n: int) -> np.ndarray:
-    raw = np.frombuffer(zlib.decompress(data), "<u2").astype(np.uint32)
+    raw = PACKED.decompress(memoryview(data)[1:], 2 * n * data[0])
+    raw = np.frombuffer(raw, "<u2").astype(np.uint32)
     return raw if len(raw) == n else raw[:n] | raw[n:] << np.uint32(16)
 
 

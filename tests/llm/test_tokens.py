@@ -4,9 +4,10 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from cardmill.llm import tokens
+from cardmill.llm import tokenfile, tokens
 
 PARTS = ["a", "Z", "é", "É", "ß", "µ", "İ", "Σ", "ς", " ", "  ", "\n", "\t", "\x00", "\x1c", "\x85", "\xa0", " ", "'s", "'", "9", "²"]
 PARTS += ["é", "ﬁ", "<|endoftext|>", "<|startoftext|>", "!", "--", "日本", "😀", "×", "the", " Of", "&&&", "\r\n", "ẞ", "Ⅷ", "‍", "ª"]
@@ -35,3 +36,15 @@ def test_plain_words_skip_the_rules(name):
 
     own.tokenizer = Counting()
     assert own.batch([text]) == [want] and {p.strip() for p in ruled} <= {"(not)", "&&&", ""}
+
+
+def test_small_batches_are_encoded_together():
+    batches = [pa.RecordBatch.from_arrays([pa.array(["a" * 1000] * n, pa.string())], ["text"]) for n in (3, 0, 4, 9, 2)]
+    got = list(tokenfile.joined(iter(batches), 6500))
+    assert [b.num_rows for b in got] == [7, 9, 2] and list(tokenfile.joined(iter([]))) == []
+
+
+def test_packed_ids_come_back():
+    for ids in ([], [2], [1, 65535, 2], [65536, 0, 2], [7, 2**32 - 1]):
+        ids = np.array(ids, "<u4")
+        assert (tokenfile.inflate(tokenfile.deflate(ids), len(ids)) == ids).all()
