@@ -40,11 +40,8 @@ TRAINING_FEATURES = [*BATCH_FEATURES, AMOUNT, "amount_ratio_30d", "is_amount_gt_
 ID_COLUMNS = ("card_id", "TransactionID")
 TARGET = "is_fraud"
 
-# Labelled rows that the members are fitted on. A hundred trees of depth six pass over them some
-# six hundred times.
-FIT_ROWS = 500_000
-# Rows of a task in those passes. Each pass has a task per partition, however few rows are left in
-# the partitions of a large table.
+# Rows of a task in the passes of a fit, of which a hundred trees of depth six take some six hundred.
+# Each pass has a task per partition, however the table is cut.
 FIT_TASK_ROWS = 50_000
 
 ALERT = "ALERT: FRAUD DETECTED"
@@ -235,19 +232,18 @@ def train_ensemble(
     depth: int = 6,
     rate: float = 0.05,
     false_positive_cost: float = FALSE_POSITIVE_COST,
-    fit_rows: int = FIT_ROWS,
+    fit_rows: int | None = None,
     second: str = "leafwise",
 ) -> tuple[FraudEnsemble, DataFrame]:
     """Split, fit, blend, tune the threshold and report; the report is one nested row.
 
-    The members are fitted on at most about ``fit_rows`` labelled rows, picked by a hash of the
-    id; the split, the threshold and every figure of the report use all rows.
+    The members are fitted on all rows of the training side. A caller that names ``fit_rows`` has them
+    fitted on about so many, picked by a hash of the id; no registered query does.
     """
     features = columns_except(dataset, (*ID_COLUMNS, TARGET))
     split = stratified_split(dataset, "TransactionID", TARGET).persist(StorageLevel.MEMORY_AND_DISK)
     train, validation = split.where(~F.col("is_test")), split.where("is_test")
-    n_train = train.count()
-    if n_train > fit_rows:
+    if fit_rows is not None and (n_train := train.count()) > fit_rows:
         # The split has taken the smallest hashes of this seed; another one is independent of it.
         bound = int(2**HASH_BITS * fit_rows / n_train)
         train = train.where(hash_order("TransactionID", 43) < bound)

@@ -82,6 +82,22 @@ def test_fit_has_tasks_by_rows_not_by_partitions(spark, dataset, monkeypatch):
     assert 200 < seen[0].count() < 400
 
 
+def test_members_are_fitted_on_all_rows(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def fit(self, rows):
+        raise Seen(rows.count())
+
+    monkeypatch.setattr(M.GBTClassifier, "fit", fit)
+    rows = spark.range(700_000).select(
+        F.col("id").alias("TransactionID"), F.lit("a").alias("card_id"), (F.col("id") % 10 == 0).cast("int").alias(M.TARGET), F.lit(1.0).alias(M.AMOUNT)
+    )
+    with pytest.raises(Seen) as seen:
+        M.train_ensemble(rows, trees=1, depth=1, second="forest")
+    assert seen.value.args == (560_000,)
+
+
 def test_scoring_and_save(spark, fitted, dataset, tmp_path):
     ensemble, _ = fitted
     ensemble.save(spark, str(tmp_path / "model"))
