@@ -1,7 +1,7 @@
 """Rolling features from keyed state (T2, T4): minute roll-ups, timers, shares of hot cards.
 
-Each card's last 24 hours lie in the state store: one row per minute in a roll-up, and the events
-of each minute under its number. A batch reads the roll-up and the minutes that its windows begin
+Each card's last 24 hours lie in the state store: one row per minute in a roll-up, the newest events
+beside it and the others in numbered blocks. A batch reads the roll-up and the blocks that its windows begin
 in, so its cost follows its own rows and not what was archived. A card known to be hot has several
 state keys. Every key sees the card's events, because all of them have to be answered, but keeps
 only its share; the shares' answers are added up behind it. State is kept by RocksDB on the
@@ -16,12 +16,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from itertools import chain
+from operator import itemgetter
 from typing import Any
 
 import numpy as np
-import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -56,22 +57,31 @@ TOTALS = {
 }
 ROLLUP = np.dtype([("minute", "<i8"), *[(name, "<i8") for name in SUMS], ("most", "<f8")])
 EVENT = np.dtype([("t", "<i8"), ("amt", "<i8"), ("c2", "<i8"), ("amount", "<f8")])
-
-ANSWER = T.StructType(
-    [
-        T.StructField("card_id", T.StringType()),
-        T.StructField("value", T.StringType()),
-        T.StructField("arrived_at", T.LongType()),
-        T.StructField("arrived_in", T.StringType()),
-        T.StructField("arrived_no", T.LongType()),
-        T.StructField("transaction_id", T.LongType()),
-        T.StructField("own", T.BooleanType()),
-        T.StructField("shares", T.IntegerType()),
-        T.StructField("late", T.BooleanType()),
-        T.StructField("t", T.LongType()),
-        *[T.StructField(name, T.LongType()) for name in TOTALS],
-        T.StructField("max_24h", T.DoubleType()),
-    ]
+INDEX = np.dtype([("number", "<i8"), ("first", "<i8"), ("last", "<i8")])
+#: Events that lie beside the roll-up at most, those of a block, and answers of a row.
+TAIL_EVENTS, BLOCK_EVENTS, OUT_ROWS = 256, 4096, 4096
+
+#: What a question brings, the order of arrival first, and what of it goes on with the answer.
+ORDER = [*ARRIVAL, "t", "transaction_id"]
+ASKED = [*ORDER, "value", "own", "shares", "amt", "c2", "amount", "ok"]
+PASSED = ["value", *ARRIVAL, "transaction_id", "own", "shares"]
+
+ANSWER = {
+    "value": T.StringType(),
+    "arrived_at": T.LongType(),
+    "arrived_in": T.StringType(),
+    "arrived_no": T.LongType(),
+    "transaction_id": T.LongType(),
+    "own": T.BooleanType(),
+    "shares": T.IntegerType(),
+    "late": T.BooleanType(),
+    "t": T.LongType(),
+    **{name: T.LongType() for name in TOTALS},
+    "max_24h": T.DoubleType(),
+}
+#: Many answers of a card in one row.
+ANSWERS = T.StructType(
+    [T.StructField("card_id", T.StringType()), *[T.StructField(name, T.ArrayType(kind)) for name, kind in ANSWER.items()]]
 )
 
 
@@ -153,72 +163,93 @@ def rolled(rollup: np.ndarray, own: np.ndarray) -> np.ndarray:
 
 
 class CardState(StatefulProcessor):
-    """One share of one card: ``newest`` time, timer, roll-up, and events by minute."""
+    """One share of one card: ``newest`` time, timer, roll-up and the day's events.
+
+    The newest events lie beside the roll-up, the others in blocks; ``index`` says which minutes a block has.
+    So a card of few events is read and written at once, and one of many by blocks of thousands.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.head = handle.getValueState("head", "newest long, timer long, rollup binary")
-        self.minutes = handle.getMapState("minutes", "minute long", "events binary")
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        if not batch["ok"].iloc[0]:  # such rows have keys of their own
-            yield self._answer(batch, np.zeros(len(batch), bool), batch["t"].to_numpy(), {})
+        self.head = handle.getValueState("head", "newest long, timer long, rollup binary, index binary, tail binary")
+        self.blocks = handle.getMapState("blocks", "number long", "events binary")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        first = next(rows)
+        asked_of = itemgetter(*map(first.__fields__.index, ASKED))  # by place, which is faster than by name
+        ordered = sorted(map(asked_of, chain([first], rows)), key=itemgetter(*range(len(ORDER))))
+        batch = dict(zip(ASKED, zip(*ordered)))
+        t = np.array(batch["t"], np.int64)
+        if not batch["ok"][0]:  # such rows have keys of their own
+            yield from self._answer(key[0], batch, np.zeros(len(t), bool), t, {})
             return
-        batch = batch.sort_values([*ARRIVAL, "t", "transaction_id"], ignore_index=True, kind="stable")
-        newest, timer, blob = self.head.get() or (np.iinfo(np.int64).min, None, b"")
-        rollup = np.frombuffer(blob, ROLLUP)
-        t = batch["t"].to_numpy(np.int64)
+        newest, timer, *blobs = self.head.get() or (np.iinfo(np.int64).min, None, b"", b"", b"")
+        rollup, index, tail = (np.frombuffer(blob, kind) for blob, kind in zip(blobs, (ROLLUP, INDEX, EVENT)))
         so_far = np.maximum.accumulate(np.concatenate([[newest], t]))
         late = t < np.maximum(so_far[:-1], np.iinfo(np.int64).min + LATENESS_MICROS) - LATENESS_MICROS
         counted = np.where(late, t, so_far[1:])  # a little behind counts at the newest time
         newest = int(so_far[-1])
 
-        mine = batch["own"].to_numpy(bool) & ~late
+        mine = np.array(batch["own"], bool) & ~late
         own = np.zeros(mine.sum(), EVENT)
         own["t"] = counted[mine]
         for name in ("amt", "c2", "amount"):
-            own[name] = batch[name].to_numpy()[mine]
+            own[name] = np.array(batch[name])[mine]
         asked, seen = counted[~late], np.cumsum(mine)[~late]
-        needed = {int(m) for w in WINDOWS.values() for m in np.unique((asked - w * MICROS) // MINUTE)}
-        kept = set(rollup["minute"].tolist())
-        blobs = [self.minutes.getValue((m,))[0] for m in sorted(needed & kept)]
-        edges = np.frombuffer(b"".join(blobs), EVENT)
-        found = answers(rollup, edges, own, asked, seen) if len(asked) else {}
-        yield self._answer(batch, late, counted, found)
-        self._keep(rollup, own, newest, timer)
-
-    def _keep(self, rollup: np.ndarray, own: np.ndarray, newest: int, timer: int | None) -> None:
-        """New events in, minutes that no window reaches any more out."""
+        found = {}
+        if len(asked):
+            minutes = np.concatenate([(asked - w * MICROS) // MINUTE for w in WINDOWS.values()])
+            found = answers(rollup, self._edges(index, tail, np.intersect1d(minutes, rollup["minute"])), own, asked, seen)
+        yield from self._answer(key[0], batch, late, counted, found)
+        self._keep(rollup, index, tail, own, newest, timer)
+
+    def _edges(self, index: np.ndarray, tail: np.ndarray, minutes: np.ndarray) -> np.ndarray:
+        """Stored events by time, with all of the given minutes."""
+        needed = np.searchsorted(minutes, index["first"]) < np.searchsorted(minutes, index["last"], side="right")
+        blobs = [self.blocks.getValue((n,))[0] for n in index["number"][needed].tolist()]
+        return np.concatenate([*(np.frombuffer(blob, EVENT) for blob in blobs), tail])
+
+    def _keep(
+        self, rollup: np.ndarray, index: np.ndarray, tail: np.ndarray, own: np.ndarray, newest: int, timer: int | None
+    ) -> None:
+        """New events in, blocks that no window reaches any more out."""
         least = (newest - DAY) // MINUTE
-        for m in rollup["minute"][rollup["minute"] < least].tolist():
-            self.minutes.removeKey((m,))
-        rollup = rollup[rollup["minute"] >= least]
+        for n in index["number"][index["last"] < least].tolist():
+            self.blocks.removeKey((n,))
+        number = int(index["number"][-1]) + 1 if len(index) else 0
+        index, rollup = index[index["last"] >= least], rollup[rollup["minute"] >= least]
         own = own[own["t"] // MINUTE >= least]
-        minute = own["t"] // MINUTE
-        for m, events in zip(np.unique(minute).tolist(), np.split(own, np.flatnonzero(np.diff(minute)) + 1)):
-            old = self.minutes.getValue((m,))[0] if len(rollup) and rollup["minute"][-1] == m else b""
-            self.minutes.updateValue((m,), (old + events.tobytes(),))
+        tail = np.concatenate([tail, own])
+        tail = tail[tail["t"] // MINUTE >= least]
+        if len(tail) > TAIL_EVENTS:
+            more = []
+            for at in range(0, len(tail), BLOCK_EVENTS):
+                block = tail[at : at + BLOCK_EVENTS]
+                self.blocks.updateValue((number,), (block.tobytes(),))
+                more.append((number, block["t"][0] // MINUTE, block["t"][-1] // MINUTE))
+                number += 1
+            index, tail = np.concatenate([index, np.array(more, INDEX)]), tail[:0]
         due = (newest + DAY + MINUTE) // 1000
         if due != timer:
             if timer is not None:
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(due)
-        self.head.update((newest, due, rolled(rollup, own).tobytes()))
-
-    def _answer(self, batch: pd.DataFrame, late: np.ndarray, t: np.ndarray, found: dict) -> pd.DataFrame:
-        out = batch[["card_id", "value", *ARRIVAL, "transaction_id", "own", "shares"]].assign(late=late, t=t)
-        for name in TOTALS:
-            total = np.zeros(len(batch), np.int64)
-            total[~late] = found.get(name, 0)
+        self.head.update((newest, due, rolled(rollup, own).tobytes(), index.tobytes(), tail.tobytes()))
+
+    def _answer(self, card: str | None, batch: dict, late: np.ndarray, t: np.ndarray, found: dict) -> Iterator[Row]:
+        """Rows of up to ``OUT_ROWS`` answers, a list per column."""
+        out = {name: batch[name] for name in PASSED} | {"late": late, "t": t}
+        for name in (*TOTALS, "max_24h"):
+            total = np.full(len(t), -np.inf) if name == "max_24h" else np.zeros(len(t), np.int64)
+            if found:
+                total[~late] = found[name]
             out[name] = total
-        most = np.full(len(batch), -np.inf)
-        most[~late] = found.get("max_24h", -np.inf)
-        return out.assign(max_24h=most)
+        for at in range(0, len(t), OUT_ROWS):
+            yield Row(card_id=card, **{name: values[at : at + OUT_ROWS] for name, values in out.items()})
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         self.head.clear()
-        self.minutes.clear()
+        self.blocks.clear()
         return iter([])
 
     def close(self) -> None:
@@ -259,7 +290,7 @@ def questions(raw: DataFrame, hot: dict[str, int], grace: str = GRACE, once: boo
         home.cast("int").alias("home"),
     )
     every = F.when(F.col("ok"), F.sequence(F.lit(0), F.col("shares") - 1)).otherwise(F.array("home"))
-    return keyed.withColumn("share", F.explode(every)).withColumn("own", F.col("share") == F.col("home"))
+    return keyed.withColumn("share", F.explode(every)).withColumn("own", F.col("share") == F.col("home")).drop("home")
 
 
 class StatefulBatch(FeatureBatch):
@@ -333,9 +364,10 @@ def start_stateful(
     spark = raw.sparkSession
     settings = _settings(spark, tables, {"hot": hot or {}, "grace": grace, "once": once})
     keyed = questions(raw, settings["hot"], settings["grace"], settings["once"])
-    out = keyed.groupBy("card_id", "share").transformWithStateInPandas(
-        CardState(), ANSWER, outputMode="Append", timeMode="EventTime"
+    out = keyed.groupBy("card_id", "share").transformWithState(
+        CardState(), ANSWERS, outputMode="Append", timeMode="EventTime"
     )
+    out = out.select("card_id", F.inline(F.arrays_zip(*ANSWER)))
     writer = out.writeStream.foreachBatch(StatefulBatch(tables, rounded=rounded)).option(
         "checkpointLocation", tables.checkpoint
     )

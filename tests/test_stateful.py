@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 
 from cardmill.operators.rolling import STREAM_FEATURES
 from cardmill.streaming import stateful
@@ -130,6 +131,80 @@ def test_batch_reads_no_archive(spark, tmp_path, monkeypatch):
     assert len(vectors(spark, tables)) == 3
 
 
+class Kept:
+    """State of one key in memory, with the number of calls."""
+
+    def __init__(self):
+        self.calls, self.value, self.map = 0, None, {}
+        self.state = stateful.CardState()
+        self.state.init(self)
+
+    def getValueState(self, *_):
+        return self
+
+    getMapState = getValueState
+
+    def _called(self, out=None):
+        self.calls += 1
+        return out
+
+    def get(self):
+        return self._called(self.value)
+
+    def update(self, value):
+        self.value = self._called(value)
+
+    def getValue(self, key):
+        return self._called(self.map[key])
+
+    def updateValue(self, key, value):
+        self.map[key] = self._called(value)
+
+    def removeKey(self, key):
+        del self.map[self._called(key)]
+
+    def registerTimer(self, _):
+        self._called()
+
+    deleteTimer = registerTimer
+
+    def batch(self, events):
+        names = ["arrived_at", "arrived_in", "arrived_no", "t", "transaction_id", "value", "own", "shares", "amt", "c2", "amount", "ok"]
+        rows = [
+            Row(*names)(0, "", e["transaction_id"], at * 10**6, e["transaction_id"], "", True, 1, round(e["amount"] * 1e4), round(e["c2"] * 1e4), e["amount"], True)
+            for e, at in events
+        ]
+        for out in self.state.handleInputRows((events[0][0]["card_id"], 0), iter(rows), None):
+            yield from zip(*[out[name] for name in ("transaction_id", "late", "n_1m", "n_5m", "n_1h", "sum_1h", "max_24h", "c2_1h")])
+
+
+@pytest.mark.parametrize("sizes", [(3, 5), (256, 4096), (0, 1)])
+def test_events_in_blocks(monkeypatch, sizes):
+    monkeypatch.setattr(stateful, "TAIL_EVENTS", sizes[0])
+    monkeypatch.setattr(stateful, "BLOCK_EVENTS", sizes[1])
+    monkeypatch.setattr(stateful, "OUT_ROWS", 4)
+    arrivals = [row for row in random_arrivals(5, 900, 9000) if row[0]["card_id"] == "hot"]
+    want, late = expected(arrivals)
+    kept, got, blocks = Kept(), {}, 0
+    for at in range(0, len(arrivals), 7):
+        for number, is_late, *values in kept.batch(arrivals[at : at + 7]):
+            if not is_late:
+                got[number] = values
+        blocks = max(blocks, len(kept.map))
+    assert set(got) == set(want) and late and (blocks > 1) == (sizes[0] < 256)
+    for number, (n_1m, n_5m, n_1h, sum_1h, max_24h, c2_1h) in got.items():
+        right = want[number]
+        assert (n_1m, n_5m, n_1h, max_24h, c2_1h) == (*right[:3], right[7], round(right[8] * 1e4))
+        assert sum_1h == round(right[3] * 1e4)
+
+
+def test_calls_to_the_state_do_not_go_by_minutes():
+    kept = Kept()
+    for day in range(3):
+        list(kept.batch([(event(day * 1440 + i, "a", 1.0, 0, c2=0.0), 60 * (day * 1440 + i)) for i in range(1440)]))
+    assert kept.calls < 30
+
+
 def test_range_max():
     values = np.random.default_rng(1).normal(size=37)
     find = stateful.RangeMax(values)
