@@ -241,6 +241,27 @@ def test_tree_finds_every_close_pair(spark, monkeypatch):
     assert sorted(map(sorted, by_group.values())) == sorted(map(sorted, by_label.values()))
 
 
+def test_components_read_links_of_met_nodes_once(spark, monkeypatch):
+    chance, edges, want = random.Random(21), [], {}
+    for group in range(60):
+        nodes = chance.sample(range(group * 1000, group * 1000 + 1000), 40)
+        edges += [(nodes[i], nodes[chance.randrange(max(0, i - 3), i)]) for i in range(1, 40)]
+        edges += [tuple(chance.sample(nodes, 2)) for _ in range(200)]
+        want |= {node: min(nodes) for node in nodes}
+    plain, sizes = common.written, {}
+
+    def counted(df, name):
+        out = plain(df, name)
+        sizes[name] = sizes.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(common, "written", counted)
+    labels = common.components(spark.createDataFrame(edges, "a long, b long"), "met")
+    assert {r["node"]: r["label"] for r in labels.collect()} == want
+    each = len({(min(x), max(x)) for x in edges})
+    assert sizes["met-links"] < 1.5 * each and sum(sizes.values()) < 2.2 * each
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 5000)]
     labels = {r["node"]: r["label"] for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
