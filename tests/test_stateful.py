@@ -108,6 +108,14 @@ def test_bad_events_pass_and_repeats_go(spark, tmp_path):
     assert tables.quarantine.read(spark).count() == len(SAMPLES) - 3
 
 
+def test_repeats_are_looked_for_among_the_columns_needed(spark, tmp_path):
+    write(tmp_path / "in", 1, SAMPLES)
+    raw = file_events(spark, str(tmp_path / "in"))
+    plan = stateful.questions(raw, {}, once=True)._jdf.queryExecution().analyzed().toString().split("\n")
+    at = next(i for i, line in enumerate(plan) if "DeduplicateWithinWatermark" in line)
+    assert "AS same" in plan[at + 1] and "card_type" not in plan[at + 1]
+
+
 def test_state_goes_and_far_events_are_counted(spark, tmp_path):
     """A card's state goes when the watermark is a day past it; what the watermark drops is counted."""
     day = 86_400
